@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from drivelake.operators import bronze as B
 from drivelake.operators import gold as G
@@ -26,10 +27,37 @@ from drivelake.sources.tables import Table, read_table, require_rows, scope, tab
 from drivelake.util import new_run_id, persisted
 
 
+def silver_schema(fields: Sequence[Field]) -> T.StructType:
+    """Canonical columns, Silver lineage, then the partition columns."""
+    cols = [T.StructField(f.name, f.spark_type, True) for f in fields]
+    cols += [T.StructField("source_file", T.StringType()), T.StructField("bronze_ingested_at", T.TimestampType()),
+             T.StructField("processing_run_id", T.StringType()), T.StructField("silver_processed_at", T.TimestampType()),
+             T.StructField("release_id", T.StringType()), T.StructField("snapshot_month", T.StringType())]
+    return T.StructType(cols)
+
+
+DQ_SCHEMA = T.StructType([T.StructField("check_name", T.StringType()), T.StructField("result", T.StringType()),
+                          T.StructField("details", T.StringType()), T.StructField("run_id", T.StringType()),
+                          T.StructField("timestamp", T.TimestampType()), T.StructField("release_id", T.StringType())])
+GOLD_RELEASE_SCHEMA = T.StructType(
+    [T.StructField("start_date", T.DateType()), T.StructField("end_date", T.DateType())]
+    + [T.StructField(c, T.LongType()) for c in ("distinct_snapshot_dates", "distinct_drives", "distinct_models",
+                                                 "total_drive_days", "drive_failures")]
+    + [T.StructField("annualized_failure_rate_pct", T.DoubleType()), T.StructField("processing_run_id", T.StringType()),
+       T.StructField("gold_processed_at", T.TimestampType()), T.StructField("release_id", T.StringType())])
+GOLD_MODEL_SCHEMA = T.StructType(
+    [T.StructField("drive_model", T.StringType())]
+    + [T.StructField(c, T.LongType()) for c in ("distinct_drives", "total_drive_days", "drive_failures")]
+    + [T.StructField("annualized_failure_rate_pct", T.DoubleType()), T.StructField("first_snapshot_date", T.DateType()),
+       T.StructField("last_snapshot_date", T.DateType()), T.StructField("processing_run_id", T.StringType()),
+       T.StructField("gold_processed_at", T.TimestampType()), T.StructField("release_id", T.StringType())])
+
+
 @dataclass(frozen=True)
 class Lakehouse:
-    """Table locations under one root folder."""
+    """Table locations under one root folder (a shared store on a cluster)."""
     root: str
+    fields: tuple[Field, ...] = tuple(drivestats_fields())
 
     @property
     def bronze(self) -> Table:
@@ -41,19 +69,19 @@ class Lakehouse:
 
     @property
     def silver(self) -> Table:
-        return Table(f"{self.root}/silver", ("release_id", "snapshot_month"))
+        return Table(f"{self.root}/silver", ("release_id", "snapshot_month"), silver_schema(self.fields))
 
     @property
     def dq(self) -> Table:
-        return Table(f"{self.root}/dq_results", ("release_id",))
+        return Table(f"{self.root}/dq_results", ("release_id",), DQ_SCHEMA)
 
     @property
     def gold_release(self) -> Table:
-        return Table(f"{self.root}/gold_release", ("release_id",))
+        return Table(f"{self.root}/gold_release", ("release_id",), GOLD_RELEASE_SCHEMA)
 
     @property
     def gold_model(self) -> Table:
-        return Table(f"{self.root}/gold_model", ("release_id",))
+        return Table(f"{self.root}/gold_model", ("release_id",), GOLD_MODEL_SCHEMA)
 
 
 # ---------------------------------------------------------------- pure plans
@@ -62,8 +90,20 @@ def silver_frames(bronze: DataFrame, fields: Sequence[Field], run_id: str) -> tu
     """(deduplicated Silver rows, stamped quarantine rows) of a Bronze scope."""
     cand = S.candidate(bronze, fields)
     accepted, rejected = S.split_valid(cand)
-    silver = dedup_latest(S.stamp_silver(accepted, run_id), BUSINESS_KEY)
-    return silver, S.stamp_quarantine(rejected, run_id)
+    return latest_silver(accepted, fields, bronze.columns, run_id), S.stamp_quarantine(rejected, run_id)
+
+
+def latest_silver(accepted: DataFrame, fields: Sequence[Field], source_columns, run_id: str) -> DataFrame:
+    """W1 then the Silver stamps: keep the newest row per business key.
+
+    Order: Bronze ingestion time, then source file, both descending; the
+    fields fed by a source column complete the order (Q5).  The run stamps
+    are constants, so they are added after the shuffle.
+    """
+    varying = [f.name for f in fields if S._source(source_columns, f.source_column) is not None]
+    rows = accepted.withColumnRenamed("ingested_at", "bronze_ingested_at")
+    latest = dedup_latest(rows, BUSINESS_KEY, tie_break=varying)
+    return S.stamp_silver(latest.withColumnRenamed("bronze_ingested_at", "ingested_at"), run_id)
 
 
 def silver_rows(bronze: DataFrame, fields: Sequence[Field] | None = None, run_id: str = "run") -> DataFrame:
@@ -98,17 +138,31 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
     with persisted(cand) as c:  # one Bronze scan feeds both branches
         accepted, rejected = S.split_valid(c)
         rejected = S.stamp_quarantine(rejected, run_id)
-        if not rejected.isEmpty():
+        if not rejected.isEmpty() and not _quarantined_before(spark, lake, source_file):
             create_or_append(spark, rejected, lake.quarantine)
-        silver = dedup_latest(S.stamp_silver(accepted, run_id), BUSINESS_KEY)
-        upsert(spark, silver, lake.silver, BUSINESS_KEY)
+        silver = latest_silver(accepted, fields, bronze.columns, run_id)
+        # touched partitions from the cached rows: dedup keeps >= 1 row per key
+        month = F.date_format("snapshot_date", "yyyy-MM")
+        touched = [tuple(r) for r in accepted.select("release_id", month).distinct().collect()]
+        upsert(spark, silver, lake.silver, BUSINESS_KEY, touched)
+
+
+def _quarantined_before(spark: SparkSession, lake: Lakehouse, source_file: str | None) -> bool:
+    """A replayed single-file run must not append its rejects twice (Q8)."""
+    if source_file is None or not table_exists(spark, lake.quarantine):
+        return False
+    lineage = T.StructType([T.StructField("source_file", T.StringType())])
+    return not scope(read_table(spark, lake.quarantine, lineage), source_file=source_file).isEmpty()
 
 
 def run_dq(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
            fields: Sequence[Field] | None = None, source_file: str | None = None) -> str:
     fields = list(fields or drivestats_fields())
     silver = scope(read_table(spark, lake.silver), release_id, source_file)
-    bronze = scope(read_table(spark, lake.bronze), release_id, source_file)
+    # D9 only counts Bronze rows of the scope: read the two scope columns,
+    # no schema inference and no data columns (row counts come from footers).
+    lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("release_id", T.StringType())])
+    bronze = scope(read_table(spark, lake.bronze, lineage), release_id, source_file)
     results = Q.evaluate(silver, bronze, fields, run_id, release_id)
     return Q.persist_then_fail(spark, results, lake.dq)
 

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drivelake.sources.tables import spread
+
 LANDING_BUCKET = "drivestats-landing"
 RAW_PREFIX = "raw/drivestats/"
 INGEST_EPOCH = 1767225600  # 2026-01-01T00:00:00Z, base of synthetic ingestion times
@@ -36,8 +38,8 @@ def _raw_path(release: Column, day: Column) -> Column:
 
 def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped (all-string) observations from lineitem x part."""
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                              "l_returnflag", "l_shipdate")
+    li = spread(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                     "l_returnflag", "l_shipdate"))
     part = _t(spark, sf_dir, "part").select(F.col("p_partkey"), F.col("p_brand"))
     j = li.join(part, li.l_partkey == part.p_partkey, "left")
     day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
@@ -58,7 +60,7 @@ def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped observations from events, with dirty text variants."""
-    e = _t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    e = spread(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     eid, uid = F.col("event_id"), F.col("user_id")
     day = F.date_format(F.to_date("ts"), "yyyy-MM-dd")
     release = F.concat(F.year("ts").cast("string"), F.lit("_Q"), F.quarter("ts").cast("string"))

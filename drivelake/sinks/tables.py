@@ -99,7 +99,8 @@ def append_merging(spark: SparkSession, df: DataFrame, table: Table) -> T.Struct
     return schema
 
 
-def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]) -> None:
+def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
+           touched: Sequence[tuple] | None = None) -> None:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
     an unmatched row is inserted.
 
@@ -108,13 +109,16 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     partitions as ``old rows without a new twin`` + ``new rows`` is complete.
     Only the touched partitions are scanned (partition pruning from a literal
     list) and rewritten (dynamic overwrite).  ``df`` must be key-unique.
+    ``touched`` (the partition values of ``df``) can be passed when a cheaper
+    frame than ``df`` knows them, e.g. the cached pre-dedup rows.
     """
     if not table_exists(spark, table):
         create_table(df, table)
         return
     parts = list(table.partition_by)
     # The touched partition list is bounded by the number of partitions, not rows.
-    touched = [tuple(r) for r in df.select(*parts).distinct().collect()]
+    if touched is None:
+        touched = [tuple(r) for r in df.select(*parts).distinct().collect()]
     if not touched:
         return
     schema = merged_schema(read_table(spark, table).schema, df, parts)

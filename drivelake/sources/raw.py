@@ -48,9 +48,10 @@ def discover_headers(spark: SparkSession, paths, pattern: str = HEADER_PATTERN)
              .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
              .filter(F.col("value").rlike(pattern))
              .dropDuplicates(["file"]))
+    from urllib.parse import unquote
     groups: dict[str, list[str]] = defaultdict(list)
     for row in lines.toLocalIterator():
-        groups[row["value"]].append(row["file"])
+        groups[row["value"]].append(unquote(row["file"]))  # metadata paths are URI-encoded
     return dict(groups)
 
 
@@ -135,7 +136,7 @@ def parse_lines(lines: DataFrame, value: str = "value", file_col: str = "source_
     for header, files in sorted(groups.items()):
         cols = _dedupe_names([c.lower() for c in header_columns(header)])
         ddl = ", ".join(f"`{c}` STRING" for c in cols)
-        parsed = (lines.filter(F.col(file_col).isin(files) & ~is_header)
+        parsed = (lines.filter(F.col(file_col).isin(files) & ~is_header & (F.length(F.col(value)) > 0))
                   .select(F.from_csv(F.col(value), ddl).alias("r"), F.col(file_col)))
         frames.append(parsed.select(*[F.col("r")[c].alias(c) for c in cols], F.col(file_col)))
     if not frames:

@@ -20,9 +20,13 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Table:
-    """A path-backed Parquet table and its partition columns."""
+    """A path-backed Parquet table, its partition columns and - for tables
+    with a declared layout (Silver, DQ, Gold) - its schema, so reads skip
+    footer-based schema inference.  Evolving tables (Bronze, quarantine)
+    leave ``schema`` unset and are read with merged footers."""
     path: str
     partition_by: tuple[str, ...] = field(default_factory=tuple)
+    schema: T.StructType | None = None
 
 
 def _hadoop_path_exists(spark: SparkSession, path: str) -> bool:
@@ -48,7 +52,7 @@ def table_schema(spark: SparkSession, table: Table) -> T.StructType:
 
 
 def read_table(spark: SparkSession, table: Table, schema: T.StructType | None = None) -> DataFrame:
-    schema = schema or table_schema(spark, table)
+    schema = schema or table.schema or table_schema(spark, table)
     return spark.read.schema(schema).option("basePath", table.path).parquet(table.path)
 
 
@@ -64,6 +68,21 @@ def scope(df: DataFrame, release_id: str | None = None, source_file: str | None
     return df
 
 
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``target`` tasks (default: the cluster's
+    parallelism) when the input has fewer splits than that.
+
+    A daily drop is one CSV file and an unsplittable file is one task, so the
+    CPU-heavy typing would run on one core; a round-robin exchange is
+    skew-free (no key) and deterministic on retry.  Inputs that already have
+    enough splits (a backfill over thousands of files) are left alone.
+    """
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     """Fail before any work when the scope holds no row."""
     if df.isEmpty():
