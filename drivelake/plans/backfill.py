@@ -124,27 +124,40 @@ def run_bronze(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse,
 
 
 def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
-               fields: Sequence[Field] | None = None, source_file: str | None = None) -> None:
+               fields: Sequence[Field] | None = None, source_file: str | None = None) -> dict:
+    """Bronze scope -> quarantine (append) + Silver (upsert).
+
+    One pass over the cached candidate answers every driver-side question at
+    once - is the scope empty, are there rejects, which (release, month)
+    partitions does the upsert touch - with a result bounded by the number of
+    partitions, not rows.
+    """
     fields = list(fields or drivestats_fields())
     bronze = scope(read_table(spark, lake.bronze), release_id, source_file)
-    require_rows(bronze, f"No Bronze data found for release_id={release_id}"
-                 + (f", source_file={source_file}" if source_file else ""))
     missing = S.missing_required(fields, bronze.columns)
     if missing:  # E6: quarantine the whole scope with one reason, then fail
+        require_rows(bronze, f"No Bronze data found for release_id={release_id}")
         q = S.quarantine_schema(bronze, missing, run_id)
         create_or_append(spark, q, lake.quarantine)
         raise ValueError(f"Required source columns missing: {missing}")
     cand = S.candidate(bronze, fields)
     with persisted(cand) as c:  # one Bronze scan feeds both branches
+        bad = F.col("_rejection_reason").isNotNull()
+        stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).collect())
+        if not stats:  # S7: empty scope fails before any write
+            raise ValueError(f"No Bronze data found for release_id={release_id}"
+                             + (f", source_file={source_file}" if source_file else ""))
         accepted, rejected = S.split_valid(c)
-        rejected = S.stamp_quarantine(rejected, run_id)
-        if not rejected.isEmpty() and not _quarantined_before(spark, lake, source_file):
-            create_or_append(spark, rejected, lake.quarantine)
-        silver = latest_silver(accepted, fields, bronze.columns, run_id)
-        # touched partitions from the cached rows: dedup keeps >= 1 row per key
-        month = F.date_format("snapshot_date", "yyyy-MM")
-        touched = [tuple(r) for r in accepted.select("release_id", month).distinct().collect()]
-        upsert(spark, silver, lake.silver, BUSINESS_KEY, touched)
+        n_rejected = sum(r["rejected"] for r in stats)
+        if n_rejected and not _quarantined_before(spark, lake, source_file):
+            create_or_append(spark, S.stamp_quarantine(rejected, run_id), lake.quarantine)
+        touched = [(r["release_id"], r["snapshot_month"]) for r in stats if r["rows"] > r["rejected"]]
+        if touched:
+            silver = latest_silver(accepted, fields, bronze.columns, run_id)
+            upsert(spark, silver, lake.silver, BUSINESS_KEY, touched,
+                   cluster_by=("release_id", "snapshot_month", "snapshot_date", "drive_serial_number"))
+    return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched)}
 
 
 def _quarantined_before(spark: SparkSession, lake: Lakehouse, source_file: str | None) -> bool:
@@ -168,12 +181,22 @@ def run_dq(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
 
 
 def run_gold(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str) -> tuple[int, int]:
-    """Recompute Gold for the whole release (late files included, Z4)."""
+    """Recompute Gold for the whole release (late files included, Z4).
+
+    Jobs: the cached 5-column Silver scope feeds one validation aggregate,
+    the two grains (cached, tiny), one conservation aggregate that also
+    yields the row counts, two partition overwrites, two read-back counts.
+    """
     silver = scope(read_table(spark, lake.silver), release_id).select(*G.GOLD_INPUT_COLUMNS)
     with persisted(silver) as s:
-        release, model = G.build_gold(s, run_id)
+        for row in G.gold_input_report(s).collect():  # one row per release
+            G.assert_gold_input(row)
+        release, model = G.build_gold(s, run_id, validate=False)
         with persisted(release, model) as (r, m):
-            n_release, n_model = r.count(), m.count()
+            checks = G.conservation(s, r, m).collect()
+            G.assert_conservation(checks)
+            n_release = sum(c["release_rows"] for c in checks)
+            n_model = sum(c["model_rows"] for c in checks)
             overwrite_partitions(r, lake.gold_release)
             overwrite_partitions(m, lake.gold_model)
     verify_written(spark, lake.gold_release, n_release, release_id=str(release_id))
