@@ -23,7 +23,7 @@ from drivelake.operators.dedup import dedup_latest
 from drivelake.schema import BUSINESS_KEY, Field, drivestats_fields
 from drivelake.sinks.tables import append_merging, create_or_append, overwrite_partitions, upsert, verify_written
 from drivelake.sources.raw import read_raw
-from drivelake.sources.tables import Table, read_table, require_rows, scope, table_exists
+from drivelake.sources.tables import Table, read_table, require_rows, scope, spread, table_exists
 from drivelake.util import new_run_id, persisted
 
 
@@ -140,7 +140,8 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         q = S.quarantine_schema(bronze, missing, run_id)
         create_or_append(spark, q, lake.quarantine)
         raise ValueError(f"Required source columns missing: {missing}")
-    cand = S.candidate(bronze, fields)
+    # a single-file scope is one or two Parquet files: spread it before typing
+    cand = S.candidate(spread(bronze), fields)
     with persisted(cand) as c:  # one Bronze scan feeds both branches
         bad = F.col("_rejection_reason").isNotNull()
         stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))

@@ -506,7 +506,7 @@ WITH p AS (
     CASE WHEN page_id % 11 = 0 THEN 'other-bucket' ELSE '{_BUCKET}' END AS bucket,
     url_decode(replace({raw_key}, '+', ' ')) AS key,
     CAST(length(html) AS BIGINT) AS size_bytes, md5(url) AS etag,
-    strftime(to_timestamp(1704067200 + page_id)::TIMESTAMP, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time,
+    strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time,
     CASE WHEN page_id % 17 = 0 THEN 'SQS body is invalid JSON.'
          WHEN page_id % 19 = 0 THEN 'S3 event contains no Records.' END AS message_error
   FROM pages),

@@ -125,7 +125,8 @@ def pages_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     bucket = F.when(pid % 11 == 0, F.lit("other-bucket")).otherwise(F.lit(LANDING_BUCKET))
     record = F.struct(
         F.lit("ObjectCreated:Put").alias("eventName"),
-        F.date_format(F.timestamp_seconds(F.lit(1704067200) + pid), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
+        F.date_format(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=pid),
+                      "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"),
         F.struct(F.struct(bucket.alias("name")).alias("bucket"),
                  F.struct(key.alias("key"), F.length("html").cast("long").alias("size"),
                           F.md5(F.col("url")).alias("eTag")).alias("object")).alias("s3"),
