@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivelake.sinks.tables import append_merging, create_table
@@ -19,17 +19,25 @@ def to_strings(df: DataFrame, keep: tuple[str, ...] = ("source_file",)) -> DataF
     return df.select(*cols, *[F.col(k) for k in keep if k in df.columns])
 
 
-def stamp(df: DataFrame, release_id: str, run_id: str, ingested_at=None) -> DataFrame:
-    """``release_id``, ``ingested_at`` (one instant per write) and run id."""
+def stamp(df: DataFrame, release_id, run_id: str, ingested_at=None) -> DataFrame:
+    """``release_id`` (a literal, or a Column such as the file's folder),
+    ``ingested_at`` (one instant per write) and the run id."""
     at = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
+    release = release_id if isinstance(release_id, Column) else F.lit(str(release_id))
     return df.withColumns({
-        "release_id": F.lit(str(release_id)),
+        "release_id": release,
         "ingested_at": at,
         "processing_run_id": F.lit(run_id),
     })
 
 
-def bronze_frame(raw: DataFrame, release_id: str, run_id: str, ingested_at=None) -> DataFrame:
+def release_from_path(path: Column) -> Column:
+    """The release is the folder holding the drop: ``.../<release_id>/<day>.csv``
+    (a ``release_id=<x>`` folder name also works)."""
+    return F.regexp_extract(path, r"(?:release_id=)?([^/=]+)/[^/]+$", 1)
+
+
+def bronze_frame(raw: DataFrame, release_id, run_id: str, ingested_at=None) -> DataFrame:
     """E3 + E4 in one projection, metadata columns last."""
     data = [c for c in raw.columns if c not in METADATA_COLUMNS]
     out = stamp(to_strings(raw.select(*[f"`{c}`" for c in data], "source_file")), release_id, run_id, ingested_at)

@@ -100,19 +100,25 @@ def schema_check(columns: Sequence[tuple[str, str]], fields: Sequence[Field]) ->
     return missing, unexpected, mismatched
 
 
-def _metrics_row(silver: DataFrame, bronze: DataFrame | None, rules: Sequence[Rule]) -> DataFrame:
-    """Silver metrics + rule metrics + the Bronze count, as one row."""
+def _metrics_row(silver: DataFrame, bronze: DataFrame | None, rules: Sequence[Rule],
+                 by: Sequence[str] = ()) -> DataFrame:
+    """Silver metrics + rule metrics + the Bronze count: one row per ``by``
+    group (one row in total without grouping).  The Silver and Bronze
+    aggregates are unioned and folded by group - no join."""
     present = set(silver.columns)
     aggs = _silver_aggs(silver, BUSINESS_KEY, NULL_RATE_COLUMNS)
     for i, r in enumerate(rules):
         if r.kind == "Completeness" and r.column in present:
             aggs.append(F.count(F.col(r.column)).cast("long").alias(f"_nonnull_{i}"))
-    s = silver.agg(*aggs)
+    s = silver.groupBy(*by).agg(*aggs)
     if bronze is None:
         return s.withColumn("bronze_rows", F.lit(None).cast("long"))
-    b = bronze.agg(F.count(F.lit(1)).cast("long").alias("bronze_rows"))
+    b = bronze.groupBy(*by).agg(F.count(F.lit(1)).cast("long").alias("bronze_rows"))
     u = s.unionByName(b, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in u.columns])
+    counts = [c for c in u.columns if c not in by and c not in ("distinct_business_keys", "bronze_rows")]
+    folded = u.groupBy(*by).agg(*[F.max(c).alias(c) for c in u.columns if c not in by])
+    # a group with Bronze rows but no Silver row has zero Silver counts
+    return folded.fillna(0, subset=counts + ["distinct_business_keys", "bronze_rows"])
 
 
 def _struct(order: int, name: str, result: Column, details: Column, gate: Column) -> Column:
@@ -121,22 +127,29 @@ def _struct(order: int, name: str, result: Column, details: Column, gate: Column
 
 
 def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field],
-             run_id: str, release_id: str | None, rules: Sequence[str] = DEFAULT_RULES) -> DataFrame:
+             run_id: str, release_id: str | None, rules: Sequence[str] = DEFAULT_RULES,
+             by_release: bool = False) -> DataFrame:
     """The check rows of one scope (Silver and Bronze scoped alike).
 
     Columns: ``check_order`` plus the six result columns.  D2-D6 only appear
-    when the scope has rows.
+    when the scope has rows.  With ``by_release`` the scope is a set of
+    releases and every release gets its own check rows from the same single
+    grouped aggregation (a multi-release backfill checks all releases in one
+    pass).
     """
     parsed = [parse_rule(r) for r in rules]
     present = set(silver.columns)
-    m = _metrics_row(silver, bronze, parsed)
+    by = ("release_id",) if by_release else ()
+    m = _metrics_row(silver, bronze, parsed, by)
+    release_text = (F.coalesce(F.col("release_id"), F.lit("None")) if by_release
+                    else F.lit(str(release_id)))
     total = F.col("total_rows")
     nonempty = total > 0
     checks = []
     checks.append(_struct(
         0, "row_count", F.when(nonempty, "PASS").otherwise("FAIL"),
         F.when(nonempty, F.concat(F.lit("silver_rows="), total.cast("string")))
-        .otherwise(F.lit(f"No Silver rows found for release_id={release_id}.")),
+        .otherwise(F.concat(F.lit("No Silver rows found for release_id="), release_text, F.lit("."))),
         F.lit(True)))
     for i, r in enumerate(parsed):
         fail_reason = F.lit(None).cast("string")
@@ -202,12 +215,11 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
                  F.lit("; difference="), diff.cast("string"),
                  F.lit("; Silver may be lower because of quarantine and deduplication.")),
         F.lit(bronze is not None)))
-    rows = m.select(F.inline(F.array(*checks))).filter(F.col("_gate")).drop("_gate")
-    return rows.withColumns({
-        "run_id": F.lit(run_id),
-        "timestamp": F.current_timestamp(),
-        "release_id": F.lit(None if release_id is None else str(release_id)).cast("string"),
-    })
+    rows = m.select(*by, F.inline(F.array(*checks))).filter(F.col("_gate")).drop("_gate")
+    rows = rows.withColumns({"run_id": F.lit(run_id), "timestamp": F.current_timestamp()})
+    if not by_release:
+        rows = rows.withColumn("release_id", F.lit(None if release_id is None else str(release_id)).cast("string"))
+    return rows.select("check_order", "check_name", "result", "details", "run_id", "timestamp", "release_id")
 
 
 def verdict(results: DataFrame) -> DataFrame:
@@ -224,14 +236,24 @@ class DataQualityError(RuntimeError):
 def persist_then_fail(spark, results: DataFrame, table) -> str:
     """Write the results first (K7), then stop the run on FAIL.
 
-    The result set is at most 14 rows: it is computed once, written from the
-    collected rows and the verdict is folded on the driver.
+    The result set is at most 14 rows per release: it is computed once,
+    written from the collected rows and the verdicts are folded on the driver.
+    Returns the overall verdict; see ``release_verdicts`` for the split.
     """
+    return max(persist_results(spark, results, table).values(), key=lambda v: SEVERITY[v])
+
+
+def persist_results(spark, results: DataFrame, table, raise_on_fail: bool = True) -> dict:
     from drivelake.sinks.tables import create_or_append
     rows = results.drop("check_order").collect()
     create_or_append(spark, spark.createDataFrame(rows, results.drop("check_order").schema), table)
-    worst = max((SEVERITY.get(r["result"], 1) for r in rows), default=2)
-    status = {0: "PASS", 1: "WARNING", 2: "FAIL"}[worst]
-    if status == "FAIL":
-        raise DataQualityError("Data quality verdict is FAIL; see the DQ results table.")
-    return status
+    worst: dict = {}
+    for r in rows:
+        rel = r["release_id"]
+        worst[rel] = max(worst.get(rel, 0), SEVERITY.get(r["result"], 1))
+    verdicts = {rel: {0: "PASS", 1: "WARNING", 2: "FAIL"}[w] for rel, w in worst.items()} or {None: "FAIL"}
+    failed = sorted(str(k) for k, v in verdicts.items() if v == "FAIL")
+    if failed and raise_on_fail:
+        raise DataQualityError(f"Data quality verdict is FAIL for release(s) {', '.join(failed)}; "
+                               "see the DQ results table.")
+    return verdicts

@@ -21,7 +21,7 @@ from drivelake.operators import quality as Q
 from drivelake.operators import silver as S
 from drivelake.operators.dedup import dedup_latest
 from drivelake.schema import BUSINESS_KEY, Field, drivestats_fields
-from drivelake.sinks.tables import append_merging, create_or_append, overwrite_partitions, upsert, verify_written
+from drivelake.sinks.tables import create_or_append, overwrite_partitions, upsert, verify_written_by
 from drivelake.sources.raw import read_raw
 from drivelake.sources.tables import Table, read_table, require_rows, scope, spread, table_exists
 from drivelake.util import new_run_id, persisted
@@ -88,9 +88,10 @@ class Lakehouse:
 
 def silver_frames(bronze: DataFrame, fields: Sequence[Field], run_id: str) -> tuple[DataFrame, DataFrame]:
     """(deduplicated Silver rows, stamped quarantine rows) of a Bronze scope."""
-    cand = S.candidate(bronze, fields)
+    cand = S.candidate(bronze, fields, defer_missing=True)
     accepted, rejected = S.split_valid(cand)
-    return latest_silver(accepted, fields, bronze.columns, run_id), S.stamp_quarantine(rejected, run_id)
+    return (latest_silver(accepted, fields, bronze.columns, run_id),
+            S.complete(S.stamp_quarantine(rejected, run_id), fields))
 
 
 def latest_silver(accepted: DataFrame, fields: Sequence[Field], source_columns, run_id: str) -> DataFrame:
@@ -103,7 +104,8 @@ def latest_silver(accepted: DataFrame, fields: Sequence[Field], source_columns,
     varying = [f.name for f in fields if S._source(source_columns, f.source_column) is not None]
     rows = accepted.withColumnRenamed("ingested_at", "bronze_ingested_at")
     latest = dedup_latest(rows, BUSINESS_KEY, tie_break=varying)
-    return S.stamp_silver(latest.withColumnRenamed("bronze_ingested_at", "ingested_at"), run_id)
+    stamped = S.stamp_silver(latest.withColumnRenamed("bronze_ingested_at", "ingested_at"), run_id)
+    return S.complete(stamped, fields)  # constant-NULL fields join after the shuffle
 
 
 def silver_rows(bronze: DataFrame, fields: Sequence[Field] | None = None, run_id: str = "run") -> DataFrame:
@@ -141,7 +143,7 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         create_or_append(spark, q, lake.quarantine)
         raise ValueError(f"Required source columns missing: {missing}")
     # a single-file scope is one or two Parquet files: spread it before typing
-    cand = S.candidate(spread(bronze), fields)
+    cand = S.candidate(spread(bronze), fields, defer_missing=True)
     with persisted(cand) as c:  # one Bronze scan feeds both branches
         bad = F.col("_rejection_reason").isNotNull()
         stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))
@@ -152,12 +154,12 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         accepted, rejected = S.split_valid(c)
         n_rejected = sum(r["rejected"] for r in stats)
         if n_rejected and not _quarantined_before(spark, lake, source_file):
-            create_or_append(spark, S.stamp_quarantine(rejected, run_id), lake.quarantine)
+            create_or_append(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake.quarantine)
         touched = [(r["release_id"], r["snapshot_month"]) for r in stats if r["rows"] > r["rejected"]]
         if touched:
             silver = latest_silver(accepted, fields, bronze.columns, run_id)
             upsert(spark, silver, lake.silver, BUSINESS_KEY, touched,
-                   cluster_by=("release_id", "snapshot_month", "snapshot_date", "drive_serial_number"))
+                   cluster_by=("release_id", "snapshot_month"))
     return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched)}
 
 
@@ -169,24 +171,32 @@ def _quarantined_before(spark: SparkSession, lake: Lakehouse, source_file: str |
     return not scope(read_table(spark, lake.quarantine, lineage), source_file=source_file).isEmpty()
 
 
-def run_dq(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
-           fields: Sequence[Field] | None = None, source_file: str | None = None) -> str:
+def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
+           fields: Sequence[Field] | None = None, source_file: str | None = None,
+           raise_on_fail: bool = True):
+    """DQ of one scope (returns its verdict) or of a list of releases (returns
+    ``{release: verdict}``, all releases checked by one grouped aggregation)."""
     fields = list(fields or drivestats_fields())
+    many = isinstance(release_id, (list, tuple, set, frozenset))
     silver = scope(read_table(spark, lake.silver), release_id, source_file)
     # D9 only counts Bronze rows of the scope: read the two scope columns,
     # no schema inference and no data columns (row counts come from footers).
     lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("release_id", T.StringType())])
     bronze = scope(read_table(spark, lake.bronze, lineage), release_id, source_file)
-    results = Q.evaluate(silver, bronze, fields, run_id, release_id)
-    return Q.persist_then_fail(spark, results, lake.dq)
+    results = Q.evaluate(silver, bronze, fields, run_id, None if many else release_id, by_release=many)
+    verdicts = Q.persist_results(spark, results, lake.dq, raise_on_fail)
+    if many:
+        return verdicts
+    return max(verdicts.values(), key=lambda v: Q.SEVERITY[v])
 
 
-def run_gold(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str) -> tuple[int, int]:
-    """Recompute Gold for the whole release (late files included, Z4).
+def run_gold(spark: SparkSession, release_id, lake: Lakehouse, run_id: str) -> tuple[int, int]:
+    """Recompute Gold for whole releases (late files included, Z4).
 
     Jobs: the cached 5-column Silver scope feeds one validation aggregate,
     the two grains (cached, tiny), one conservation aggregate that also
-    yields the row counts, two partition overwrites, two read-back counts.
+    yields the row counts, two partition overwrites, two grouped read-backs.
+    ``release_id`` may be a list: every release is computed in the same jobs.
     """
     silver = scope(read_table(spark, lake.silver), release_id).select(*G.GOLD_INPUT_COLUMNS)
     with persisted(silver) as s:
@@ -196,13 +206,11 @@ def run_gold(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str)
         with persisted(release, model) as (r, m):
             checks = G.conservation(s, r, m).collect()
             G.assert_conservation(checks)
-            n_release = sum(c["release_rows"] for c in checks)
-            n_model = sum(c["model_rows"] for c in checks)
             overwrite_partitions(r, lake.gold_release)
             overwrite_partitions(m, lake.gold_model)
-    verify_written(spark, lake.gold_release, n_release, release_id=str(release_id))
-    verify_written(spark, lake.gold_model, n_model, release_id=str(release_id))
-    return n_release, n_model
+    verify_written_by(spark, lake.gold_release, {c["release_id"]: c["release_rows"] for c in checks})
+    verify_written_by(spark, lake.gold_model, {c["release_id"]: c["model_rows"] for c in checks})
+    return sum(c["release_rows"] for c in checks), sum(c["model_rows"] for c in checks)
 
 
 def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse,
@@ -214,3 +222,32 @@ def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse
     status = run_dq(spark, release_id, lake, run_id, fields)
     run_gold(spark, release_id, lake, run_id)
     return status
+
+
+def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str | None = None,
+                 fields: Sequence[Field] | None = None) -> dict:
+    """Backfill every release found under ``raw_paths`` in one set of jobs.
+
+    The release of a row is the folder of its file.  One CSV scan feeds one
+    Bronze write; Silver, DQ and Gold then run once over the list of
+    releases (partition-pruned IN-list), grouping by ``release_id`` where the
+    reference runs one job per release.  Releases whose DQ verdict is FAIL
+    keep their DQ rows and get no Gold; the run then fails naming them.
+    """
+    import re
+    from urllib.parse import unquote
+    run_id = run_id or new_run_id()
+    raw = read_raw(spark, raw_paths)
+    B.write_bronze(spark, B.bronze_frame(raw, B.release_from_path(F.col("source_file")), run_id), lake.bronze)
+    # release list from the file listing (driver metadata, one entry per file)
+    pattern = re.compile(r"(?:release_id=)?([^/=]+)/[^/]+$")
+    releases = sorted({m.group(1) for f in raw.inputFiles() if (m := pattern.search(unquote(f)))})
+    run_silver(spark, releases, lake, run_id, fields)
+    verdicts = run_dq(spark, releases, lake, run_id, fields, raise_on_fail=False)
+    passed = [r for r, v in verdicts.items() if v != "FAIL"]
+    if passed:
+        run_gold(spark, passed, lake, run_id)
+    failed = sorted(r for r, v in verdicts.items() if v == "FAIL")
+    if failed:
+        raise Q.DataQualityError(f"Data quality verdict is FAIL for release(s) {', '.join(map(str, failed))}")
+    return verdicts

@@ -44,7 +44,8 @@ def discover_headers(spark: SparkSession, paths, pattern: str = HEADER_PATTERN)
     One distributed text scan keeps only header-looking lines; what reaches
     the driver is one short line per file.
     """
-    lines = (spark.read.text(_as_list(paths))
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+             .text(_as_list(paths))
              .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
              .filter(F.col("value").rlike(pattern))
              .dropDuplicates(["file"]))

@@ -56,12 +56,13 @@ def read_table(spark: SparkSession, table: Table, schema: T.StructType | None =
     return spark.read.schema(schema).option("basePath", table.path).parquet(table.path)
 
 
-def scope(df: DataFrame, release_id: str | None = None, source_file: str | None = None) -> DataFrame:
-    """Restrict to one release and/or one source file.
-
-    Both predicates compare as strings (Q2) and are combined (Q14).
-    """
-    if release_id is not None:
+def scope(df: DataFrame, release_id=None, source_file: str | None = None) -> DataFrame:
+    """Restrict to one release (or a list of releases) and/or one
+    source file.  Both predicates compare as strings (Q2) and are combined
+    (Q14); a release literal or IN-list prunes partitions."""
+    if isinstance(release_id, (list, tuple, set, frozenset)):
+        df = df.filter(F.col("release_id").isin([str(r) for r in release_id]))
+    elif release_id is not None:
         df = df.filter(F.col("release_id") == F.lit(str(release_id)))
     if source_file is not None:
         df = df.filter(F.col("source_file") == F.lit(source_file))

@@ -114,7 +114,7 @@ def file_lines(spark: SparkSession, landing: str, max_files: int = 1) -> DataFra
     """The landing folder as a stream of text lines tagged with their file."""
     return (spark.readStream.format("text")
             .option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", "*.csv")
+            .option("pathGlobFilter", "*.[cC][sS][vV]")
             .option("recursiveFileLookup", "true")
             .load(landing)
             .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file")))

@@ -49,3 +49,23 @@ def test_stream_equals_batch_and_late_file(spark, scratch):
     assert read_table(spark, lake.silver).count() == silver_rows
     assert read_table(spark, lake.bronze).count() == 7   # 2 + 2 + 2 + 1 rows, none doubled
     assert ("2024_Q1", "M2", 3, 2) in _gold(spark, lake)
+
+
+def test_multi_release_backfill_equals_per_release(spark, scratch):
+    from drivelake.plans.backfill import run_backfill
+    land = f"{scratch}/raw"
+    _day(f"{land}/2023", "2023-12-30", [("A", "M1", 0), ("B", "M2", 1)])
+    _day(f"{land}/2024_Q1", "2024-01-01", [("A", "M1", 1), ("A", "M1", 1), ("C", "", 0)])
+    _day(f"{land}/2024_Q1", "2024-01-02", [("A", "M1", 0)])
+    one = Lakehouse(f"{scratch}/one")
+    verdicts = run_backfill(spark, land, one)
+    assert verdicts == {"2023": "PASS", "2024_Q1": "PASS"}
+    each = Lakehouse(f"{scratch}/each")
+    for rel in ("2023", "2024_Q1"):
+        run_release(spark, f"{land}/{rel}", rel, each)
+    assert _gold(spark, one) == _gold(spark, each) == [
+        ("2023", "M1", 1, 0), ("2023", "M2", 1, 1), ("2024_Q1", "M1", 2, 1)]
+    dq = lambda lake: sorted((r["release_id"], r["check_name"], r["result"], r["details"])
+                             for r in read_table(spark, lake.dq).collect())
+    assert dq(one) == dq(each) and len(dq(one)) == 28
+    assert read_table(spark, one.quarantine).count() == 1
