@@ -10,9 +10,6 @@ from drivelake.sources.tables import Table, table_exists
 
 METADATA_COLUMNS = ("source_file", "release_id", "ingested_at", "processing_run_id")
 
-BRONZE = lambda path: Table(path, ("release_id",))
-
-
 def to_strings(df: DataFrame, keep: tuple[str, ...] = ("source_file",)) -> DataFrame:
     """Every source column as STRING (names back-quoted), lineage kept."""
     cols = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in keep]

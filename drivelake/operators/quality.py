@@ -33,7 +33,6 @@ DEFAULT_RULES = (
 )
 NULL_RATE_COLUMNS = ("drive_serial_number", "drive_model", "snapshot_date")
 RULE_PREFIX = "GLUE_DQ::"
-OUTCOME_RESULT = {"PASSED": "PASS", "FAILED": "FAIL", "ERROR": "FAIL"}
 SEVERITY = {"PASS": 0, "WARNING": 1, "FAIL": 2}
 # Derived partition column of our Silver layout (month of snapshot_date).
 DERIVED_COLUMNS = frozenset({"snapshot_month"})

@@ -225,7 +225,7 @@ def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse
 
 
 def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str | None = None,
-                 fields: Sequence[Field] | None = None) -> dict:
+                 fields: Sequence[Field] | None = None, releases_per_job: int | None = None) -> dict:
     """Backfill every release found under ``raw_paths`` in one set of jobs.
 
     The release of a row is the folder of its file.  One CSV scan feeds one
@@ -233,6 +233,9 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     releases (partition-pruned IN-list), grouping by ``release_id`` where the
     reference runs one job per release.  Releases whose DQ verdict is FAIL
     keep their DQ rows and get no Gold; the run then fails naming them.
+    ``releases_per_job`` bounds how many releases share one Silver/DQ/Gold
+    pass (and so the size of the cached, typed Silver scope) when a whole
+    history is backfilled at once.
     """
     import re
     from urllib.parse import unquote
@@ -242,11 +245,16 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     # release list from the file listing (driver metadata, one entry per file)
     pattern = re.compile(r"(?:release_id=)?([^/=]+)/[^/]+$")
     releases = sorted({m.group(1) for f in raw.inputFiles() if (m := pattern.search(unquote(f)))})
-    run_silver(spark, releases, lake, run_id, fields)
-    verdicts = run_dq(spark, releases, lake, run_id, fields, raise_on_fail=False)
-    passed = [r for r, v in verdicts.items() if v != "FAIL"]
-    if passed:
-        run_gold(spark, passed, lake, run_id)
+    step = releases_per_job or max(len(releases), 1)
+    verdicts: dict = {}
+    for i in range(0, len(releases), step):
+        chunk = releases[i:i + step]
+        run_silver(spark, chunk, lake, run_id, fields)
+        chunk_verdicts = run_dq(spark, chunk, lake, run_id, fields, raise_on_fail=False)
+        verdicts.update(chunk_verdicts)
+        passed = [r for r, v in chunk_verdicts.items() if v != "FAIL"]
+        if passed:
+            run_gold(spark, passed, lake, run_id)
     failed = sorted(r for r, v in verdicts.items() if v == "FAIL")
     if failed:
         raise Q.DataQualityError(f"Data quality verdict is FAIL for release(s) {', '.join(map(str, failed))}")

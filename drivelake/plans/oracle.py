@@ -9,7 +9,7 @@ blank trimming of spaces only, NULL ordering, and BIGINT sums.
 from __future__ import annotations
 
 from drivelake.functions.casts import INTEGER_PART, NUMBER_TEXT
-from drivelake.plans.observations import INGEST_EPOCH, LANDING_BUCKET, RAW_PREFIX
+from drivelake.plans.observations import INGEST_EPOCH, RAW_PREFIX
 from drivelake.schema import TRIMMED_FIELDS, Field, drivestats_fields
 
 _SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",

@@ -80,3 +80,19 @@ def test_rule_parser():
     assert (r.kind, r.column, r.op, r.threshold) == ("Completeness", "x", ">=", 0.95)
     with pytest.raises(ValueError):
         Q.parse_rule("Bogus 1")
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.sampled_from(["PASS", "WARNING", "FAIL"]), min_size=1, max_size=8),
+       st.sampled_from(["PASS", "WARNING", "FAIL"]))
+def test_verdict_is_monotone(spark, results, extra):
+    """Adding a check never improves the overall verdict."""
+    rank = {"PASS": 0, "WARNING": 1, "FAIL": 2}
+    df = spark.createDataFrame([(r,) for r in results], "result string")
+    before = Q.verdict(df).collect()[0][0]
+    after = Q.verdict(df.union(spark.createDataFrame([(extra,)], "result string"))).collect()[0][0]
+    assert rank[after] >= rank[before]
+    assert before == max(results, key=rank.get)
