@@ -22,7 +22,7 @@ from drivelake.operators import silver as S
 from drivelake.operators.dedup import dedup_latest
 from drivelake.schema import BUSINESS_KEY, Field, drivestats_fields
 from drivelake.sinks.tables import create_or_append, overwrite_partitions, upsert, verify_written_by
-from drivelake.sources.raw import read_raw
+from drivelake.sources.raw import raw_drops
 from drivelake.sources.tables import Table, read_table, require_rows, scope, spread, table_exists
 from drivelake.util import new_run_id, persisted
 
@@ -114,15 +114,13 @@ def silver_rows(bronze: DataFrame, fields: Sequence[Field] | None = None, run_id
 
 # ---------------------------------------------------------------- layer jobs
 
-def run_bronze(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse, run_id: str,
-               source_file: str | None = None) -> int:
-    """Read raw CSV (drift-safe), stamp, create/evolve/append Bronze."""
-    raw = read_raw(spark, raw_paths)
-    if source_file is not None:
-        raw = raw.withColumn("source_file", F.lit(source_file))
-    bronze = B.bronze_frame(raw, release_id, run_id)
-    B.write_bronze(spark, bronze, lake.bronze)
-    return 0
+def run_bronze(spark: SparkSession, raw_paths, release_id, lake: Lakehouse, run_id: str) -> list[str]:
+    """Read raw CSV drops (drift-safe, one storage read), stamp, then
+    create / evolve / append Bronze.  ``release_id`` is a literal or a Column
+    (e.g. the folder of each file).  Returns the files ingested."""
+    with raw_drops(spark, raw_paths) as (raw, files):
+        B.write_bronze(spark, B.bronze_frame(raw, release_id, run_id), lake.bronze)
+    return files
 
 
 def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
@@ -240,11 +238,10 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     import re
     from urllib.parse import unquote
     run_id = run_id or new_run_id()
-    raw = read_raw(spark, raw_paths)
-    B.write_bronze(spark, B.bronze_frame(raw, B.release_from_path(F.col("source_file")), run_id), lake.bronze)
+    files = run_bronze(spark, raw_paths, B.release_from_path(F.col("source_file")), lake, run_id)
     # release list from the file listing (driver metadata, one entry per file)
     pattern = re.compile(r"(?:release_id=)?([^/=]+)/[^/]+$")
-    releases = sorted({m.group(1) for f in raw.inputFiles() if (m := pattern.search(unquote(f)))})
+    releases = sorted({m.group(1) for f in files if (m := pattern.search(unquote(f)))})
     step = releases_per_job or max(len(releases), 1)
     verdicts: dict = {}
     for i in range(0, len(releases), step):

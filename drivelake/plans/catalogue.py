@@ -23,7 +23,7 @@ from drivelake.plans import observations as O
 from drivelake.plans import oracle as X
 from drivelake.plans.backfill import silver_frames
 from drivelake.schema import drivestats_fields
-from drivelake.sinks.tables import align, evolve
+from drivelake.sinks.tables import align, evolve, merge_frames, replace_partitions
 from drivelake.sources.tables import scope
 
 RUN_ID = "catalogue-run"
@@ -228,11 +228,6 @@ def _orders_generations(spark, sf_dir):
     return gen1, upd.unionByName(ins)
 
 
-def merge_frames(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
-    """K4 core: old rows without a new twin, plus every new row."""
-    return existing.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)
-
-
 @query("merge_upsert", _ORDERS_GEN + """
 SELECT * FROM gen1 WHERE NOT EXISTS (
   SELECT 1 FROM gen2 WHERE gen2.order_key = gen1.order_key AND gen2.release_id = gen1.release_id)
@@ -242,12 +237,6 @@ def merge_upsert(spark, sf_dir):
     return merge_frames(gen1, gen2, ["release_id", "order_key"])
 
 
-def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols) -> DataFrame:
-    """K5 core: rows of partitions ``new`` does not touch, plus ``new``."""
-    touched = new.select(*partition_cols).distinct()
-    return existing.join(touched, on=list(partition_cols), how="left_anti").unionByName(new)
-
-
 @query("overwrite_partitions", X.with_views(
     li_bronze=X.lineitem_bronze(),
     li_silver=X.silver_sql("li_bronze", X.LINEITEM_COLUMNS, "", X.LINEITEM_REST),

@@ -99,6 +99,19 @@ def append_merging(spark: SparkSession, df: DataFrame, table: Table) -> T.Struct
     return schema
 
 
+def merge_frames(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """K4/J1 core: old rows without a new twin on ``keys``, plus every new row
+    (MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL)."""
+    return existing.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)
+
+
+def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """K5 core: rows of the partitions ``new`` does not touch, plus ``new`` -
+    the table content after a dynamic partition overwrite with ``new``."""
+    touched = new.select(*partition_cols).distinct()
+    return existing.join(touched, on=list(partition_cols), how="left_anti").unionByName(new)
+
+
 def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
            touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None) -> None:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
@@ -141,9 +154,7 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
             term = t if term is None else term & t
         cond = term if cond is None else cond | term
     existing = existing.filter(cond)
-    new = align(df, schema)
-    kept = existing.join(new.select(*keys), on=list(keys), how="left_anti")
-    overwrite_partitions(clustered(kept.unionByName(new)), table)
+    overwrite_partitions(clustered(merge_frames(existing, align(df, schema), keys)), table)
 
 
 def verify_written(spark: SparkSession, table: Table, expected: int, **scope_values) -> int:

@@ -2,14 +2,20 @@
 
 Daily CSV files drift: columns get added, reordered or re-cased over the
 years.  A single multi-file CSV read takes one header for every file and maps
-the others *by position*, so this reader first finds each file's header line
-with a distributed text scan, groups files by header, reads each group with
-its own all-string schema and unions the groups by name.  When all headers
-agree this is one CSV scan plus one cheap header-discovery scan.
+the others *by position*.  Two readers avoid that:
+
+* ``raw_drops`` (one storage read): the drops' text lines are read once and
+  cached (spilling to disk); each file's header line is collected from the
+  cache (one short line per file reaches the driver), and every header group
+  is parsed with ``from_csv`` under its own all-string schema; groups are
+  unioned by name.  Streaming micro-batches use the same ``parse_lines``.
+* ``read_raw`` (lazy, no cache): a header-discovery text scan, then one CSV
+  scan per header group - two storage reads, nothing held in memory.
 """
 
 from __future__ import annotations
 
+import contextlib
 from collections import defaultdict
 from typing import Sequence
 
@@ -96,6 +102,28 @@ def read_raw(spark: SparkSession, paths, lineage: bool = True,
     return out
 
 
+def text_lines(spark: SparkSession, paths) -> DataFrame:
+    """Every ``*.csv`` line under ``paths`` (recursively) with its decoded file path."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+            .text(_as_list(paths))
+            .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file")))
+
+
+@contextlib.contextmanager
+def raw_drops(spark: SparkSession, paths, pattern: str = HEADER_PATTERN):
+    """S1 in one storage read: yields ``(rows, files)`` - the drift-safe
+    all-string rows of every CSV under ``paths`` (plus ``source_file``), valid
+    while the lines are cached, and the list of files read (from the listing)."""
+    from drivelake.util import persisted
+    lines = text_lines(spark, paths)
+    files = lines.inputFiles()
+    with persisted(lines) as cached:
+        parsed = parse_lines(cached, pattern=pattern, strict=True)
+        if parsed is None:
+            raise ValueError(f"No CSV header found under {paths}")
+        yield parsed, files
+
+
 def check_single_file(path: str, prefix: str) -> None:
     """S2 guard: one concrete ``.csv`` object under the allowed prefix."""
     if not path.startswith(prefix):
@@ -120,19 +148,27 @@ def with_source_file(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, value: str = "value", file_col: str = "source_file",
-                pattern: str = HEADER_PATTERN) -> DataFrame:
-    """Parse text lines of CSV files (streaming micro-batches) by their header.
+                pattern: str = HEADER_PATTERN, strict: bool = False) -> DataFrame:
+    """Parse text lines of CSV files by their file's header line.
 
     ``lines`` has one row per text line plus the file it came from.  Header
-    lines are found per file; data lines are parsed with ``from_csv`` using
-    their file's header.  Returns all-string columns plus ``file_col``.
+    lines are found per file (a grouped job keeping one line per file); data
+    lines are parsed with ``from_csv`` using their file's header.  Returns
+    all-string columns plus ``file_col``.  With ``strict`` a file without a
+    header line is an error instead of being skipped.
     """
     is_header = F.col(value).rlike(pattern)
-    headers = (lines.filter(is_header).select(file_col, value)
-               .dropDuplicates([file_col]).collect())
+    per_file = (lines.groupBy(file_col)
+                .agg(F.min(F.when(is_header, F.col(value))).alias("header")).collect())
     groups: dict[str, list[str]] = defaultdict(list)
-    for r in headers:
-        groups[r[value]].append(r[file_col])
+    headless = []
+    for r in per_file:
+        if r["header"] is None:
+            headless.append(r[file_col])
+        else:
+            groups[r["header"]].append(r[file_col])
+    if strict and headless:
+        raise ValueError(f"CSV file(s) without a header line: {sorted(headless)[:10]}")
     frames = []
     for header, files in sorted(groups.items()):
         cols = _dedupe_names([c.lower() for c in header_columns(header)])

@@ -1,7 +1,7 @@
 """Drifting CSV headers are read by name, not by position."""
 import os
 
-from drivelake.sources.raw import check_single_file, read_raw
+from drivelake.sources.raw import check_single_file, raw_drops, read_raw
 
 import pytest
 
@@ -31,3 +31,19 @@ def test_single_file_guard():
     for bad in ("other/a.csv", "raw/*.csv", "raw/a.json"):
         with pytest.raises(ValueError):
             check_single_file(bad, "raw/")
+
+
+def test_one_read_reader_matches_lazy_reader(spark, scratch):
+    _write(f"{scratch}/r/2013-04-10.csv", "date,serial_number,model\n2013-04-10,S1,M1\n")
+    _write(f"{scratch}/r/2013-04-11.csv", "model,DATE,serial_number,extra\nM2,2013-04-11,S2,\"a,b\"\n")
+    lazy = read_raw(spark, f"{scratch}/r")
+    cols = ["date", "serial_number", "model", "extra", "source_file"]
+    with raw_drops(spark, f"{scratch}/r") as (once, files):
+        assert len(files) == 2
+        got = sorted(tuple(r) for r in once.select(*cols).collect())
+    assert got == sorted(tuple(r) for r in lazy.select(*cols).collect())
+    assert ("2013-04-11", "S2", "M2", "a,b") in [g[:4] for g in got]
+    _write(f"{scratch}/r/2013-04-12.csv", "2013-04-12,S3,M3\n")
+    with pytest.raises(ValueError, match="without a header"):
+        with raw_drops(spark, f"{scratch}/r"):
+            pass
