@@ -68,16 +68,18 @@ def scope(df: DataFrame, release_id=None, source_file: str | None = None) -> Dat
     return df
 
 
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+def spread(df: DataFrame, target: int | None = None, max_tasks: int = 256) -> DataFrame:
     """Round-robin the rows over ``target`` tasks (default: the cluster's
-    parallelism) when the input has fewer splits than that.
+    parallelism, at most ``max_tasks``) when the input has fewer splits.
 
-    A daily drop is one CSV file and an unsplittable file is one task, so the
+    A daily drop is one CSV file and a small file is one split, so the
     CPU-heavy typing would run on one core; a round-robin exchange is
-    skew-free (no key) and deterministic on retry.  Inputs that already have
-    enough splits (a backfill over thousands of files) are left alone.
+    skew-free (no key) and deterministic on retry.  The cap keeps a 50 MB
+    increment on a 1000-executor cluster from becoming thousands of tiny
+    tasks.  Inputs that already have enough splits (a backfill over
+    thousands of files) are left alone.
     """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
+    target = target or min(df.sparkSession.sparkContext.defaultParallelism, max_tasks)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
