@@ -18,8 +18,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -39,7 +39,8 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="drivelake-bench")
-    scratch = tempfile.mkdtemp(prefix="drivelake-bench-")
+    from drivelake.util import checkpoint_dir
+    scratch = f"{checkpoint_dir(spark)}/drivelake-bench-{uuid.uuid4().hex[:12]}"  # shared scratch
 
     # Warm-up, not timed: the same plan shapes once on the smallest tables, so
     # generated classes are compiled and cached and the JIT has seen the hot

@@ -23,6 +23,6 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str
                .config("spark.driver.memory", os.environ.get("DRIVELAKE_DRIVER_MEMORY", "8g")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="drivelake-ckpt-"))
+    from drivelake.util import checkpoint_dir
+    checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="drivelake-ckpt-"))  # only when unset
     return spark

@@ -33,7 +33,7 @@ from drivelake.schema import Field
 from drivelake.sinks.tables import append
 from drivelake.sources.raw import parse_lines
 from drivelake.sources.tables import Table, read_table, scope, table_exists
-from drivelake.util import new_run_id, persisted
+from drivelake.util import checkpoint_dir, new_run_id, persisted
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()), T.StructField("seq", T.LongType()),
@@ -120,13 +120,20 @@ def file_lines(spark: SparkSession, landing: str, max_files: int = 1) -> DataFra
             .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file")))
 
 
-def run_incremental(spark: SparkSession, landing: str, lake: Lakehouse, checkpoint: str,
+def run_incremental(spark: SparkSession, landing: str, lake: Lakehouse, checkpoint: str | None = None,
                     max_files: int = 1, fields: Sequence[Field] | None = None,
                     release_of: Callable[[str], str] = release_of_path,
                     available_now: bool = True) -> StreamingQuery:
     """Start the incremental query; ``availableNow`` drains the landed files
     (one micro-batch per ``max_files``) and stops.  The checkpoint records
-    which files were consumed, so a restart continues where it stopped."""
+    which files were consumed, so a restart continues where it stopped.
+    Without ``checkpoint`` it lives under the session's shared
+    ``spark.checkpoint.dir``, keyed by the lake root."""
+    if checkpoint is None:
+        import hashlib
+        key = hashlib.sha1(f"{landing}|{lake.root}".encode()).hexdigest()[:16]
+        checkpoint = f"{checkpoint_dir(spark)}/drivelake-stream-{key}"
+
     def body(batch: DataFrame, epoch_id: int) -> None:
         process_batch(spark, batch, epoch_id, lake, fields, release_of)
 
