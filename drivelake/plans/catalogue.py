@@ -278,7 +278,7 @@ SELECT release_id, CAST(count(*) AS BIGINT) AS total_rows,
   CAST(count(*) FILTER (WHERE snapshot_date IS NULL) AS BIGINT) AS null_date_rows,
   CAST(count(*) FILTER (WHERE failure_flag IS NULL OR failure_flag NOT IN (0, 1)) AS BIGINT) AS invalid_failure_rows,
   min(snapshot_date) AS start_date, max(snapshot_date) AS end_date,
-  year(min(snapshot_date)) AS start_year, year(max(snapshot_date)) AS end_year,
+  CAST(year(min(snapshot_date)) AS INTEGER) AS start_year, CAST(year(max(snapshot_date)) AS INTEGER) AS end_year,
   year(min(snapshot_date)) = year(max(snapshot_date)) AS single_year
 FROM ev_silver GROUP BY release_id""")
 def gold_input_violations(spark, sf_dir):
@@ -288,7 +288,7 @@ def gold_input_violations(spark, sf_dir):
 @query("gold_year_guard", X.lineitem_silver_with() + """
 SELECT CAST(year(snapshot_date + INTERVAL 3 MONTH) AS VARCHAR) AS release_id,
   min(snapshot_date) AS start_date, max(snapshot_date) AS end_date,
-  year(min(snapshot_date)) AS start_year, year(max(snapshot_date)) AS end_year,
+  CAST(year(min(snapshot_date)) AS INTEGER) AS start_year, CAST(year(max(snapshot_date)) AS INTEGER) AS end_year,
   year(min(snapshot_date)) = year(max(snapshot_date)) AS single_year
 FROM li_silver GROUP BY 1""")
 def gold_year_guard(spark, sf_dir):

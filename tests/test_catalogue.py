@@ -42,6 +42,12 @@ def test_oracle_covers_all_but_metadata_queries():
     assert set(queries()) - set(oracle_sql()) == {"dq_schema_check"}
 
 
+SPARK_T = {"string": "str", "bigint": "i64", "int": "i32", "double": "f64", "boolean": "bool", "date": "date",
+           "timestamp": "ts", "timestamp_ntz": "ts", "array<string>": "list<str>"}
+DUCK_T = {"VARCHAR": "str", "BIGINT": "i64", "INTEGER": "i32", "DOUBLE": "f64", "BOOLEAN": "bool", "DATE": "date",
+          "TIMESTAMP": "ts", "VARCHAR[]": "list<str>"}
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF)
@@ -50,3 +56,6 @@ def test_query_matches_oracle(spark, con, name):
     d = _norm([x[0] for x in res.description], res.fetchall())
     assert s[0] == d[0]
     assert s[1] == d[1]
+    rel = con.sql(oracle_sql()[name])
+    duck_types = {c: DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_T.get(t, t) for c, t in df.dtypes} == duck_types
