@@ -273,6 +273,7 @@ def gold_model_metrics_events(spark, sf_dir):
 
 @query("gold_input_violations", X.events_silver_with() + """
 SELECT release_id, CAST(count(*) AS BIGINT) AS total_rows,
+  CAST(sum(failure_flag) AS BIGINT) AS silver_failures,
   CAST(count(*) FILTER (WHERE drive_serial_number IS NULL) AS BIGINT) AS null_serial_rows,
   CAST(count(*) FILTER (WHERE drive_model IS NULL OR trim(drive_model, ' ') = '') AS BIGINT) AS null_model_rows,
   CAST(count(*) FILTER (WHERE snapshot_date IS NULL) AS BIGINT) AS null_date_rows,
