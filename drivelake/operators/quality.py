@@ -33,6 +33,11 @@ DEFAULT_RULES = (
 )
 NULL_RATE_COLUMNS = ("drive_serial_number", "drive_model", "snapshot_date")
 RULE_PREFIX = "GLUE_DQ::"
+SCHEMA_OK_TEXT = ("All canonical columns exist with compatible datatypes. "
+                  "Known operational metadata columns are permitted.")
+RECONCILIATION_NOTE = "; Silver may be lower because of quarantine and deduplication."
+NO_ROWS_TEXT = "No Silver rows found for release_id="
+RULE_FAIL_TEXT = " does not meet the constraint requirement!"
 SEVERITY = {"PASS": 0, "WARNING": 1, "FAIL": 2}
 # Derived partition column of our Silver layout (month of snapshot_date).
 DERIVED_COLUMNS = frozenset({"snapshot_month"})
@@ -148,7 +153,7 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
     checks.append(_struct(
         0, "row_count", F.when(nonempty, "PASS").otherwise("FAIL"),
         F.when(nonempty, F.concat(F.lit("silver_rows="), total.cast("string")))
-        .otherwise(F.concat(F.lit("No Silver rows found for release_id="), release_text, F.lit("."))),
+        .otherwise(F.concat(F.lit(NO_ROWS_TEXT), release_text, F.lit("."))),
         F.lit(True)))
     for i, r in enumerate(parsed):
         fail_reason = F.lit(None).cast("string")
@@ -161,7 +166,7 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
                 value = F.try_divide(F.col(f"_nonnull_{i}").cast("double"), total.cast("double"))
                 ok = _compare(value, r.op or "=", r.threshold if r.threshold is not None else 1.0)
                 fail_reason = F.when(~ok, F.concat(F.lit("Value: "), value.cast("string"),
-                                                   F.lit(" does not meet the constraint requirement!")))
+                                                   F.lit(RULE_FAIL_TEXT)))
                 metrics = F.concat(F.lit(f"{{Column.{r.column}.Completeness: "), value.cast("string"), F.lit("}"))
             else:
                 ok = F.lit(False)
@@ -171,7 +176,7 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
             value = total.cast("double")
             ok = _compare(value, r.op or ">", r.threshold if r.threshold is not None else 0.0)
             fail_reason = F.when(~ok, F.concat(F.lit("Value: "), value.cast("string"),
-                                               F.lit(" does not meet the constraint requirement!")))
+                                               F.lit(RULE_FAIL_TEXT)))
             metrics = F.concat(F.lit("{Dataset.*.RowCount: "), value.cast("string"), F.lit("}"))
         outcome = F.when(ok, "PASSED").otherwise("FAILED")
         result = F.when(outcome == "PASSED", "PASS").when(outcome.isin("FAILED", "ERROR"), "FAIL").otherwise("WARNING")
@@ -199,8 +204,7 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
     missing, unexpected, mismatched = schema_check(
         [(f.name, f.dataType.simpleString()) for f in silver.schema.fields], fields)
     if not (missing or unexpected or mismatched):
-        schema_result, schema_details = "PASS", ("All canonical columns exist with compatible datatypes. "
-                                                 "Known operational metadata columns are permitted.")
+        schema_result, schema_details = "PASS", SCHEMA_OK_TEXT
     else:
         schema_result = "FAIL"
         schema_details = (f"missing_canonical={missing}; unexpected_columns={unexpected}; "
@@ -212,7 +216,7 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
         n + 5, "bronze_silver_row_reconciliation", F.when(diff >= 0, "PASS").otherwise("FAIL"),
         F.concat(F.lit("bronze_rows="), bronze_rows.cast("string"), F.lit("; silver_rows="), total.cast("string"),
                  F.lit("; difference="), diff.cast("string"),
-                 F.lit("; Silver may be lower because of quarantine and deduplication.")),
+                 F.lit(RECONCILIATION_NOTE)),
         F.lit(bronze is not None)))
     rows = m.select(*by, F.inline(F.array(*checks))).filter(F.col("_gate")).drop("_gate")
     rows = rows.withColumns({"run_id": F.lit(run_id), "timestamp": F.current_timestamp()})

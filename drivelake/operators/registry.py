@@ -27,6 +27,19 @@ OBJECT_EVENT_SCHEMA = (
 STAGES = ("BRONZE", "SILVER", "DQ", "GOLD")
 FILE_ENTITY = "FILE"
 PENDING = "PENDING"
+MSG_NO_RECORDS = "SQS event contains no Records."
+MSG_NO_BODY = "SQS record missing body."
+MSG_BAD_JSON = "SQS body is invalid JSON."
+MSG_NO_S3_RECORDS = "S3 event contains no Records."
+MSG_NO_S3 = "Missing 's3' object."
+MSG_NO_BUCKET = "Missing bucket name."
+MSG_NO_KEY = "Missing object key."
+MSG_BUCKET = "Unexpected bucket: "
+MSG_PREFIX = "Object outside allowed prefix: "
+MSG_KEY = "Invalid raw object key: "
+MSG_RELEASE = "Unable to determine release_id: "
+MSG_CSV = "Expected CSV source file: "
+MSG_DATE = "Invalid date filename: "
 
 REGISTRY_COLUMNS = (
     "control_id", "entity_type", "source_file", "bucket", "key", "release_id", "source_date",
@@ -49,10 +62,10 @@ def read_object_events(messages: DataFrame, envelope: str = "envelope") -> DataF
     b = bodies.withColumns({"_body": body, "_s3evt": parsed, "_body_ok": F.try_parse_json(body).isNotNull()})
     msg_error = (
         F.when(~F.col("_env_ok") | (F.coalesce(F.size("_env.Records"), F.lit(0)) <= 0),
-               F.lit("SQS event contains no Records."))
-        .when(F.col("_body").isNull() | (F.col("_body") == ""), F.lit("SQS record missing body."))
-        .when(~F.col("_body_ok"), F.lit("SQS body is invalid JSON."))
-        .when(F.coalesce(F.size("_s3evt.Records"), F.lit(0)) <= 0, F.lit("S3 event contains no Records."))
+               F.lit(MSG_NO_RECORDS))
+        .when(F.col("_body").isNull() | (F.col("_body") == ""), F.lit(MSG_NO_BODY))
+        .when(~F.col("_body_ok"), F.lit(MSG_BAD_JSON))
+        .when(F.coalesce(F.size("_s3evt.Records"), F.lit(0)) <= 0, F.lit(MSG_NO_S3_RECORDS))
     )
     b = b.withColumn("message_error", msg_error)
     recs = b.select("*", F.posexplode_outer(
@@ -80,16 +93,16 @@ def validate(records: DataFrame, bucket: str, prefix: str, scheme: str = "s3") -
     name = F.regexp_extract(key, r"([^/]*)$", 1)
     reason = (
         F.when(F.col("message_error").isNotNull(), F.col("message_error"))
-        .when(F.col("_s3").isNull(), F.lit("Missing 's3' object."))
-        .when(empty("raw_bucket"), F.lit("Missing bucket name."))
-        .when(empty("raw_key"), F.lit("Missing object key."))
-        .when(F.col("raw_bucket") != F.lit(bucket), F.concat(F.lit("Unexpected bucket: "), F.col("raw_bucket")))
-        .when(~key.startswith(F.lit(prefix)), F.concat(F.lit("Object outside allowed prefix: "), key))
+        .when(F.col("_s3").isNull(), F.lit(MSG_NO_S3))
+        .when(empty("raw_bucket"), F.lit(MSG_NO_BUCKET))
+        .when(empty("raw_key"), F.lit(MSG_NO_KEY))
+        .when(F.col("raw_bucket") != F.lit(bucket), F.concat(F.lit(MSG_BUCKET), F.col("raw_bucket")))
+        .when(~key.startswith(F.lit(prefix)), F.concat(F.lit(MSG_PREFIX), key))
         .when(F.instr(F.substring(key, len(prefix) + 1, 1 << 30), "/") == 0,
-              F.concat(F.lit("Invalid raw object key: "), key))
-        .when(rel.isNull(), F.concat(F.lit("Unable to determine release_id: "), key))
-        .when(~name.endswith(F.lit(".csv")), F.concat(F.lit("Expected CSV source file: "), key))
-        .when(date.isNull(), F.concat(F.lit("Invalid date filename: "), name))
+              F.concat(F.lit(MSG_KEY), key))
+        .when(rel.isNull(), F.concat(F.lit(MSG_RELEASE), key))
+        .when(~name.endswith(F.lit(".csv")), F.concat(F.lit(MSG_CSV), key))
+        .when(date.isNull(), F.concat(F.lit(MSG_DATE), name))
     )
     return records.withColumns({
         "bucket": F.col("raw_bucket"),
