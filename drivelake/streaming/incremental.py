@@ -73,8 +73,10 @@ def already_ingested(spark: SparkSession, lake: Lakehouse, release_id: str, sour
 
 def process_file(spark: SparkSession, lines: DataFrame, source_file: str, lake: Lakehouse,
                  fields: Sequence[Field] | None = None, release_of: Callable[[str], str] = release_of_path,
-                 run_id: str | None = None) -> str:
-    """Bronze -> Silver -> DQ -> Gold for one landed file."""
+                 run_id: str | None = None, gold: bool = True) -> str:
+    """Bronze -> Silver -> DQ (-> Gold) for one landed file.  With
+    ``gold=False`` the caller publishes Gold once for several files and logs
+    their SUCCESS afterwards."""
     run_id = run_id or new_run_id()
     release_id = release_of(source_file)
     _log(spark, lake, source_file, "PROCESSING", run_id)
@@ -89,12 +91,14 @@ def process_file(spark: SparkSession, lines: DataFrame, source_file: str, lake:
         run_silver(spark, release_id, lake, run_id, fields, source_file=source_file)
         stage = "DQ"
         verdict = run_dq(spark, release_id, lake, run_id, fields, source_file=source_file)
-        stage = "GOLD"
-        run_gold(spark, release_id, lake, run_id)
+        if gold:
+            stage = "GOLD"
+            run_gold(spark, release_id, lake, run_id)
     except Exception as exc:
         _log(spark, lake, source_file, "FAILED", run_id, stage, f"{type(exc).__name__}: {exc}"[:2000])
         raise
-    _log(spark, lake, source_file, "SUCCESS", run_id)
+    if gold:
+        _log(spark, lake, source_file, "SUCCESS", run_id)
     return verdict
 
 
@@ -102,12 +106,35 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, lake: La
                   fields: Sequence[Field] | None = None,
                   release_of: Callable[[str], str] = release_of_path) -> list[str]:
     """``foreachBatch`` body: the batch's files one at a time, in path order
-    (date-named files -> arrival order of the drops, R5)."""
-    with persisted(batch) as b:
-        files = sorted(r[0] for r in b.select("source_file").distinct().collect())  # <= maxFilesPerTrigger
-        for f in files:
-            process_file(spark, b, f, lake, fields, release_of)
-    return files
+    (date-named files -> arrival order of the drops, R5), each through
+    Bronze -> Silver -> DQ; then Gold once per release the batch touched.
+
+    Gold after the last file of a release is what per-file publishing would
+    leave behind, so deferring it to the end of the micro-batch gives the
+    same tables with one release recompute instead of one per file.  If a
+    file fails, the releases of the files before it still get their Gold
+    before the failure stops the query.
+    """
+    done: list[tuple[str, str, str]] = []  # (file, release, run id)
+    try:
+        with persisted(batch) as b:
+            files = sorted(r[0] for r in b.select("source_file").distinct().collect())  # <= maxFilesPerTrigger
+            for f in files:
+                run_id = new_run_id()
+                process_file(spark, b, f, lake, fields, release_of, run_id=run_id, gold=False)
+                done.append((f, release_of(f), run_id))
+    finally:
+        for release in sorted({rel for _, rel, _ in done}):
+            members = [(f, rid) for f, rel, rid in done if rel == release]
+            try:
+                run_gold(spark, release, lake, members[-1][1])
+            except Exception as exc:
+                for f, rid in members:
+                    _log(spark, lake, f, "FAILED", rid, "GOLD", f"{type(exc).__name__}: {exc}"[:2000])
+                raise
+            for f, rid in members:
+                _log(spark, lake, f, "SUCCESS", rid)
+    return [f for f, _, _ in done]
 
 
 def file_lines(spark: SparkSession, landing: str, max_files: int = 1) -> DataFrame:
