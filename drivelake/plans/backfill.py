@@ -199,6 +199,10 @@ def run_gold(spark: SparkSession, release_id, lake: Lakehouse, run_id: str) -> t
     silver = scope(read_table(spark, lake.silver), release_id).select(*G.GOLD_INPUT_COLUMNS)
     with persisted(silver) as s:
         report = G.gold_input_report(s).collect()  # one row per release, Silver totals included
+        wanted = release_id if isinstance(release_id, (list, tuple, set, frozenset)) else [release_id]
+        empty = sorted(set(map(str, wanted)) - {r["release_id"] for r in report})
+        if empty:  # S7: a release without Silver rows fails before any write
+            raise G.GoldValidationError(f"No Silver rows found for release_id={', '.join(empty)}")
         for row in report:
             G.assert_gold_input(row)
         release, model = G.build_gold(s, run_id, validate=False)
