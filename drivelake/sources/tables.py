@@ -79,8 +79,12 @@ def spread(df: DataFrame, target: int | None = None, max_tasks: int = 256) -> Da
     tasks.  Inputs that already have enough splits (a backfill over
     thousands of files) are left alone.
     """
-    target = target or min(df.sparkSession.sparkContext.defaultParallelism, max_tasks)
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = target or min(df.sparkSession.sparkContext.defaultParallelism, max_tasks)
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the plan as it is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
 
