@@ -323,36 +323,42 @@ def gold_reconciliation(spark, sf_dir):
 
 # ------------------------------------------------------------------ data quality
 
-def _dq_sql_metrics(src: str) -> str:
-    return f"""SELECT CAST(count(*) AS BIGINT) AS total_rows,
+def _dq_sql_metrics(src: str, grouped: bool = False) -> str:
+    return f"""SELECT {"release_id, " if grouped else ""}CAST(count(*) AS BIGINT) AS total_rows,
   CAST(count(DISTINCT (release_id, snapshot_date, drive_serial_number)) FILTER (
     WHERE release_id IS NOT NULL AND snapshot_date IS NOT NULL AND drive_serial_number IS NOT NULL) AS BIGINT)
     AS distinct_business_keys,
   CAST(count(*) FILTER (WHERE drive_serial_number IS NULL) AS BIGINT) AS null_drive_serial_number,
   CAST(count(*) FILTER (WHERE drive_model IS NULL) AS BIGINT) AS null_drive_model,
-  CAST(count(*) FILTER (WHERE snapshot_date IS NULL) AS BIGINT) AS null_snapshot_date
-FROM {src}"""
+  CAST(count(*) FILTER (WHERE snapshot_date IS NULL) AS BIGINT) AS null_snapshot_date,
+  CAST(count(drive_serial_number) AS BIGINT) AS nonnull_drive_serial_number,
+  CAST(count(drive_model) AS BIGINT) AS nonnull_drive_model,
+  CAST(count(snapshot_date) AS BIGINT) AS nonnull_snapshot_date
+FROM {src}{" GROUP BY release_id" if grouped else ""}"""
 
 
 @query("dq_metrics", "WITH b AS (" + X.events_bronze() + "), c AS (" + X.candidate_sql("b", X.EVENTS_COLUMNS)
-       + ")\n" + _dq_sql_metrics("c"))
+       + ")\nSELECT * EXCLUDE (nonnull_drive_serial_number, nonnull_drive_model, nonnull_snapshot_date) FROM ("
+       + _dq_sql_metrics("c") + ")")
 def dq_metrics(spark, sf_dir):
     b = O.events_bronze(spark, sf_dir)
     return Q.dq_metrics(S.candidate(b, FIELDS))
 
 
-def _null_rate_rows_sql(m: str) -> str:
+def _null_rate_rows_sql(m: str, rel: str = "") -> str:
     parts = []
     for i, c in enumerate(Q.NULL_RATE_COLUMNS):
         rate = f"(CASE WHEN total_rows > 0 THEN CAST(null_{c} AS DOUBLE) / CAST(total_rows AS DOUBLE) ELSE 1.0 END)"
-        parts.append(f"""SELECT {9 + i} AS check_order, 'null_rate::{c}' AS check_name,
+        parts.append(f"""SELECT {rel}{9 + i} AS check_order, 'null_rate::{c}' AS check_name,
   CASE WHEN {rate} = 0.0 THEN 'PASS' ELSE 'FAIL' END AS result,
   'null_count=' || null_{c} || '; total_rows=' || total_rows || '; null_rate=' || printf('%.6f', {rate}) AS details
 FROM {m}""")
     return "\nUNION ALL\n".join(parts)
 
 
-def _dq_results_sql(silver_cte: str, bronze_cte: str) -> str:
+def _dq_results_sql(silver_cte: str, bronze_cte: str, grouped: bool = False) -> str:
+    """The D1-D9 rows in SQL; ``grouped`` gives one set per release."""
+    rel = "release_id, " if grouped else ""
     rule_rows = []
     for i, r in enumerate(Q.DEFAULT_RULES, start=1):
         rule = Q.parse_rule(r)
@@ -371,33 +377,40 @@ def _dq_results_sql(silver_cte: str, bronze_cte: str) -> str:
             details = (f"'rule={r}; failure_reason=' || CASE WHEN {v} > 0 THEN 'None' ELSE 'Value: ' || CAST({v} AS VARCHAR)"
                        f" || ' does not meet the constraint requirement!' END || '; metrics={{Dataset.*.RowCount: '"
                        f" || CAST({v} AS VARCHAR) || '}}'")
-        rule_rows.append(f"SELECT {i} AS check_order, '{Q.RULE_PREFIX}{r}' AS check_name, {result} AS result, "
+        rule_rows.append(f"SELECT {rel}{i} AS check_order, '{Q.RULE_PREFIX}{r}' AS check_name, {result} AS result, "
                          f"{details} AS details FROM m WHERE total_rows > 0")
     schema_ok = ("All canonical columns exist with compatible datatypes. "
                  "Known operational metadata columns are permitted.")
-    return f"""WITH m AS (
-  SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM {bronze_cte}) AS bronze_rows FROM (
-    {_dq_sql_metrics(silver_cte)}) x,
-    (SELECT CAST(count(drive_serial_number) AS BIGINT) AS nonnull_drive_serial_number,
-            CAST(count(drive_model) AS BIGINT) AS nonnull_drive_model,
-            CAST(count(snapshot_date) AS BIGINT) AS nonnull_snapshot_date FROM {silver_cte}) y
-)
-SELECT 0 AS check_order, 'row_count' AS check_name, CASE WHEN total_rows > 0 THEN 'PASS' ELSE 'FAIL' END AS result,
-  CASE WHEN total_rows > 0 THEN 'silver_rows=' || total_rows ELSE 'No Silver rows found for release_id=2024_Q1.' END AS details
+    if grouped:
+        counts = ["total_rows", "distinct_business_keys", "null_drive_serial_number", "null_drive_model",
+                  "null_snapshot_date", "nonnull_drive_serial_number", "nonnull_drive_model", "nonnull_snapshot_date"]
+        m = (f"SELECT coalesce(x.release_id, b.release_id) AS release_id, "
+             + ", ".join(f"coalesce(x.{c}, 0) AS {c}" for c in counts)
+             + f", coalesce(b.bronze_rows, 0) AS bronze_rows FROM ({_dq_sql_metrics(silver_cte, True)}) x "
+             f"FULL OUTER JOIN (SELECT release_id, CAST(count(*) AS BIGINT) AS bronze_rows FROM {bronze_cte} "
+             f"GROUP BY release_id) b ON x.release_id = b.release_id")
+        no_rows = "'No Silver rows found for release_id=' || release_id || '.'"
+    else:
+        m = (f"SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM {bronze_cte}) AS bronze_rows "
+             f"FROM ({_dq_sql_metrics(silver_cte)}) x")
+        no_rows = "'No Silver rows found for release_id=2024_Q1.'"
+    return f"""WITH m AS ({m})
+SELECT {rel}0 AS check_order, 'row_count' AS check_name, CASE WHEN total_rows > 0 THEN 'PASS' ELSE 'FAIL' END AS result,
+  CASE WHEN total_rows > 0 THEN 'silver_rows=' || total_rows ELSE {no_rows} END AS details
 FROM m
 UNION ALL
 {chr(10).join('UNION ALL ' + x if k else x for k, x in enumerate(rule_rows))}
 UNION ALL
-SELECT 8, 'business_key_uniqueness', CASE WHEN total_rows = distinct_business_keys THEN 'PASS' ELSE 'FAIL' END,
+SELECT {rel}8, 'business_key_uniqueness', CASE WHEN total_rows = distinct_business_keys THEN 'PASS' ELSE 'FAIL' END,
   'rows=' || total_rows || '; distinct_keys=' || distinct_business_keys ||
   CASE WHEN total_rows = distinct_business_keys THEN '' ELSE '; duplicate_rows=' || (total_rows - distinct_business_keys) END
 FROM m WHERE total_rows > 0
 UNION ALL
-{_null_rate_rows_sql('m')}
+{_null_rate_rows_sql('m', rel)}
 UNION ALL
-SELECT 12, 'schema_compatibility', 'PASS', '{schema_ok}' FROM m
+SELECT {rel}12, 'schema_compatibility', 'PASS', '{schema_ok}' FROM m
 UNION ALL
-SELECT 13, 'bronze_silver_row_reconciliation', CASE WHEN bronze_rows - total_rows >= 0 THEN 'PASS' ELSE 'FAIL' END,
+SELECT {rel}13, 'bronze_silver_row_reconciliation', CASE WHEN bronze_rows - total_rows >= 0 THEN 'PASS' ELSE 'FAIL' END,
   'bronze_rows=' || bronze_rows || '; silver_rows=' || total_rows || '; difference=' || (bronze_rows - total_rows)
   || '; Silver may be lower because of quarantine and deduplication.'
 FROM m"""
@@ -420,6 +433,19 @@ def dq_results(spark, sf_dir):
     return _ev_dq_results(spark, sf_dir)
 
 
+@query("dq_results_by_release", X.with_views(
+    li_bronze=X.lineitem_bronze(),
+    li_silver=X.silver_sql("li_bronze", X.LINEITEM_COLUMNS, "", X.LINEITEM_REST))
+    + "SELECT * FROM (" + _dq_results_sql("li_silver", "li_bronze", grouped=True) + ") r")
+def dq_results_by_release(spark, sf_dir):
+    """D1-D9 for every release of a multi-release scope from one grouped
+    aggregation (the backfill path)."""
+    b = O.lineitem_bronze(spark, sf_dir)
+    silver = silver_frames(b, FIELDS, RUN_ID)[0]
+    res = Q.evaluate(silver, b, FIELDS, RUN_ID, None, by_release=True)
+    return res.select("check_order", "check_name", "result", "details", "release_id")
+
+
 @query("dq_overall", "SELECT CASE WHEN max(CASE result WHEN 'FAIL' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END) = 2 "
        "THEN 'FAIL' WHEN max(CASE result WHEN 'FAIL' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END) = 1 THEN 'WARNING' "
        "ELSE 'PASS' END AS overall_status FROM (" + _DQ_EVENTS_SQL + ") q")
