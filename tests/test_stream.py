@@ -69,3 +69,18 @@ def test_multi_release_backfill_equals_per_release(spark, scratch):
                              for r in read_table(spark, lake.dq).collect())
     assert dq(one) == dq(each) and len(dq(one)) == 28
     assert read_table(spark, one.quarantine).count() == 1
+
+
+def test_missing_required_column_quarantines_scope_and_fails(spark, scratch):
+    import pytest
+    from drivelake.plans.backfill import run_bronze, run_silver
+    land = f"{scratch}/raw/2024_Q1"
+    os.makedirs(land, exist_ok=True)
+    with open(f"{land}/2024-01-05.csv", "w") as fh:   # no 'model' column at all
+        fh.write("date,serial_number,failure\n2024-01-05,A,0\n2024-01-05,B,1\n")
+    lake = Lakehouse(f"{scratch}/lake")
+    run_bronze(spark, f"{scratch}/raw", "2024_Q1", lake, "run")
+    with pytest.raises(ValueError, match="missing"):
+        run_silver(spark, "2024_Q1", lake, "run")
+    q = read_table(spark, lake.quarantine).collect()
+    assert len(q) == 2 and {r["rejection_reason"] for r in q} == {"missing_required_source_column:drive_model"}
