@@ -47,3 +47,46 @@ def test_afr_and_null_rate(spark):
     assert got == [2 / (730 / 365.0) * 100.0, None]
     df = spark.createDataFrame([(0, 0), (1, 4)], "n long, t long")
     assert [r[0] for r in df.select(null_rate("n", "t")).collect()] == [1.0, 0.25]
+
+
+import re  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+from drivelake.functions.casts import DATE_TEXT, INTEGER_PART, NUMBER_TEXT  # noqa: E402
+
+
+def _legacy_int(s):
+    """The rule the casts implement, written with Python's re (reference for the test)."""
+    if s is None:
+        return None
+    t = s.strip(" ")
+    if not re.fullmatch(NUMBER_TEXT[1:-1], t):
+        return None
+    whole = re.fullmatch(INTEGER_PART[1:-1], t).group(1)
+    v = int(whole) if whole not in ("", "+", "-") else 0
+    return v if -2**31 <= v < 2**31 else None
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789+-. e", max_size=7), min_size=1, max_size=40))
+def test_lenient_int_cast_property(spark, values):
+    got = _col(spark, values, lenient_cast("s", "int"))
+    assert got == [_legacy_int(v) for v in values]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789-/ ", min_size=8, max_size=11), min_size=1, max_size=30))
+def test_strict_date_shape_property(spark, values):
+    got = _col(spark, values, strict_date("s"))
+    for v, d in zip(values, got):
+        if v.startswith("0000"):
+            continue  # year 0 exists in Spark's proleptic calendar, not in Python's date
+        if not re.fullmatch(DATE_TEXT[1:-1], v):
+            assert d is None
+        else:
+            try:
+                want = dt.date(int(v[:4]), int(v[5:7]), int(v[8:]))
+            except ValueError:
+                want = None
+            assert d == want, v
