@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drivelake.functions.paths import decode_key, release_from_key, source_date_from_key
+from drivelake.functions.paths import decode_key, release_from_key, source_date_from_key, utc_iso
 
 # The envelope layout and the validation messages.
 ENVELOPE_SCHEMA = "struct<Records: array<struct<body: string>>>"
@@ -145,8 +145,7 @@ def register(accepted: DataFrame, registry: DataFrame | None = None,
     first = (accepted.join(firsts, "source_file", "left")
              .withColumn("_first", ord_struct.eqNullSafe(F.col("_first_ord")))
              .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False))))
-    received = F.col("received_at")
-    received_text = F.date_format(received, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    received_text = utc_iso(F.col("received_at"))  # F17
     return first.withColumns({
         "registration": F.when(F.col("_first") & ~F.col("_known"), "NEW").otherwise("DUPLICATE"),
         "control_id": F.concat(F.lit(f"{FILE_ENTITY}#"), F.col("source_file")),
