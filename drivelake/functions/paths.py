@@ -49,5 +49,6 @@ def source_date_from_key(key) -> Column:
 
 
 def utc_iso(ts) -> Column:
-    """ISO-8601 UTC text with a ``Z`` suffix."""
-    return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO-8601 UTC text with a ``Z`` suffix, whatever the session time zone
+    (the instant is shifted to UTC wall time before formatting)."""
+    return F.date_format(F.to_utc_timestamp(_col(ts), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
