@@ -62,7 +62,8 @@ def main() -> None:
     obs.write.option("header", True).partitionBy("release_id").csv(raw)
     lake = Lakehouse(f"{scratch}/lake")
     t0 = time.perf_counter()
-    verdicts = run_backfill(spark, raw, lake)  # every release, one set of jobs
+    phases: dict = {}
+    verdicts = run_backfill(spark, raw, lake, timings=phases)  # every release, one set of jobs
     timings["e2e_backfill"] = round(time.perf_counter() - t0, 3)
     releases = sorted(verdicts)
 
@@ -70,7 +71,7 @@ def main() -> None:
     print(json.dumps({
         "metric": "total_sec", "value": total, "unit": "sec", "queries": timings,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": int(cpus),
-        "releases": len(releases), "dq_verdicts": sorted(set(verdicts.values())),
+        "releases": len(releases), "dq_verdicts": sorted(set(verdicts.values())), "e2e_phases": phases,
     }))
     spark.stop()
 

@@ -231,7 +231,8 @@ def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse
 
 
 def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str | None = None,
-                 fields: Sequence[Field] | None = None, releases_per_job: int | None = None) -> dict:
+                 fields: Sequence[Field] | None = None, releases_per_job: int | None = None,
+                 timings: dict | None = None) -> dict:
     """Backfill every release found under ``raw_paths`` in one set of jobs.
 
     The release of a row is the folder of its file.  One CSV scan feeds one
@@ -241,12 +242,23 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     keep their DQ rows and get no Gold; the run then fails naming them.
     ``releases_per_job`` bounds how many releases share one Silver/DQ/Gold
     pass (and so the size of the cached, typed Silver scope) when a whole
-    history is backfilled at once.
+    history is backfilled at once.  ``timings`` (a dict) receives seconds per
+    phase.
     """
     import re
+    import time
+    clock = {} if timings is None else timings
+
+    def timed(phase, fn, *args, **kw):
+        t0 = time.perf_counter()
+        try:
+            return fn(*args, **kw)
+        finally:
+            clock[phase] = round(clock.get(phase, 0.0) + time.perf_counter() - t0, 3)
+
     from urllib.parse import unquote
     run_id = run_id or new_run_id()
-    files = run_bronze(spark, raw_paths, B.release_from_path(F.col("source_file")), lake, run_id)
+    files = timed("bronze", run_bronze, spark, raw_paths, B.release_from_path(F.col("source_file")), lake, run_id)
     # release list from the file listing (driver metadata, one entry per file)
     pattern = re.compile(r"(?:release_id=)?([^/=]+)/[^/]+$")
     releases = sorted({m.group(1) for f in files if (m := pattern.search(unquote(f)))})
@@ -254,12 +266,12 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     verdicts: dict = {}
     for i in range(0, len(releases), step):
         chunk = releases[i:i + step]
-        run_silver(spark, chunk, lake, run_id, fields)
-        chunk_verdicts = run_dq(spark, chunk, lake, run_id, fields, raise_on_fail=False)
+        timed("silver", run_silver, spark, chunk, lake, run_id, fields)
+        chunk_verdicts = timed("dq", run_dq, spark, chunk, lake, run_id, fields, raise_on_fail=False)
         verdicts.update(chunk_verdicts)
         passed = [r for r, v in chunk_verdicts.items() if v != "FAIL"]
         if passed:
-            run_gold(spark, passed, lake, run_id)
+            timed("gold", run_gold, spark, passed, lake, run_id)
     failed = sorted(r for r, v in verdicts.items() if v == "FAIL")
     if failed:
         raise Q.DataQualityError(f"Data quality verdict is FAIL for release(s) {', '.join(map(str, failed))}")
