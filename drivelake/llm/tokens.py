@@ -4,17 +4,24 @@ A text is cut where white space follows other characters; a byte-level
 pre-tokenizer never joins characters over such a place, so the pieces encode
 independently. Each worker keeps the ids of the pieces it has met (``MEMO``
 at most, then it starts anew), so that a frequent piece is encoded once.
+
+A new piece of Latin characters is encoded by tiktoken's core over the ranks
+of the same vocabulary file, which is several times as fast on single words;
+pieces with other characters or with a special token go to the tokenizers
+library itself. Where the file is no byte-level BPE with ids in order of its
+merges, all pieces do. Tests hold both ways against the library.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
 import numpy as np
 
 #: Pieces that a worker keeps.
-MEMO = 700_000
+MEMO = 400_000
 _SPACES = re.compile(r"\s ")
 _PIECES = re.compile(r"\s*\S+|\s+")
 _LOADED: dict[str, "Encoder"] = {}
@@ -25,6 +32,34 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: The pattern of byte-level pre-tokenizers, and the first character after the Latin blocks.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LATIN_END = "\u0250"
+
+
+def _byte_names() -> dict[str, int]:
+    """Byte-level vocabularies name a byte by its own character if that is visible, else by the next one from 256."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}}
+
+
+def _core(path: str):
+    """tiktoken's encoder over the ranks of this vocabulary; None if it doesn't describe such ranks."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if model.get("type") != "BPE" or not plain or spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
+        return None
+    merged = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    names = _byte_names()
+    if None in merged or merged != sorted(set(merged)) or len(merged) + 256 != len(model["vocab"]) or not names.keys() <= model["vocab"].keys():
+        return None
+    import tiktoken
+    ranks = {bytes(map(names.__getitem__, t)): i for t, i in model["vocab"].items()}
+    return tiktoken.Encoding("of-file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Encoder:
     """ids of whole texts as the library gives them with add_special_tokens=False, as little-endian bytes."""
 
@@ -37,6 +72,8 @@ class Encoder:
         self.tok.no_padding()
         top = max(self.tok.get_vocab(with_added_tokens=True).values(), default=0)
         self.dtype, self.code = (np.dtype("<u2"), "H") if top < 65_536 else (np.dtype("<u4"), "I")
+        self.fast = _core(path)
+        self.added = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
         self.inner: dict[str, bytes] = {}  # pieces after a single space, without it
         self.plain: dict[str, bytes] = {}  # any other piece
 
@@ -45,6 +82,14 @@ class Encoder:
         if len(memo) + len(new) > MEMO:
             memo.clear()
             new = list(pieces)
+        if self.fast:
+            rest = []
+            for p in new:
+                if p < _LATIN_END and max(p, default="") < _LATIN_END and not any(t in p for t in self.added):
+                    memo[p] = array(self.code, self.fast(lead + p)).tobytes()
+                else:
+                    rest.append(p)
+            new = rest
         for p, e in zip(new, self.tok.encode_batch_fast([lead + p for p in new], add_special_tokens=False)):
             memo[p] = array(self.code, e.ids).tobytes()
 
