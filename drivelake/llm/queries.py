@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from drivelake.llm import packing, token_file
+from drivelake.llm import packing, pair_bpe, quality_rules, secret_scan, token_file
 from drivelake.llm.common import shared_path, table
 
 
@@ -16,12 +16,30 @@ def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_corpus(spark, out, digest=True)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger, docs = shared_path(spark, "ledger"), table(spark, sf_dir, "documents")
+    secret_scan.scan(spark, docs, ledger)
+    return secret_scan.findings(spark, docs, ledger)
+
+
+def op5_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
+    "op2_secret_scan": op2_secret_scan,
+    "op5_pair_bpe": op5_pair_bpe,
     "op9_packing": op9_packing,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLE: dict[str, str] = {}
