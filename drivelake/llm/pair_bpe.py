@@ -32,7 +32,7 @@ from drivelake.llm.common import slices, texts_of
 from drivelake.llm.tokens import _byte_names, vocabulary
 
 #: White-space pieces and words that a worker keeps.
-MEMO = 300_000
+MEMO = 800_000
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _CHUNK = regex.compile(f"[^{_SPACE}]+")
 #: Characters that Python's split() takes for white space and Unicode does not.
@@ -147,8 +147,9 @@ class WordBpe:
         new = chunks - self.chunks.keys()
         if len(self.chunks) + len(new) > MEMO:
             self.chunks.clear()
-            self.words.clear()
             new = chunks
+        if len(self.words) > MEMO:
+            self.words.clear()
         cut = [(c, self._words(c)) for c in new]
         todo = list({w for _, ws in cut for w in ws if isinstance(w, str)} - self.words.keys())
         symbols = []
