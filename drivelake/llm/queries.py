@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from drivelake.llm import packing, pair_bpe, quality_rules, secret_scan, token_file
+from drivelake.llm import ngram_join, packing, pair_bpe, quality_rules, secret_scan, token_file
 from drivelake.llm.common import shared_path, table
 
 
@@ -26,6 +26,10 @@ def op5_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), digest=True)
 
@@ -39,7 +43,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_secret_scan": op2_secret_scan,
     "op5_pair_bpe": op5_pair_bpe,
+    "op6_ngram_join": op6_ngram_join,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+#: Words end at ASCII white space; A-Z are lower-cased alone.
+_OP6_SQL = """
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda x: x <> '') w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) s from words),
+grams as (select doc_id, unnest(s) g from sets),
+overlap as (select a.doc_id x, b.doc_id y, count(*) o from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+links as (select x, y from overlap join sets a on a.doc_id = x join sets b on b.doc_id = y where 100 * o >= 85 * (len(a.s) + len(b.s) - o)),
+reach as (select doc_id, doc_id as r from sets union select reach.doc_id, y from reach join links on x = r)
+select reach.doc_id, any_value(len(s))::bigint as n_shingles, min(r) as component_id from reach join sets on sets.doc_id = reach.doc_id group by reach.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op6_ngram_join": _OP6_SQL}
