@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from drivelake.llm.common import slices, texts_of, written
 
 #: Bytes of text in a block of columns, on average; rows of a column in a tile.
-BLOCK_BYTES, TILE = 8_000_000, 128
+BLOCK_BYTES, TILE = 8_000_000, 256
 #: Sets in a pack at most: their number takes 16 bits beside the 48 of a hash.
 PACK = 32_768
 _SPACE = np.zeros(256, bool)
@@ -329,9 +329,9 @@ def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -
     most = own.groupBy("h", "root").agg(F.count("*").alias("held")).groupBy("h").agg(F.max(F.struct("held", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
     own = own.join(most.select("h", F.col("m.root").alias("major")), "h")
     cell = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    x = own.where("root <> major").select("h", F.col("tile").alias("i"), cell.alias("j"), F.struct("print", "n", "at", "root").alias("x"))
-    y = own.select("h", F.col("tile").alias("j"), cell.alias("i"), F.struct("print", "n", "at", "root").alias("y"))
-    far = x.join(y, ["h", "i", "j"]).where((F.col("x.root") != F.col("y.root")) & _may("x", "y", num, den))
+    x = own.where("root <> major").select("h", cell.alias("tile"), F.struct("print", "n", "at", "root").alias("x"))
+    y = own.select("h", "tile", F.struct("print", "n", "at", "root").alias("y"))
+    far = x.join(y, ["h", "tile"]).where((F.col("x.root") != F.col("y.root")) & _may("x", "y", num, den))
     far = far.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
     second = written(_linked(written(far, spark, "join-far"), rows, num, den), spark, "join-links")
     links = first.union(second)
