@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from drivelake.llm import ngram_join, packing, pair_bpe, quality_rules, secret_scan, token_file
+from drivelake.llm import html_text, ngram_join, packing, pair_bpe, quality_rules, secret_scan, token_file, top_products
 from drivelake.llm.common import shared_path, table
 
 
@@ -22,6 +22,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.findings(spark, docs, ledger)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op4_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op5_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_secret_scan": op2_secret_scan,
+    "op3_html_text": op3_html_text,
+    "op4_top_products": op4_top_products,
     "op5_pair_bpe": op5_pair_bpe,
     "op6_ngram_join": op6_ngram_join,
     "op9_packing": op9_packing,
@@ -62,4 +72,12 @@ reach as (select doc_id, doc_id as r from sets union select reach.doc_id, y from
 select reach.doc_id, any_value(len(s))::bigint as n_shingles, min(r) as component_id from reach join sets on sets.doc_id = reach.doc_id group by reach.doc_id
 """
 
-ORACLE: dict[str, str] = {"op6_ngram_join": _OP6_SQL}
+_OP4_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings
+           where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id query_id, b.vec_id, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::bigint score
+      from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v))
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s qualify rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op4_top_products": _OP4_SQL, "op6_ngram_join": _OP6_SQL}
