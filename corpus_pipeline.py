@@ -1,21 +1,41 @@
-"""The corpus pipeline: every stage takes (spark, docs, sf_dir) and returns what the next one reads."""
+"""The corpus pipeline: every stage takes (spark, docs, sf_dir) and returns what the next one reads.
+
+Quality rules (operator 10) drop what they reject; the n-gram join (6) keeps one
+document of each group of near copies (five words, similarity 0.8); secret scans
+(2) replace secrets in the texts and drop nothing; packing (9) makes sequences.
+All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from drivelake.llm import packing
-from drivelake.llm.common import table, written
+from drivelake.llm import ngram_join, packing, quality_rules, secret_scan
+from drivelake.llm.common import shared_path, table, written
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.kept(spark, docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(spark, docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ledger = shared_path(spark, "ledger")
+    secret_scan.scan(spark, docs, ledger)
+    return secret_scan.redacted(spark, docs, ledger)
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing (operator 9): one row per piece."""
-    return packing.pack(docs, digest=True)
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids (binary), doc_tokens, sequence_id, offset."""
+    return packing.pack(docs)
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [("quality_rules", quality_stage), ("near_duplicates", near_duplicate_stage), ("secrets", secret_stage), ("packing", packing_stage)]
 
-#: Token ids cannot be had in SQL.
+#: Near copies could be had in SQL, token ids cannot.
 ORACLE_SQL = None
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from drivelake.llm import html_text, ngram_join, packing, pair_bpe, quality_rules, secret_scan, token_file, top_products
+from drivelake.llm import html_text, license_scan, ngram_join, packing, pair_bpe, quality_rules, sanitise, secret_scan, token_file, top_products
 from drivelake.llm.common import shared_path, table
 
 
@@ -38,6 +39,17 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as files source/thousands/tens/doc_id.txt."""
+    part = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    path = F.concat(F.concat_ws("/", "source", part(1000), part(10), F.col("doc_id").cast("string")), F.lit(".txt"))
+    return license_scan.scan(spark, table(spark, sf_dir, "documents"), path)
+
+
+def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.findings(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), digest=True)
 
@@ -54,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_top_products": op4_top_products,
     "op5_pair_bpe": op5_pair_bpe,
     "op6_ngram_join": op6_ngram_join,
+    "op7_license_scan": op7_license_scan,
+    "op8_sanitise": op8_sanitise,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
