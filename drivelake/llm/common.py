@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -21,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A new folder name under the shared folder of the session (``spark.checkpoint.dir``)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    own = spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None)
+    folder = checkpoint_dir(spark, tempfile.mkdtemp(prefix="corpus-") if own else None)  # one process needs no shared folder
+    return f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
