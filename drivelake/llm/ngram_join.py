@@ -18,7 +18,7 @@ entries are bounded by the sizes of the sets:
    with bounds from the sizes and from what overlap the places still allow.
    Columns held by many are split in tiles.
 4. First neighbours (by size) in each tile are compared, and linked rows become
-   components; then all pairs of rows of different components. So a large group
+   components, in two rounds; then all pairs of rows of different components. So a large group
    of near copies does not make all its pairs, yet no link between components
    is lost. Overlaps are counted on the whole sets, exactly.
 
@@ -48,6 +48,8 @@ from drivelake.llm.common import slices, texts_of, written
 
 #: Bytes of text in a block of columns, on average; rows of a column in a tile.
 BLOCK_BYTES, TILE = 8_000_000, 256
+#: Neighbours by size that a row is compared with, in each round before all pairs of different components.
+NEAR = (1, 6)
 #: Sets in a pack at most: their number takes 16 bits beside the 48 of a hash.
 PACK = 32_768
 _SPACE = np.zeros(256, bool)
@@ -312,18 +314,28 @@ def components(spark: SparkSession, edges: DataFrame, tag: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 
+def _rooted(spots: DataFrame, root: DataFrame) -> DataFrame:
+    return spots.join(root, spots.print == root.node, "left").withColumn("root", F.coalesce("root", "print")).drop("node")
+
+
 def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root) of the classes that link with another."""
     spots = rows.select("print", "n", F.explode("first").alias("x")).select("print", "n", "x.*")
     spots = spots.withColumn("tiles", F.ceil(F.col("df") / TILE)).withColumn("tile", F.pmod(F.xxhash64("h", "print"), "tiles"))
     spots = written(spots, spark, "join-spots")
-    me, next_ = F.struct("print", "n", "at"), W.partitionBy("h", "tile").orderBy("n", "print")
-    near = spots.select(me.alias("x"), F.lead(me).over(next_).alias("y")).where("y is not null").where(_may("x", "y", num, den))
-    near = near.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
-    first = written(_linked(written(near, spark, "join-near"), rows, num, den), spark, "join-links")
-    root = components(spark, first, "join-comp")
-
-    own = spots.join(root, spots.print == root.node, "left").withColumn("root", F.coalesce("root", "print")).drop("node")
+    by_size, first, root = W.partitionBy("h", "tile").orderBy("n", "print"), None, None
+    for reach in NEAR:
+        own = spots.withColumn("root", F.col("print")) if root is None else _rooted(spots, root)
+        me = F.struct("print", "n", "at", "root")
+        d = own.select(me.alias("x"), F.array(*[F.lead(me, k).over(by_size) for k in range(1, reach + 1)]).alias("ys"))
+        other = F.filter("ys", lambda y: y["root"] != F.col("x.root"))  # null beyond the last row
+        near = d.select("x", F.explode(other).alias("y")).where(_may("x", "y", num, den))
+        near = near.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
+        found = written(_linked(written(near, spark, "join-near"), rows, num, den), spark, "join-links")
+        first = found if first is None else first.union(found)
+        root = components(spark, first, "join-comp")
+
+    own = _rooted(spots, root)
     own = written(own, spark, "join-own")
     # of each column, only its rows outside the component that holds most of them seek partners there
     most = own.groupBy("h", "root").agg(F.count("*").alias("held")).groupBy("h").agg(F.max(F.struct("held", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
