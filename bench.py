@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 import uuid
 
@@ -38,7 +39,8 @@ def main() -> None:
     from drivelake.plans.observations import lineitem_bronze
     from pyspark.sql import functions as F
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="drivelake-bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="drivelake-bench",
+                          checkpoint=os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="drivelake-bench-"))
     from drivelake.util import checkpoint_dir
     scratch = f"{checkpoint_dir(spark)}/drivelake-bench-{uuid.uuid4().hex[:12]}"  # shared scratch
 

@@ -44,8 +44,8 @@ def bronze_frame(raw: DataFrame, release_id, run_id: str, ingested_at=None) -> D
 def write_bronze(spark: SparkSession, bronze: DataFrame, table: Table) -> None:
     """K1 on first write; otherwise evolve (E1), align by name (E2), append (K2).
 
-    Appends are not idempotent (Q8); incremental runs replace their own
-    ``source_file`` rows instead (see ``replace_file_rows``).
+    Appends are not idempotent (Q8); incremental runs skip a file that Bronze
+    already holds.
     """
     if table_exists(spark, table):
         append_merging(spark, bronze, table)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from drivelake.functions.paths import decode_key, release_from_key, source_date_from_key, utc_iso
@@ -145,6 +146,8 @@ def register(accepted: DataFrame, registry: DataFrame | None = None,
     first = (accepted.join(firsts, "source_file", "left")
              .withColumn("_first", ord_struct.eqNullSafe(F.col("_first_ord")))
              .withColumn("_known", F.coalesce(F.col("_known"), F.lit(False))))
+    # a message delivered twice ties with itself: one of the equal rows is the first
+    first = first.withColumn("_first", F.col("_first") & (F.row_number().over(W.partitionBy("source_file", ord_struct).orderBy(F.lit(1))) == 1))
     received_text = utc_iso(F.col("received_at"))  # F17
     return first.withColumns({
         "registration": F.when(F.col("_first") & ~F.col("_known"), "NEW").otherwise("DUPLICATE"),
@@ -169,8 +172,15 @@ def register_counts(registered: DataFrame) -> DataFrame:
     )
 
 
-def pending(registry: DataFrame, n: int = 1) -> DataFrame:
-    """The oldest ``n`` PENDING files, ties broken by path (top-k)."""
+def pending(registry: DataFrame, n: int = 1, run_log: DataFrame | None = None) -> DataFrame:
+    """The oldest ``n`` PENDING files, ties broken by path (top-k).
+
+    With the run log, files that a run has claimed (any state of theirs is
+    logged) are no longer pending, so the worklist drains; failed ones come
+    back through ``resume_plan``.
+    """
+    if run_log is not None:
+        registry = registry.join(run_log.select("source_file").distinct(), "source_file", "left_anti")
     return (registry.filter(F.col("status") == PENDING)
             .orderBy(F.col("received_at").asc(), F.col("source_file").asc())
             .limit(n))

@@ -141,7 +141,7 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         create_or_append(spark, q, lake.quarantine)
         raise ValueError(f"Required source columns missing: {missing}")
     # a single-file scope is one or two Parquet files: spread it before typing
-    cand = S.candidate(spread(bronze), fields, defer_missing=True)
+    cand = S.candidate(spread(bronze) if source_file else bronze, fields, defer_missing=True)
     with persisted(cand) as c:  # one Bronze scan feeds both branches
         bad = F.col("_rejection_reason").isNotNull()
         stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))
@@ -165,8 +165,10 @@ def _quarantined_before(spark: SparkSession, lake: Lakehouse, source_file: str |
     """A replayed single-file run must not append its rejects twice (Q8)."""
     if source_file is None or not table_exists(spark, lake.quarantine):
         return False
-    lineage = T.StructType([T.StructField("source_file", T.StringType())])
-    return not scope(read_table(spark, lake.quarantine, lineage), source_file=source_file).isEmpty()
+    lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("rejection_reason", T.StringType())])
+    before = scope(read_table(spark, lake.quarantine, lineage), source_file=source_file)
+    # an earlier schema quarantine (E6) of the file says nothing about its row-level rejects
+    return not before.where(~F.col("rejection_reason").startswith(S.MISSING_REQUIRED_SOURCE)).isEmpty()
 
 
 def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
@@ -203,19 +205,36 @@ def run_gold(spark: SparkSession, release_id, lake: Lakehouse, run_id: str) -> t
         empty = sorted(set(map(str, wanted)) - {r["release_id"] for r in report})
         if empty:  # S7: a release without Silver rows fails before any write
             raise G.GoldValidationError(f"No Silver rows found for release_id={', '.join(empty)}")
+        bad = {}  # a bad release does not keep the good ones from their Gold
         for row in report:
-            G.assert_gold_input(row)
-        release, model = G.build_gold(s, run_id, validate=False)
+            try:
+                G.assert_gold_input(row)
+            except G.GoldValidationError as exc:
+                bad[row["release_id"]] = exc
+        good = [r for r in report if r["release_id"] not in bad]
+        if not good:
+            raise next(iter(bad.values()))
+        release, model = G.build_gold(s.where(F.col("release_id").isin([r["release_id"] for r in good])) if bad else s, run_id, validate=False)
         totals = spark.createDataFrame(
-            [(r["release_id"], r["total_rows"], r["silver_failures"]) for r in report],
+            [(r["release_id"], r["total_rows"], r["silver_failures"]) for r in good],
             "release_id string, total_rows long, silver_failures long")
         with persisted(release, model) as (r, m):
-            checks = G.conservation(totals, r, m).collect()
-            G.assert_conservation(checks)
-            overwrite_partitions(r, lake.gold_release)
-            overwrite_partitions(m, lake.gold_model)
+            checks = []
+            for c in G.conservation(totals, r, m).collect():
+                try:
+                    G.assert_conservation([c])
+                    checks.append(c)
+                except RuntimeError as exc:
+                    bad[c["release_id"]] = exc
+            if not checks:
+                raise next(iter(bad.values()))
+            kept = F.col("release_id").isin([c["release_id"] for c in checks])
+            overwrite_partitions(r.where(kept) if bad else r, lake.gold_release)
+            overwrite_partitions(m.where(kept) if bad else m, lake.gold_model)
     verify_written_by(spark, lake.gold_release, {c["release_id"]: c["release_rows"] for c in checks})
     verify_written_by(spark, lake.gold_model, {c["release_id"]: c["model_rows"] for c in checks})
+    if bad:
+        raise G.GoldValidationError("; ".join(f"release_id={k}: {v}" for k, v in sorted(bad.items())))
     return sum(c["release_rows"] for c in checks), sum(c["model_rows"] for c in checks)
 
 
@@ -264,15 +283,24 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
     releases = sorted({m.group(1) for f in files if (m := pattern.search(unquote(f)))})
     step = releases_per_job or max(len(releases), 1)
     verdicts: dict = {}
+    problems: list[str] = []
     for i in range(0, len(releases), step):
         chunk = releases[i:i + step]
         timed("silver", run_silver, spark, chunk, lake, run_id, fields)
         chunk_verdicts = timed("dq", run_dq, spark, chunk, lake, run_id, fields, raise_on_fail=False)
         verdicts.update(chunk_verdicts)
         passed = [r for r, v in chunk_verdicts.items() if v != "FAIL"]
+        for r in sorted(set(chunk) - set(chunk_verdicts)):  # S7: a drop without data rows is an outcome, not silence
+            verdicts[r] = "EMPTY"
+            problems.append(f"No Bronze data found for release_id={r}")
         if passed:
-            timed("gold", run_gold, spark, passed, lake, run_id)
+            try:
+                timed("gold", run_gold, spark, passed, lake, run_id)
+            except G.GoldValidationError as exc:  # its good releases are published; the run fails at the end
+                problems.append(str(exc))
     failed = sorted(r for r, v in verdicts.items() if v == "FAIL")
     if failed:
         raise Q.DataQualityError(f"Data quality verdict is FAIL for release(s) {', '.join(map(str, failed))}")
+    if problems:
+        raise G.GoldValidationError("; ".join(problems))
     return verdicts

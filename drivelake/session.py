@@ -7,12 +7,12 @@ gaps (AQE on, UTC, no UI) and never override what the cluster already set.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str = "drivelake") -> SparkSession:
+def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str = "drivelake", checkpoint: str | None = None) -> SparkSession:
+    """A local session; ``checkpoint`` is the shared folder to use where the environment names none (tests pass a temporary one)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,6 +23,7 @@ def local_session(cores: int | str = "8", shuffle_partitions: int = 8, app: str
                .config("spark.driver.memory", os.environ.get("DRIVELAKE_DRIVER_MEMORY", "8g")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    from drivelake.util import checkpoint_dir
-    checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="drivelake-ckpt-"))  # only when unset
+    if checkpoint:
+        from drivelake.util import checkpoint_dir
+        checkpoint_dir(spark, default=checkpoint)  # only when unset
     return spark

@@ -2,21 +2,22 @@
 
 Daily CSV files drift: columns get added, reordered or re-cased over the
 years.  A single multi-file CSV read takes one header for every file and maps
-the others *by position*.  Two readers avoid that:
-
-* ``raw_drops`` (one storage read): the drops' text lines are read once and
-  cached (spilling to disk); each file's header line is collected from the
-  cache (one short line per file reaches the driver), and every header group
-  is parsed with ``from_csv`` under its own all-string schema; groups are
-  unioned by name.  Streaming micro-batches use the same ``parse_lines``.
-* ``read_raw`` (lazy, no cache): a header-discovery text scan, then one CSV
-  scan per header group - two storage reads, nothing held in memory.
+the others *by position*.  Here a file's header is its first line, whatever it
+holds, and every other line is data, whatever it holds:
+
+* ``file_headers``: one distributed text job finds the first line of each file;
+  the driver gets the distinct headers only.
+* ``parse_lines``: one more pass gives each line its file's header by a join
+  (broadcast where the headers are small, by Spark's own size check), parses it
+  by position and takes each output column from the place its header names.
+
+Nothing of the text is cached.  A file without a column of another file has
+NULL there; a run whose files all lack ``date`` reaches the schema quarantine.
 """
 
 from __future__ import annotations
 
 import contextlib
-from collections import defaultdict
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,8 @@ from pyspark.sql import types as T
 
 from drivelake.functions.paths import decode_path
 
-# Fixed value: a header line carries the bare column names, and every drop
-# has a ``date`` column; data lines hold dates like 2013-04-10 instead.
-HEADER_PATTERN = r'(?i)(^|,)"?date"?(,|$)'
+# Fixed value: a first line with a field like this is data, so its file has no header.
+DATA_FIELD = r'(^|,)"?\d{4}-\d{2}-\d{2}"?(,|$)'
 
 
 def _as_list(paths) -> list[str]:
@@ -44,24 +44,6 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def discover_headers(spark: SparkSession, paths, pattern: str = HEADER_PATTERN) -> dict[str, list[str]]:
-    """Header line -> files having it.
-
-    One distributed text scan keeps only header-looking lines; what reaches
-    the driver is one short line per file.
-    """
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
-             .text(_as_list(paths))
-             .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
-             .filter(F.col("value").rlike(pattern))
-             .dropDuplicates(["file"]))
-    from urllib.parse import unquote
-    groups: dict[str, list[str]] = defaultdict(list)
-    for row in lines.toLocalIterator():
-        groups[row["value"]].append(unquote(row["file"]))  # metadata paths are URI-encoded
-    return dict(groups)
-
-
 def _dedupe_names(cols: list[str]) -> list[str]:
     seen: dict[str, int] = {}
     out = []
@@ -76,52 +58,50 @@ def _dedupe_names(cols: list[str]) -> list[str]:
     return out
 
 
-def read_raw(spark: SparkSession, paths, lineage: bool = True,
-             pattern: str = HEADER_PATTERN) -> DataFrame:
+def text_lines(spark: SparkSession, paths) -> DataFrame:
+    """Every ``*.csv`` line under ``paths`` (recursively) with its decoded file path and block."""
+    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
+            .text(_as_list(paths))
+            .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file"),
+                    F.col("_metadata.file_block_start").alias("block_start")))
+
+
+def _placed(lines: DataFrame, file_col: str) -> DataFrame:
+    """(file, value, at): at orders the lines of a file; a block's lines keep their order within their task."""
+    block = F.col("block_start") if "block_start" in lines.columns else F.lit(0).cast("long")
+    return lines.select(F.col(file_col), F.col("value"), F.struct(block.alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+
+
+def file_headers(lines: DataFrame, file_col: str = "source_file") -> DataFrame:
+    """(file, header, header_at): the first line of each file, a byte order mark taken off."""
+    firsts = _placed(lines, file_col).groupBy(file_col).agg(F.min_by("value", "at").alias("header"), F.min("at").alias("header_at"))
+    return firsts.withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
+
+
+def read_raw(spark: SparkSession, paths, lineage: bool = True) -> DataFrame:
     """Every CSV under ``paths`` as strings, drift-safe, with ``source_file``.
 
     Column names are lower-cased (Q17: Spark resolves names case-insensitively,
     so ``Model`` and ``model`` are one column).
     """
-    groups = discover_headers(spark, paths, pattern)
-    if not groups:
-        raise ValueError(f"No CSV header found under {paths}")
-    frames = []
-    for header, files in sorted(groups.items()):
-        cols = _dedupe_names([c.lower() for c in header_columns(header)])
-        df = (spark.read.schema(string_schema(cols))
-              .option("header", True)
-              .option("mode", "PERMISSIVE")
-              .csv(sorted(files)))
-        if lineage:
-            df = df.withColumn("source_file", decode_path(F.col("_metadata.file_path")))
-        frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
-def text_lines(spark: SparkSession, paths) -> DataFrame:
-    """Every ``*.csv`` line under ``paths`` (recursively) with its decoded file path."""
-    return (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]")
-            .text(_as_list(paths))
-            .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file")))
+    out = parse_lines(text_lines(spark, paths))
+    if out is None:
+        raise ValueError(f"No CSV line found under {paths}")
+    return out if lineage else out.drop("source_file")
 
 
 @contextlib.contextmanager
-def raw_drops(spark: SparkSession, paths, pattern: str = HEADER_PATTERN):
-    """S1 in one storage read: yields ``(rows, files)`` - the drift-safe
-    all-string rows of every CSV under ``paths`` (plus ``source_file``), valid
-    while the lines are cached, and the list of files read (from the listing)."""
+def raw_drops(spark: SparkSession, paths):
+    """Yields ``(rows, files)`` - the drift-safe all-string rows of every
+    CSV under ``paths`` (plus ``source_file``), and the list of files read
+    (from the listing).  Only the headers (a line per file) are kept meanwhile."""
     from drivelake.util import persisted
     lines = text_lines(spark, paths)
-    files = lines.inputFiles()
-    with persisted(lines) as cached:
-        parsed = parse_lines(cached, pattern=pattern, strict=True)
+    with persisted(file_headers(lines)) as heads:
+        parsed = parse_lines(lines, heads=heads)
         if parsed is None:
-            raise ValueError(f"No CSV header found under {paths}")
-        yield parsed, files
+            raise ValueError(f"No CSV line found under {paths}")
+        yield parsed, lines.inputFiles()
 
 
 def check_single_file(path: str, prefix: str) -> None:
@@ -134,12 +114,6 @@ def check_single_file(path: str, prefix: str) -> None:
         raise ValueError(f"input_path must be a .csv file: {path}")
 
 
-def read_raw_file(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
-    """Exactly one CSV file; lineage is the literal path (S3)."""
-    check_single_file(path, prefix)
-    return with_source_file(read_raw(spark, path, lineage=False), path)
-
-
 def with_source_file(df: DataFrame, path: str | None = None) -> DataFrame:
     """S3: per-row file lineage, or a literal path for single-file runs."""
     if path is None:
@@ -147,38 +121,35 @@ def with_source_file(df: DataFrame, path: str | None = None) -> DataFrame:
     return df.withColumn("source_file", F.lit(path))
 
 
-def parse_lines(lines: DataFrame, value: str = "value", file_col: str = "source_file",
-                pattern: str = HEADER_PATTERN, strict: bool = False) -> DataFrame:
-    """Parse text lines of CSV files by their file's header line.
+def parse_lines(lines: DataFrame, file_col: str = "source_file", heads: DataFrame | None = None) -> DataFrame | None:
+    """Parse text lines of CSV files, each by the first line of its file.
 
-    ``lines`` has one row per text line plus the file it came from.  Header
-    lines are found per file (a grouped job keeping one line per file); data
-    lines are parsed with ``from_csv`` using their file's header.  Returns
-    all-string columns plus ``file_col``.  With ``strict`` a file without a
-    header line is an error instead of being skipped.
+    ``lines`` has a row per text line: value, the file, and block_start where a
+    file may have several blocks.  Returns all-string columns plus ``file_col``;
+    None if there is no line.  A first line that holds a date is data: such a
+    file has no header, which is an error that names it.
     """
-    is_header = F.col(value).rlike(pattern)
-    per_file = (lines.groupBy(file_col)
-                .agg(F.min(F.when(is_header, F.col(value))).alias("header")).collect())
-    groups: dict[str, list[str]] = defaultdict(list)
-    headless = []
-    for r in per_file:
-        if r["header"] is None:
-            headless.append(r[file_col])
-        else:
-            groups[r["header"]].append(r[file_col])
-    if strict and headless:
-        raise ValueError(f"CSV file(s) without a header line: {sorted(headless)[:10]}")
-    frames = []
-    for header, files in sorted(groups.items()):
-        cols = _dedupe_names([c.lower() for c in header_columns(header)])
-        ddl = ", ".join(f"`{c}` STRING" for c in cols)
-        parsed = (lines.filter(F.col(file_col).isin(files) & ~is_header & (F.length(F.col(value)) > 0))
-                  .select(F.from_csv(F.col(value), ddl).alias("r"), F.col(file_col)))
-        frames.append(parsed.select(*[F.col("r")[c].alias(c) for c in cols], F.col(file_col)))
-    if not frames:
+    heads = file_headers(lines, file_col) if heads is None else heads
+    headless = heads.where(F.col("header").rlike(DATA_FIELD)).select(file_col).limit(10).collect()
+    if headless:
+        raise ValueError(f"CSV file(s) without a header line: {sorted(r[0] for r in headless)}")
+    headers = sorted(r[0] for r in heads.select("header").distinct().collect())  # distinct layouts, not files
+    if not headers:
         return None
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    layouts = {h: _dedupe_names([c.lower() for c in header_columns(h)]) for h in headers}
+    names = list(dict.fromkeys(c for cols in layouts.values() for c in cols))
+    width = max(len(cols) for cols in layouts.values())
+    data = (_placed(lines, file_col).join(heads, file_col).where((F.col("at") != F.col("header_at")) & (F.length("value") > 0))
+            .select(F.from_csv("value", ", ".join(f"_{i} STRING" for i in range(width))).alias("r"), "header", file_col))
+
+    def column(name: str):
+        places: dict[int, list[str]] = {}
+        for h, cols in layouts.items():
+            if name in cols:
+                places.setdefault(cols.index(name), []).append(h)
+        if len(places) == 1 and len(next(iter(places.values()))) == len(layouts):
+            return F.col("r")[f"_{next(iter(places))}"].alias(name)
+        found = [F.when(F.col("header").isin(hs), F.col("r")[f"_{i}"]) for i, hs in places.items()]
+        return F.coalesce(*found).alias(name)
+
+    return data.select(*[column(c) for c in names], F.col(file_col))

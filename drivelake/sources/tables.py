@@ -9,7 +9,6 @@ directories; a filter on ``source_file`` is pushed to Parquet row-group stats.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +27,23 @@ class Table:
     schema: T.StructType | None = None
 
 
-def _hadoop_path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def table_exists(spark: SparkSession, table: Table) -> bool:
-    """A table exists once a committed write left its success marker."""
+    """A table exists once a write has committed data files or partitions.
+
+    Not by a success marker, which committers of object stores may leave out;
+    uncommitted output is below names that begin with ``_`` or ``.``.
+    """
     if "://" not in table.path and not table.path.startswith("/"):
         return spark.catalog.tableExists(table.path)
-    return _hadoop_path_exists(spark, os.path.join(table.path, "_SUCCESS"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return False
+    entries = fs.listStatusIterator(path)
+    while entries.hasNext():
+        if entries.next().getPath().getName()[:1] not in ("_", "."):
+            return True
+    return False
 
 
 def table_schema(spark: SparkSession, table: Table) -> T.StructType:
@@ -68,25 +72,14 @@ def scope(df: DataFrame, release_id=None, source_file: str | None = None) -> Dat
     return df
 
 
-def spread(df: DataFrame, target: int | None = None, max_tasks: int = 256) -> DataFrame:
-    """Round-robin the rows over ``target`` tasks (default: the cluster's
-    parallelism, at most ``max_tasks``) when the input has fewer splits.
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``target`` tasks, by default the cluster's parallelism.
 
-    A daily drop is one CSV file and a small file is one split, so the
-    CPU-heavy typing would run on one core; a round-robin exchange is
-    skew-free (no key) and deterministic on retry.  The cap keeps a 50 MB
-    increment on a 1000-executor cluster from becoming thousands of tiny
-    tasks.  Inputs that already have enough splits (a backfill over
-    thousands of files) are left alone.
+    For single-file scopes: a daily drop is one or two Parquet files, so the
+    CPU-heavy typing would run on as many cores.  The exchange has no key, so no
+    skew, and AQE merges small partitions afterwards.
     """
-    try:
-        target = target or min(df.sparkSession.sparkContext.defaultParallelism, max_tasks)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the plan as it is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(target or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def require_rows(df: DataFrame, message: str) -> DataFrame:

@@ -52,7 +52,7 @@ def release_of_path(path: str) -> str:
     parts = path.rstrip("/").split("/")
     if len(parts) < 2 or not parts[-2]:
         raise ValueError(f"Unable to determine release_id: {path}")
-    return parts[-2]
+    return parts[-2].removeprefix("release_id=")  # as bronze.release_from_path
 
 
 def _log(spark: SparkSession, lake: Lakehouse, source_file: str, status: str, run_id: str,
@@ -85,7 +85,7 @@ def process_file(spark: SparkSession, lines: DataFrame, source_file: str, lake:
         if not already_ingested(spark, lake, release_id, source_file):
             raw = parse_lines(lines.filter(F.col("source_file") == source_file))
             if raw is None:
-                raise ValueError(f"No CSV header found in {source_file}")
+                raise ValueError(f"No CSV line found in {source_file}")
             B.write_bronze(spark, B.bronze_frame(raw, release_id, run_id), lake.bronze)
         stage = "SILVER"
         run_silver(spark, release_id, lake, run_id, fields, source_file=source_file)
@@ -95,7 +95,7 @@ def process_file(spark: SparkSession, lines: DataFrame, source_file: str, lake:
             stage = "GOLD"
             run_gold(spark, release_id, lake, run_id)
     except Exception as exc:
-        _log(spark, lake, source_file, "FAILED", run_id, stage, f"{type(exc).__name__}: {exc}"[:2000])
+        _log(spark, lake, source_file, "FAILED", run_id, stage, f"{type(exc).__name__}: {exc}")
         raise
     if gold:
         _log(spark, lake, source_file, "SUCCESS", run_id)
@@ -130,7 +130,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, lake: La
                 run_gold(spark, release, lake, members[-1][1])
             except Exception as exc:
                 for f, rid in members:
-                    _log(spark, lake, f, "FAILED", rid, "GOLD", f"{type(exc).__name__}: {exc}"[:2000])
+                    _log(spark, lake, f, "FAILED", rid, "GOLD", f"{type(exc).__name__}: {exc}")
                 raise
             for f, rid in members:
                 _log(spark, lake, f, "SUCCESS", rid)
@@ -144,7 +144,8 @@ def file_lines(spark: SparkSession, landing: str, max_files: int = 1) -> DataFra
             .option("pathGlobFilter", "*.[cC][sS][vV]")
             .option("recursiveFileLookup", "true")
             .load(landing)
-            .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file")))
+            .select(F.col("value"), decode_path(F.col("_metadata.file_path")).alias("source_file"),
+                    F.col("_metadata.file_block_start").alias("block_start")))
 
 
 def run_incremental(spark: SparkSession, landing: str, lake: Lakehouse, checkpoint: str | None = None,

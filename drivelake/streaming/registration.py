@@ -11,6 +11,7 @@ labels them DUPLICATE, so registration is idempotent without stream state.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,6 +41,9 @@ def register_batch(spark: SparkSession, messages: DataFrame, registry: Table, re
     try:
         counts = R.register_counts(registered).collect()[0].asDict()
         bad = rejected.select("message_id", "record_index", "reject_reason", "raw_bucket", "raw_key")
+        if table_exists(spark, rejects):  # a replayed micro-batch finds its rejects there
+            seen = spark.read.schema(bad.schema).parquet(rejects.path).select(F.col("message_id").alias("_m"), F.col("record_index").alias("_i")).distinct()
+            bad = bad.join(seen, F.col("message_id").eqNullSafe(F.col("_m")) & F.col("record_index").eqNullSafe(F.col("_i")), "left_anti")
         if not bad.isEmpty():
             append(bad, rejects)
         if counts["new_count"]:

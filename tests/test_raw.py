@@ -47,3 +47,34 @@ def test_one_read_reader_matches_lazy_reader(spark, scratch):
     with pytest.raises(ValueError, match="without a header"):
         with raw_drops(spark, f"{scratch}/r"):
             pass
+
+
+def test_first_line_is_the_header_and_every_other_line_is_data(spark, scratch):
+    _write(f"{scratch}/h/2013-04-10.csv", "﻿date,serial_number,model\n2013-04-10,S1,date\n2013-04-10,date,M2\n")
+    _write(f"{scratch}/h/2013-04-11.csv", "serial_number,model,added\nS3,M3,x\n")  # no date column
+    _write(f"{scratch}/h/2013-04-12.csv", "model,Date,serial_number\n")  # header only
+    with raw_drops(spark, f"{scratch}/h") as (rows, files):
+        got = sorted(tuple(str(x) for x in r) for r in rows.select("date", "serial_number", "model", "added").collect())
+        assert len(files) == 3
+    assert got == sorted([("2013-04-10", "S1", "date", "None"), ("2013-04-10", "date", "M2", "None"), ("None", "S3", "M3", "x")])
+
+
+def test_drops_without_a_date_column_reach_the_schema_quarantine(spark, scratch):
+    from drivelake.plans.backfill import Lakehouse, run_bronze, run_silver
+    _write(f"{scratch}/q/2013/2013-04-10.csv", "serial_number,model\nS1,M1\n")
+    lake = Lakehouse(f"{scratch}/lake")
+    run_bronze(spark, f"{scratch}/q", "2013", lake, "r1")
+    with pytest.raises(ValueError, match="date"):
+        run_silver(spark, "2013", lake, "r1")
+    assert spark.read.parquet(lake.quarantine.path).count() == 1
+
+
+def test_an_empty_release_is_named_and_the_others_are_published(spark, scratch):
+    from drivelake.plans.backfill import Lakehouse, run_backfill
+    head = "date,serial_number,model,capacity_bytes,failure\n"
+    _write(f"{scratch}/e/2023/2023-01-01.csv", head + "2023-01-01,S1,M1,100,0\n")
+    _write(f"{scratch}/e/2024/2024-01-01.csv", head)
+    lake = Lakehouse(f"{scratch}/lake2")
+    with pytest.raises(ValueError, match="2024"):
+        run_backfill(spark, f"{scratch}/e", lake)
+    assert [r[0] for r in spark.read.parquet(lake.gold_release.path).select("release_id").collect()] in (["2023"], [2023])

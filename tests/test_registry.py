@@ -89,3 +89,20 @@ def test_registration_stream_is_replay_safe(spark, scratch):
     counts = register_batch(spark, _msgs(spark, rows), registry, rejects, B, P)
     assert (counts["processed_count"], counts["new_count"], counts["duplicate_count"]) == (3, 0, 3)
     assert read_table(spark, registry).count() == 2
+
+
+def test_a_message_delivered_twice_registers_its_file_once(spark):
+    row = _msg(1, P + "2013/2013-04-10.csv", minute=1)
+    acc, _ = R.parse_events(_msgs(spark, [row, row, row]), B, P)
+    labels = sorted(r["registration"] for r in R.register(acc).collect())
+    assert labels == ["DUPLICATE", "DUPLICATE", "NEW"]
+
+
+def test_the_worklist_drains(spark):
+    rows = [_msg(i, P + f"2013/2013-04-1{i}.csv", minute=i) for i in range(4)]
+    acc, _ = R.parse_events(_msgs(spark, rows), B, P)
+    registry = R.new_registry_rows(R.register(acc))
+    first = R.pending(registry, 1).collect()[0]["source_file"]
+    log = spark.createDataFrame([(first, 1, "PROCESSING"), (first, 2, "SUCCESS")], "source_file string, seq long, status string")
+    left = [r["source_file"] for r in R.pending(registry, 9, log).collect()]
+    assert first not in left and len(left) == 3
