@@ -318,12 +318,21 @@ def _rooted(spots: DataFrame, root: DataFrame) -> DataFrame:
     return spots.join(root, spots.print == root.node, "left").withColumn("root", F.coalesce("root", "print")).drop("node")
 
 
+def _merged(spark: SparkSession, root: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components of earlier ones (node, root) and further links (a, b), which need not come from their roots."""
+    if root is None:
+        return components(spark, links, "join-comp")
+    if links.isEmpty():
+        return root
+    return components(spark, root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), "join-comp")
+
+
 def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root) of the classes that link with another."""
     spots = rows.select("print", "n", F.explode("first").alias("x")).select("print", "n", "x.*")
     spots = spots.withColumn("tiles", F.ceil(F.col("df") / TILE)).withColumn("tile", F.pmod(F.xxhash64("h", "print"), "tiles"))
     spots = written(spots, spark, "join-spots")
-    by_size, first, root = W.partitionBy("h", "tile").orderBy("n", "print"), None, None
+    by_size, root = W.partitionBy("h", "tile").orderBy("n", "print"), None
     for reach in NEAR:
         own = spots.withColumn("root", F.col("print")) if root is None else _rooted(spots, root)
         me = F.struct("print", "n", "at", "root")
@@ -332,8 +341,7 @@ def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -
         near = d.select("x", F.explode(other).alias("y")).where(_may("x", "y", num, den))
         near = near.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
         found = written(_linked(written(near, spark, "join-near"), rows, num, den), spark, "join-links")
-        first = found if first is None else first.union(found)
-        root = components(spark, first, "join-comp")
+        root = _merged(spark, root, found)
 
     own = _rooted(spots, root)
     own = written(own, spark, "join-own")
@@ -346,8 +354,7 @@ def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -
     far = x.join(y, ["h", "tile"]).where((F.col("x.root") != F.col("y.root")) & _may("x", "y", num, den))
     far = far.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
     second = written(_linked(written(far, spark, "join-far"), rows, num, den), spark, "join-links")
-    links = first.union(second)
-    return components(spark, links, "join-comp")
+    return _merged(spark, root, second)
 
 
 def join(spark: SparkSession, docs: DataFrame, *, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
