@@ -22,8 +22,9 @@ entries are bounded by the sizes of the sets:
    of near copies does not make all its pairs, yet no link between components
    is lost. Overlaps are counted on the whole sets, exactly.
 
-Components come from repeated smallest-neighbour steps; each step is written to
-the shared folder, nothing is collected.
+Components come from stars within bounded pieces of the links, joined by
+smallest-neighbour steps; each step is written to the shared folder, nothing is
+collected.
 
 Rows: null, empty and white texts have the empty set and link with nothing (a
 text with fewer words than n is one n-gram). Rows with equal sets link whether
@@ -39,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -52,6 +54,8 @@ BLOCK_BYTES, TILE = 8_000_000, 256
 NEAR = (1, 6)
 #: Sets in a pack at most: their number takes 16 bits beside the 48 of a hash.
 PACK = 32_768
+#: Links that one task contracts at once; more links make more tasks.
+EDGES = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _WEIGHT = np.random.default_rng(6).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -294,23 +298,64 @@ def _linked(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
     return both.where(over * (num + den) >= num * (F.col("an") + F.col("bn"))).select("a", "b")
 
 
+def _stars(u: pa.ChunkedArray, v: pa.ChunkedArray) -> pa.RecordBatch:
+    """The components of some edges, each as a star: every node but the smallest, with the smallest."""
+    nodes = pa.chunked_array([*u.chunks, *v.chunks]).unique()
+    nodes = nodes.take(pc.sort_indices(nodes))
+    left, right = (pc.index_in(c, value_set=nodes).to_numpy() for c in (u, v))
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[left], label[right])
+        if (label[left] == low).all() and (label[right] == low).all():
+            break
+        np.minimum.at(label, label[left], low)
+        np.minimum.at(label, label[right], low)
+        while (label[label] != label).any():
+            label = label[label]
+    leaf = np.flatnonzero(label != np.arange(len(nodes)))
+    return pa.RecordBatch.from_arrays([nodes.take(pa.array(leaf)), nodes.take(pa.array(label[leaf]))], ["u", "v"])
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) as stars of EDGES edges at a time: as many tasks as that takes, and none holds more."""
+    def stars(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= EDGES:
+                yield _stars(*pa.Table.from_batches(held).columns)
+                held = []
+        if held:
+            yield _stars(*pa.Table.from_batches(held).columns)
+
+    return edges.coalesce(-(-edges.count() // EDGES) or 1).mapInArrow(stars, edges.schema)
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("k"), F.col("v").alias("c"), F.lit(False).alias("centre")).union(edges.select("v", F.lit(None), F.lit(True)))
+    nodes = ends.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max("centre").alias("centre"))
+    return nodes.where("low <> high or (centre and low is not null)").isEmpty()
+
+
 def components(spark: SparkSession, edges: DataFrame, tag: str) -> DataFrame:
     """(node, root) for all nodes of edges (a, b): root is the smallest node of the component.
 
-    Large-star and small-star steps in turn, each written, until an edge set of stars is left.
+    Edges are contracted to stars within bounded pieces; large-star and small-star steps join
+    the pieces. Both repeat, each written, until stars are left that share no node.
     """
-    edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), spark, tag)
-    sign = None
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     while True:
+        edges = written(_contracted(edges), spark, tag)
+        if _all_stars(edges):
+            break
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         edges = written(small, spark, tag)
-        last, sign = sign, edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if sign == last:
-            break
+    edges = edges.distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
 
 

@@ -110,3 +110,18 @@ def test_shingle_sets_are_as_distinct_as_the_words():
         assert all(len(v) == 1 for v in named.values())
         for i in range(0, 400, 2):
             assert len(np.intersect1d(sets[i], sets[i + 1])) == len(want[i] & want[i + 1])
+
+
+def test_components_of_many_pieces(spark, monkeypatch):
+    rng = random.Random(4)
+    chain = list(range(0, 600, 2))
+    rng.shuffle(chain)
+    edges = [*zip(chain, chain[1:]), *[(701, k) for k in range(703, 803, 2)], *[(k, k) for k in (901, 903)], (5, 3), (3, 5), (5, 3)]
+    rng.shuffle(edges)
+    want = {**{k: 0 for k in chain}, **{k: 701 for k in range(703, 803, 2)}, 701: 701, 3: 3, 5: 3}
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    for piece in (150, 1_000_000):
+        monkeypatch.setattr(N, "EDGES", piece)
+        got = N.components(spark, frame, "test-comp").collect()
+        assert len(got) == len(want) and {r.node: r.root for r in got} == want
+    assert N.components(spark, frame.limit(0), "test-comp").count() == 0
