@@ -18,9 +18,9 @@ entries are bounded by the sizes of the sets:
    with bounds from the sizes and from what overlap the places still allow.
    Columns held by many are split in tiles.
 4. First neighbours (by size) in each tile are compared, and linked rows become
-   components, in two rounds; then all pairs of rows of different components. So a large group
-   of near copies does not make all its pairs, yet no link between components
-   is lost. Overlaps are counted on the whole sets, exactly.
+   components, in rounds that reach further in the columns which still hold several
+   components; then all pairs of rows of different components. So a large group of
+   near copies does not make all its pairs, yet no link between components is lost. Overlaps are counted on the whole sets, exactly.
 
 Components come from stars within bounded pieces of the links, joined by
 smallest-neighbour steps; each step is written to the shared folder, nothing is
@@ -51,7 +51,7 @@ from drivelake.llm.common import slices, texts_of, written
 #: Bytes of text in a block of columns, on average; rows of a column in a tile.
 BLOCK_BYTES, TILE = 8_000_000, 256
 #: Neighbours by size that a row is compared with, in each round before all pairs of different components.
-NEAR = (1, 6)
+NEAR = (1, 6, 24)
 #: Sets in a pack at most: their number takes 16 bits beside the 48 of a hash.
 PACK = 32_768
 #: Links that one task contracts at once; more links make more tasks.
@@ -363,6 +363,12 @@ def _rooted(spots: DataFrame, root: DataFrame) -> DataFrame:
     return spots.join(root, spots.print == root.node, "left").withColumn("root", F.coalesce("root", "print")).drop("node")
 
 
+def _undecided(own: DataFrame) -> DataFrame:
+    """The rows of columns that hold more than one component."""
+    several = own.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
+    return own.join(several, "h", "left_semi")
+
+
 def _merged(spark: SparkSession, root: DataFrame | None, links: DataFrame) -> DataFrame:
     """The components of earlier ones (node, root) and further links (a, b), which need not come from their roots."""
     if root is None:
@@ -379,7 +385,7 @@ def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -
     spots = written(spots, spark, "join-spots")
     by_size, root = W.partitionBy("h", "tile").orderBy("n", "print"), None
     for reach in NEAR:
-        own = spots.withColumn("root", F.col("print")) if root is None else _rooted(spots, root)
+        own = spots.withColumn("root", F.col("print")) if root is None else _undecided(_rooted(spots, root))
         me = F.struct("print", "n", "at", "root")
         d = own.select(me.alias("x"), F.array(*[F.lead(me, k).over(by_size) for k in range(1, reach + 1)]).alias("ys"))
         other = F.filter("ys", lambda y: y["root"] != F.col("x.root"))  # null beyond the last row
