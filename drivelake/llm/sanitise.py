@@ -8,15 +8,18 @@ word near the entity,
 
     PMI(t; e) = log2(N df(t, e) / (df(t) df(e)))   of   IC(e) = log2(N / df(e)).
 
-A word with PMI >= ``DISCLOSED`` * IC, seen near the entity in ``SUPPORT``
-documents or more, discloses it; where it stands near the entity it is a span
-of kind "term". Sanitised text has entities generalised to their kind, such
+A word with PMI >= ``DISCLOSED`` * IC discloses it; where it stands near the
+entity it is a span of kind "term". Counts are of distinct texts, so copies add
+nothing. A small df(t, e) says more than it should, so PMI is taken of its
+held-out value: ``ONCE`` for one text, df - ``DISCOUNT`` from two on. For a word
+and an entity of one text the share is then 1 - log2(1 / ``ONCE``) / log2(N), and
+corpora of under 212 texts are too small to tell. Sanitised text has entities generalised to their kind, such
 words generalised to [NAME] if capitalised and removed otherwise.
 
-DataFrame operations only. Counts cover all documents.
+DataFrame operations only. Counts cover all distinct texts.
 
 Rows: a null text is the empty text; a null doc_id stays null; repeated rows
-give repeated results and count as documents each; an empty table gives none.
+give repeated results and count as one text; an empty table gives none.
 Spans count code points, end exclusive.
 """
 
@@ -29,7 +32,9 @@ from drivelake.llm.common import written
 from drivelake.llm.spans import SPAN, joined, places, span
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, DISCLOSED, SUPPORT, LETTERS = 80, 0.85, 3, 3
+WINDOW, DISCLOSED, LETTERS = 80, 0.85, 3
+#: What is expected in fresh text of a pair counted once (held-out value of Church and Gale, 1991), and how much less than its count of one counted more often.
+ONCE, DISCOUNT = 0.448, 0.75
 #: The patterns of the base. Possessive, as nothing they pass over could match in part; a run of
 #: local-part characters is tried from its start only (or where the last match ended).
 PATTERNS = {
@@ -83,31 +88,32 @@ def with_spans(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(found: DataFrame) -> DataFrame:
-    """(row, kind, entity, term, start, end): words near entities, outside all base spans."""
-    d = found.where(F.size("base") > 0).select("row_id", "text", "base", F.explode("base").alias("e"))
+    """(row, text's hash, kind, entity, term, start, end): words near entities, outside all base spans."""
+    d = found.where(F.size("base") > 0).select("row_id", "text_id", "text", "base", F.explode("base").alias("e"))
     low = F.greatest(F.col("e.start") - WINDOW, F.lit(0))
     sides = F.array(F.struct(low.alias("at"), F.substring("text", low + 1, F.col("e.start") - low).alias("part")),
                     F.struct(F.col("e.end").alias("at"), F.substring("text", F.col("e.end") + 1, F.lit(WINDOW)).alias("part")))
-    d = d.select("row_id", "base", F.length("text").alias("size"), "e", F.explode(sides).alias("s")).select("row_id", "base", "size", "e", "s.at", "s.part")
+    d = d.select("row_id", "text_id", "base", F.length("text").alias("size"), "e", F.explode(sides).alias("s")).select("row_id", "text_id", "base", "size", "e", "s.at", "s.part")
     d = d.withColumns({"cut": F.split("part", _WORD, -1), "hit": F.regexp_extract_all("part", F.lit(_WORD), F.lit(0))})
     d = d.withColumn("t", F.explode(places(F.col("cut"), F.col("hit"), len(KINDS), "term", None, F.col("at"))))
     inner = (F.col("at") == 0) | (F.col("t.start") > F.col("at")) | (F.col("at") == F.col("e.end"))  # a word cut by the window's edge is none
     whole = inner & ((F.col("t.end") < F.col("at") + F.length("part")) | (F.col("t.end") == F.col("size")) | (F.col("t.end") == F.col("e.start")))
     free = ~F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (F.col("t.start") < b["end"]))
-    return d.where(whole & free).select("row_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"), F.lower("t.value").alias("term"),
+    return d.where(whole & free).select("row_id", "text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"), F.lower("t.value").alias("term"),
                                         F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"))
 
 
 def disclosing(texts: DataFrame, spots: DataFrame, entities: DataFrame) -> DataFrame:
     """(kind, entity, term, pmi, ic) of the words that disclose an entity."""
-    n = texts.count()
+    n = texts.select(F.sha2("text", 256).alias("text_id")).distinct().count()
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= LETTERS))
-    df_word = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    near = spots.select("row_id", "kind", "entity", "term").distinct().groupBy("kind", "entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
+    df_word = texts.distinct().select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    near = spots.select("text_id", "kind", "entity", "term").distinct().groupBy("kind", "entity", "term").agg(F.count("*").alias("both"))
     df_entity = entities.distinct().groupBy("kind", "entity").agg(F.count("*").alias("held"))
     d = near.join(df_entity, ["kind", "entity"]).join(df_word, "term")
     # a word of a lower-cased text that stands near an entity is among the text's words; least() guards odd case mappings
-    pmi = F.log2(F.lit(float(max(n, 1))) * F.col("both") / (F.greatest("df", "both") * F.col("held")))
+    expected = F.when(F.col("both") == 1, F.lit(ONCE)).otherwise(F.col("both") - DISCOUNT)
+    pmi = F.log2(F.lit(float(max(n, 1))) * expected / (F.greatest("df", "both") * F.col("held")))
     ic = F.log2(F.lit(float(max(n, 1))) / F.col("held"))
     return d.select("kind", "entity", "term", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= DISCLOSED * F.col("ic")))
 
@@ -118,15 +124,15 @@ def find(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFrame
                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
     found = with_spans(own).withColumn("row_id", F.monotonically_increasing_id())
     keep = F.when(F.size("base") > 0, F.col("text"))  # only these texts are read again
-    found = written(found.withColumn("text", keep), spark, "pii")
+    found = written(found.withColumns({"text": keep, "text_id": F.sha2(keep, 256)}), spark, "pii")
     spots = written(_contexts(found), spark, "pii-spots")
-    entities = found.select("row_id", F.explode("base").alias("e")).select("row_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"))
+    entities = found.select("text_id", F.explode("base").alias("e")).select("text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"))
     told = written(disclosing(own.select("text"), spots, entities), spark, "pii-terms")
     # a word near several entities is one span
     hit = spots.join(told.select("kind", "entity", "term"), ["kind", "entity", "term"]).select("row_id", "start", "end", "value").distinct()
     terms = hit.groupBy("row_id").agg(F.sort_array(F.collect_list(span(F.col("start"), len(KINDS), "term", F.col("end"), F.col("value")))).alias("terms"))
     none = F.array().cast(f"array<{SPAN}>")
-    return found.drop("text").join(terms, "row_id", "left").withColumn("terms", F.coalesce("terms", none)).drop("row_id")
+    return found.drop("text", "text_id").join(terms, "row_id", "left").withColumn("terms", F.coalesce("terms", none)).drop("row_id")
 
 
 def _of_kind(kind: str):

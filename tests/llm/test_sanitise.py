@@ -79,3 +79,17 @@ def test_words_that_disclose_an_entity(spark):
     clean = {r.doc_id: r for r in S.sanitised(spark, docs).collect()}
     assert "[EMAIL]" in clean[200].text and "[NAME]" in clean[200].text and "quibbling" not in clean[200].text and "Zorblax" not in clean[200].text
     assert clean[0].text == rows[0][1] and clean[300].text == "Zorblax alone" and clean[301].text == "one lonely rareword near [EMAIL]" and clean[200].kind == "k"
+
+
+def test_names_near_an_entity_of_one_text(spark):
+    rng = random.Random(3)
+    common = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
+    rows = [(i, " ".join(rng.choices(common, k=30))) for i in range(300)]
+    rows += [(400, f"{common[0]} Quendolin {common[1]} bob@ex.org {common[2]}"), (401, f"{common[3]} Marvolo {common[4]} +1 555 010 9999 {common[5]}"), (402, f"Marvolo {common[6]} +1 555 010 9999")]
+    once = {r.doc_id: r.spans for r in S.findings(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert once[400] == "term:4:13,email:18:28" and once[401] == "term:4:11,phone:16:31" and once[402] == "term:0:7,phone:12:27"
+    copies = rows + [(500 + i, rows[300][1]) for i in range(200)]  # these neither add support nor make the entity common
+    docs = spark.createDataFrame(copies, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in S.findings(spark, docs).collect()}
+    assert all(got[i] == once[i if i < 500 else 400] for i, _ in copies)
+    assert {r.doc_id: r.text for r in S.sanitised(spark, docs).collect()}[400] == f"{common[0]} [NAME] {common[1]} [EMAIL] {common[2]}"
