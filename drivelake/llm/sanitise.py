@@ -1,15 +1,15 @@
 """Personal data, and the terms that give it away: information-theoretic sanitisation.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers found in the texts. For every word near an entity e (``WINDOW`` code
-points on either side) the corpus tells how strongly it reveals e: with N
-documents, df(t) of them holding the word, df(e) the entity and df(t, e) the
-word near the entity,
+numbers found in the texts. For every word that in some text is near an entity
+e (``WINDOW`` code points on either side) the corpus tells how strongly it reveals e: with N
+documents, df(t) of them holding the word, df(e) the entity and df(t, e) both,
+at any distance,
 
     PMI(t; e) = log2(N df(t, e) / (df(t) df(e)))   of   IC(e) = log2(N / df(e)).
 
-A word with PMI >= ``DISCLOSED`` * IC discloses it; where it stands near the
-entity it is a span of kind "term". Counts are of distinct texts, so copies add
+A word with PMI >= ``DISCLOSED`` * IC discloses it; in the texts that
+hold the entity it is a span of kind "term" at all its places. Counts are of distinct texts, so copies add
 nothing. A small df(t, e) says more than it should, so PMI is taken of its
 held-out value: ``ONCE`` for one text, df - ``DISCOUNT`` from two on. For a word
 and an entity of one text the share is then 1 - log2(1 / ``ONCE``) / log2(N), and
@@ -87,31 +87,40 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return d.withColumn("base", F.sort_array(F.concat(*found))).drop(*cut, *hits)
 
 
-def _contexts(found: DataFrame) -> DataFrame:
-    """(row, text's hash, kind, entity, term, start, end): words near entities, outside all base spans."""
-    d = found.where(F.size("base") > 0).select("row_id", "text_id", "text", "base", F.explode("base").alias("e"))
+def _near(found: DataFrame) -> DataFrame:
+    """(kind, entity, term): words near entities, outside all base spans."""
+    d = found.where(F.size("base") > 0).select("text", "base", F.explode("base").alias("e"))
     low = F.greatest(F.col("e.start") - WINDOW, F.lit(0))
     sides = F.array(F.struct(low.alias("at"), F.substring("text", low + 1, F.col("e.start") - low).alias("part")),
                     F.struct(F.col("e.end").alias("at"), F.substring("text", F.col("e.end") + 1, F.lit(WINDOW)).alias("part")))
-    d = d.select("row_id", "text_id", "base", F.length("text").alias("size"), "e", F.explode(sides).alias("s")).select("row_id", "text_id", "base", "size", "e", "s.at", "s.part")
+    d = d.select("base", F.length("text").alias("size"), "e", F.explode(sides).alias("s")).select("base", "size", "e", "s.at", "s.part")
     d = d.withColumns({"cut": F.split("part", _WORD, -1), "hit": F.regexp_extract_all("part", F.lit(_WORD), F.lit(0))})
     d = d.withColumn("t", F.explode(places(F.col("cut"), F.col("hit"), len(KINDS), "term", None, F.col("at"))))
     inner = (F.col("at") == 0) | (F.col("t.start") > F.col("at")) | (F.col("at") == F.col("e.end"))  # a word cut by the window's edge is none
     whole = inner & ((F.col("t.end") < F.col("at") + F.length("part")) | (F.col("t.end") == F.col("size")) | (F.col("t.end") == F.col("e.start")))
     free = ~F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (F.col("t.start") < b["end"]))
-    return d.where(whole & free).select("row_id", "text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"), F.lower("t.value").alias("term"),
-                                        F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"))
+    return d.where(whole & free).select(F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"), F.lower("t.value").alias("term"))
 
 
-def disclosing(texts: DataFrame, spots: DataFrame, entities: DataFrame) -> DataFrame:
-    """(kind, entity, term, pmi, ic) of the words that disclose an entity."""
+def _pairs(found: DataFrame) -> DataFrame:
+    """(row_id, kind, entity, term): the distinct entities of a text by its distinct words."""
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.lower))
+    entities = F.array_distinct(F.transform("base", lambda e: F.struct(e["kind"].alias("kind"), F.lower(e["value"]).alias("entity"))))
+    d = found.where(F.size("base") > 0).select("row_id", words.alias("words"), F.explode(entities).alias("e"))
+    return d.select("row_id", "e.kind", "e.entity", F.explode("words").alias("term"))
+
+
+def disclosing(texts: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
+    """(kind, entity, term, pmi, ic) of the words that disclose an entity; near has the pairs to judge."""
     n = texts.select(F.sha2("text", 256).alias("text_id")).distinct().count()
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= LETTERS))
     df_word = texts.distinct().select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    near = spots.select("text_id", "kind", "entity", "term").distinct().groupBy("kind", "entity", "term").agg(F.count("*").alias("both"))
+    once = found.where(F.size("base") > 0).dropDuplicates(["text_id"])
+    both = _pairs(once).groupBy("kind", "entity", "term").agg(F.count("*").alias("both")).join(near, ["kind", "entity", "term"], "left_semi")
+    entities = once.select("text_id", F.explode("base").alias("e")).select("text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"))
     df_entity = entities.distinct().groupBy("kind", "entity").agg(F.count("*").alias("held"))
-    d = near.join(df_entity, ["kind", "entity"]).join(df_word, "term")
-    # a word of a lower-cased text that stands near an entity is among the text's words; least() guards odd case mappings
+    d = both.join(df_entity, ["kind", "entity"]).join(df_word, "term")
+    # a word of a text is among the words of the lower-cased text; greatest() guards odd case mappings
     expected = F.when(F.col("both") == 1, F.lit(ONCE)).otherwise(F.col("both") - DISCOUNT)
     pmi = F.log2(F.lit(float(max(n, 1))) * expected / (F.greatest("df", "both") * F.col("held")))
     ic = F.log2(F.lit(float(max(n, 1))) / F.col("held"))
@@ -125,12 +134,13 @@ def find(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFrame
     found = with_spans(own).withColumn("row_id", F.monotonically_increasing_id())
     keep = F.when(F.size("base") > 0, F.col("text"))  # only these texts are read again
     found = written(found.withColumns({"text": keep, "text_id": F.sha2(keep, 256)}), spark, "pii")
-    spots = written(_contexts(found), spark, "pii-spots")
-    entities = found.select("text_id", F.explode("base").alias("e")).select("text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"))
-    told = written(disclosing(own.select("text"), spots, entities), spark, "pii-terms")
-    # a word near several entities is one span
-    hit = spots.join(told.select("kind", "entity", "term"), ["kind", "entity", "term"]).select("row_id", "start", "end", "value").distinct()
-    terms = hit.groupBy("row_id").agg(F.sort_array(F.collect_list(span(F.col("start"), len(KINDS), "term", F.col("end"), F.col("value")))).alias("terms"))
+    near = written(_near(found).distinct(), spark, "pii-near")
+    told = written(disclosing(own.select("text"), found, near), spark, "pii-terms")
+    hit = _pairs(found).join(told.select("kind", "entity", "term"), ["kind", "entity", "term"]).groupBy("row_id").agg(F.collect_set("term").alias("told"))
+    d = found.where(F.size("base") > 0).select("row_id", "base", "text").join(hit, "row_id")
+    told_here = places(F.split("text", _WORD, -1), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), len(KINDS), "term", lambda w: F.array_contains("told", F.lower(w)))
+    free = F.filter("all", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    terms = written(d.select("row_id", "base", told_here.alias("all")).select("row_id", free.alias("terms")), spark, "pii-spans")
     none = F.array().cast(f"array<{SPAN}>")
     return found.drop("text", "text_id").join(terms, "row_id", "left").withColumn("terms", F.coalesce("terms", none)).drop("row_id")
 

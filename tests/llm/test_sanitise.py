@@ -93,3 +93,19 @@ def test_names_near_an_entity_of_one_text(spark):
     got = {r.doc_id: r.spans for r in S.findings(spark, docs).collect()}
     assert all(got[i] == once[i if i < 500 else 400] for i, _ in copies)
     assert {r.doc_id: r.text for r in S.sanitised(spark, docs).collect()}[400] == f"{common[0]} [NAME] {common[1]} [EMAIL] {common[2]}"
+
+
+def test_disclosing_words_at_all_their_places(spark):
+    rng = random.Random(4)
+    common = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
+    rows = [(i, " ".join(rng.choices(common, k=30))) for i in range(300)]
+    gap = " ".join(common[:30])
+    far = f"Quendolin bob@ex.org {gap} Quendolin {gap} quendolin"
+    rows += [(400, far), (401, f"bob@ex.org {gap} Quendolin {gap}")]  # in the second text only far from the entity
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in S.findings(spark, docs).collect()}
+    at = [m.start() for m in re.finditer("(?i)quendolin", far)]
+    assert got[400] == ",".join([f"term:{at[0]}:{at[0] + 9}", "email:10:20", *[f"term:{i}:{i + 9}" for i in at[1:]]])
+    assert got[401] == f"email:0:10,term:{rows[301][1].index('Q')}:{rows[301][1].index('Q') + 9}"
+    clean = {r.doc_id: r.text for r in S.sanitised(spark, docs).collect()}
+    assert clean[400] == f"[NAME] [EMAIL] {gap} [NAME] {gap} " and clean[401] == f"[EMAIL] {gap} [NAME] {gap}"
