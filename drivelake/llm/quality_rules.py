@@ -5,10 +5,11 @@ words over the common words of its language with one bin for all others. The
 references come from all documents of a language that pass the base rules: for
 the classes the median share of each, so that a tenth of junk does not shift
 them, for the words their sums over the documents. The common words are the
-language's ``COMMON`` most frequent ones. A language with less than ``SHARE`` of the rows has no reference of its own (so
-there are at most 1 / SHARE), and its documents, like those without a language,
-are held against all documents together. Texts under ``MIN_WORDS`` words, or a
-reference without words, are too little to judge a distance by.
+language's ``COMMON`` most frequent ones. A language with less than ``LEAST``
+documents that pass the base rules has no reference: its documents, like those
+without a language, get no distance and are kept if they pass the base rules.
+Texts under ``MIN_WORDS`` words, or a reference without words, are too little to
+judge a distance by.
 
 DataFrame operations only. Per-document histograms are written to the shared
 folder once, as both the references and the distances need them.
@@ -27,8 +28,8 @@ from drivelake.llm.common import written
 
 #: Base rules: words at least; percent of words in repeated windows at most.
 MIN_WORDS, MAX_REPEATED = 50, 50
-#: Common words of a language; least share of rows for a reference of its own.
-COMMON, SHARE = 64, 0.01
+#: Common words of a language; least number of documents for a reference.
+COMMON, LEAST = 64, 30
 #: Largest distances (square root of the divergence in bits, 0 to 1) of a kept document.
 MAX_CLASSES, MAX_COMMON = 0.38, 0.50
 CLASSES = ("lower", "upper", "other_letter", "digit", "space", "symbol", "rest")
@@ -44,30 +45,26 @@ def _without(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def common_words(docs: DataFrame, count: int = COMMON, share: float = SHARE) -> dict[str, list[str]]:
-    """The most frequent words (lower case) of each language with its share of rows; at most count / share words."""
-    langs = {r[0]: r[1] for r in docs.groupBy("lang").count().select("lang", (F.col("count") / F.sum("count").over(W.partitionBy(F.lit(1)))).alias("share"))
-             .where(F.col("share") >= share).collect()}
-    rows = (docs.select("lang", F.explode(_words(F.lower("text"))).alias("word")).where(F.col("lang").isin([x for x in langs if x is not None]))
-            .groupBy("lang", "word").count())
+def common_words(docs: DataFrame, count: int = COMMON, least: int = LEAST) -> DataFrame:
+    """(ref, common): the most frequent words (lower case) of each language with that many rows."""
+    rows = docs.where("lang is not null").select("lang", F.explode(_words(F.lower("text"))).alias("word")).groupBy("lang", "word").count()
     best = rows.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("at") <= count)
-    out: dict[str, list[str]] = {}
-    for r in best.orderBy("lang", "at").collect():
-        out.setdefault(r.lang, []).append(r.word)
-    return out
+    many = docs.groupBy("lang").count().where(F.col("count") >= least).select("lang")
+    return best.join(many, "lang", "left_semi").groupBy(F.col("lang").alias("ref")).agg(F.collect_list("word").alias("common"))
 
 
-def features(docs: DataFrame, common: list[str]) -> DataFrame:
-    """Adds n_words, the base counts, base_failed, classes (a count per class) and words (word and count of each common word)."""
+def features(docs: DataFrame, common: DataFrame) -> DataFrame:
+    """Adds n_words, the base counts, base_failed, classes (a count per class) and words (word and count of each common word of its language)."""
     text = F.col("text")
-    d = docs.withColumns({"w": _words(text), "lines": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))})
+    d = docs.join(F.broadcast(common), F.col("lang") == F.col("ref"), "left")  # a row of common words a language
+    d = d.withColumns({"w": _words(text), "lines": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))})
     n = F.size("w")
     shifted = F.arrays_zip(*[F.slice("w", i, F.greatest(n - 2, F.lit(0))).alias(c) for i, c in ((1, "a"), (2, "b"), (3, "c"))])
     d = d.withColumns({
         "n_words": n.cast("long"), "word_chars": F.length(F.array_join("w", "")).cast("long"),
         "n_symbols": _without(text, "[#*$%&|<>]+"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "windows": F.sort_array(F.transform(shifted, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("i")))),
-        "hits": F.sort_array(F.filter(F.transform("w", F.lower), lambda x: x.isin(common))) if common else F.array().cast("array<string>"),
+        "hits": F.coalesce(F.sort_array(F.filter(F.transform("w", F.lower), lambda x: F.array_contains("common", x))), F.array().cast("array<string>")),
         "lower": _without(text, "[a-z]+"), "upper": _without(text, "[A-Z]+"), "digit": _without(text, "[0-9]+"), "other_letter": _without(text, "[^\\x00-\\x7F]+")})
     twice = F.filter("windows", lambda x, i: (F.get("windows", i - 1)["h"] == x["h"]) | (F.get("windows", i + 1)["h"] == x["h"]))
     d = d.withColumns({"at": F.sort_array(F.transform(twice, lambda x: x["i"])), "hit": F.array_distinct("hits")})
@@ -80,27 +77,24 @@ def features(docs: DataFrame, common: list[str]) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return d.withColumns({"base_failed": failed, "words": counts,
                           "classes": F.array(*[F.col(c) for c in CLASSES[:4]], space, F.col("n_symbols"), rest.cast("long"))}
-                         ).drop("w", "lines", "windows", "hits", "hit", "at", "starts", *CLASSES[:4])
+                         ).drop("w", "lines", "windows", "hits", "hit", "at", "starts", "ref", "common", *CLASSES[:4])
 
 
-def references(found: DataFrame, common: dict[str, list[str]]) -> dict[str | None, tuple[list[float], dict[str, float], float]]:
-    """Per language, and under None for all: shares of the classes, of the common words, and of the other words."""
-    base = found.where(~F.col("base_failed"))
-    small = F.when(F.col("lang").isin(list(common)), F.col("lang"))  # the others count for all documents only
+def references(found: DataFrame, common: DataFrame, least: int = LEAST) -> DataFrame:
+    """(ref, q, qw, q_other) per language: shares of the classes, of the common words, and of the other words."""
+    base = found.where(~F.col("base_failed") & F.col("lang").isNotNull())
     length = F.aggregate("classes", F.lit(0).cast("long"), lambda a, b: a + b)
     medians = [F.percentile_approx(F.get("classes", i) / length, 0.5, 10_000).alias(c) for i, c in enumerate(CLASSES)]
-    every = {w for ws in common.values() for w in ws}
-    counted = base.select(small.alias("lang"), "n_words", F.explode_outer("words").alias("x")).groupBy("lang", "x.word").agg(F.sum("x.n").alias("n")).collect()
-    out = {}
-    for rows in (base.select(small.alias("lang"), "classes", "n_words").where("lang is not null").groupBy("lang"), base.groupBy(F.lit(None).cast("string").alias("lang"))):
-        for r in rows.agg(F.sum("n_words").alias("n"), *medians).collect():
-            classes = [r[c] or 0.0 for c in CLASSES]
-            own = dict.fromkeys(every if r.lang is None else common[r.lang], 0.0)
-            for x in counted:
-                if x.word in own and r.lang in (None, x.lang):
-                    own[x.word] += x.n / r.n
-            out[r.lang] = ([c / max(sum(classes), 1e-9) for c in classes], own, 1 - sum(own.values()))
-    return out
+    shares = base.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("words"), *medians).where(F.col("docs") >= least)
+    counted = base.select("lang", F.explode("words").alias("x")).groupBy("lang", "x.word").agg(F.sum("x.n").alias("n"))
+    counted = counted.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("seen"))
+    d = shares.join(common, F.col("lang") == F.col("ref")).join(counted, "lang", "left")
+    zero = F.lit(0.0)
+    d = d.withColumns({"q": F.array(*[F.coalesce(c, zero) for c in CLASSES]),
+                       "own": F.transform("common", lambda w: F.coalesce(F.element_at("seen", w), F.lit(0)) / F.col("words"))})
+    total = F.greatest(F.aggregate("q", zero, lambda a, b: a + b), F.lit(1e-9))
+    return d.select("ref", F.transform("q", lambda x: x / total).alias("q"), F.map_from_arrays("common", "own").alias("qw"),
+                    (1 - F.aggregate("own", zero, lambda a, b: a + b)).alias("q_other"))
 
 
 def _part(p: Column, q: Column) -> Column:
@@ -109,13 +103,9 @@ def _part(p: Column, q: Column) -> Column:
     return half(p, q) + half(q, p)
 
 
-def judged(found: DataFrame, refs: dict, spark: SparkSession, min_words: int = MIN_WORDS) -> DataFrame:
+def judged(found: DataFrame, refs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Adds class_distance, common_distance (null where there is too little to judge by) and kept."""
-    rows = [(lang, classes, words, other) for lang, (classes, words, other) in refs.items()]
-    table = spark.createDataFrame(rows, "ref string, q array<double>, qw map<string,double>, q_other double")
-    named = [x for x in refs if x is not None]
-    key = F.when(F.col("lang").isin(named), F.col("lang")) if named else F.lit(None).cast("string")
-    d = found.withColumn("ref_key", key).join(F.broadcast(table), F.col("ref_key").eqNullSafe(F.col("ref")), "left")  # at most 1 / SHARE + 1 rows
+    d = found.join(F.broadcast(refs), F.col("lang") == F.col("ref"), "left")  # a row a language
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, b: a + b)
     p = F.transform("classes", lambda c: c / F.col("chars"))
     d = d.withColumn("chars", chars)
@@ -132,7 +122,7 @@ def judged(found: DataFrame, refs: dict, spark: SparkSession, min_words: int = M
     d = d.withColumn("ref_chars", F.coalesce(F.aggregate("q", zero, lambda a, b: a + b) > 0, F.lit(False)))
     d = d.withColumns({"class_distance": F.when(enough, F.sqrt(F.greatest(of_class, zero))), "common_distance": F.when(enough, F.sqrt(F.greatest(of_word, zero)))})
     near = (F.coalesce("class_distance", zero) <= MAX_CLASSES) & (F.coalesce("common_distance", zero) <= MAX_COMMON)
-    return d.withColumn("kept", ~F.col("base_failed") & near).drop("ref", "q", "qw", "q_other", "ref_key", "chars", "own", "ref_chars")
+    return d.withColumn("kept", ~F.col("base_failed") & near).drop("ref", "q", "qw", "q_other", "chars", "own", "ref_chars")
 
 
 def assess(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -140,9 +130,9 @@ def assess(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFra
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                       (F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")).alias("lang"),
                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
-    common = common_words(own.select("lang", "text"))
-    found = written(features(own, sorted({w for ws in common.values() for w in ws})).drop("text"), spark, "quality")
-    return judged(found, references(found, common), spark)
+    common = written(common_words(own.select("lang", "text")), spark, "quality-words")
+    found = written(features(own, common).drop("text"), spark, "quality")
+    return judged(found, written(references(found, common), spark, "quality-references"))
 
 
 def kept(spark: SparkSession, docs: DataFrame) -> DataFrame:

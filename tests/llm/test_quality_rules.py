@@ -93,3 +93,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = queries.QUERIES["op10_quality_rules"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_clean_documents_of_a_small_language_stay(spark):
+    rng = random.Random(5)
+    latin = ["the", "of", "and", *("".join(rng.choices("abcdefghij", k=6)) for _ in range(300))]
+    greek = ["και", "το", "της", *("".join(rng.choices("αβγδεζηθικ", k=6)) for _ in range(300))]
+    prose = lambda words: " ".join(rng.choices(words[:3], k=1)[0] if rng.random() < 0.3 else rng.choice(words) for _ in range(120))
+    junk = lambda: " ".join("".join(rng.choices("#*$%&|<>", k=6)) for _ in range(120))
+    rows = [(i, prose(latin), "en") for i in range(4500)]
+    rows += [(5000 + i, prose(greek), "el") for i in range(40)] + [(5100, junk(), "el")]  # under 1 % of the rows
+    rows += [(5200 + i, prose(greek), "rare") for i in range(5)] + [(5300 + i, prose(greek), None) for i in range(5)]  # nothing to judge by
+    got = {r.doc_id: r for r in Q.assess(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i, _, _ in rows if i != 5100) and not got[5100].kept and not got[5100].base_failed
+    assert got[5000].class_distance < 0.1 and got[5200].class_distance is None and got[5300].common_distance is None
