@@ -3,9 +3,11 @@
 Every sentence or line of a file that speaks of a licence is a sparse TF-IDF
 vector over its words (inverse document frequency over all such lines of the
 corpus and the templates). A file's own licence is the template with the
-largest cosine to one of its lines, from ``LEAST`` on. A file of ``FILE_WORDS``
-words at most that has a licence is its directory's licence file (the most
-frequent licence, then the first by name, where there are several). A file
+largest cosine to one of its lines, from ``LEAST`` on. A file named as
+licence files are (``_NAMED``), of any length, that has a licence is its
+directory's licence file; in a directory without one, a file of ``FILE_WORDS``
+words at most is (the most frequent licence, then the first by name, where there
+are several). A file
 without an own licence takes that of the nearest ancestor directory that has
 one, found by joining the directories' ancestors to the licence files.
 
@@ -37,6 +39,7 @@ TEMPLATES = [
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+_NAMED = r"(?i)(?:^|/)(?:[^/]*[._-])?(?:un)?(?:licen[cs]e|copying|notice)s?(?:[._-](?:mit|apache|bsd|[al]?gpl|mpl|cc|isc|lesser|lib)[a-z0-9.+-]*?)?(?:\.(?:txt|md|rst|html?))?$"
 _SPEAKS = r"(?i)licen[cs]e|copyright|redistribut|permission is hereby|spdx"
 
 
@@ -82,15 +85,15 @@ def scan(spark: SparkSession, files: DataFrame, path: Column, text_col: str = "t
     d = files.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), path.cast("string").alias("path"), text.alias("text"))
     lines = F.when(F.col("text").rlike(_SPEAKS), F.filter(F.split("text", r"\n|(?<=[.!?])\s+"), lambda x: x.rlike(_SPEAKS)))
     short = F.size(F.split(F.trim("text"), "[ \\t-\\r]+", FILE_WORDS + 2)) <= FILE_WORDS
-    d = d.select("doc_id", "path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), short.alias("short"),
+    d = d.select("doc_id", "path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), short.alias("short"), F.coalesce(F.col("path").rlike(_NAMED), F.lit(False)).alias("named"),
                  F.coalesce(F.array_distinct(lines), F.array().cast("array<string>")).alias("lines"), F.monotonically_increasing_id().alias("row_id"))
     d = written(d, spark, "licence-files")
     line = own_licences(spark, d)
     hits = d.where(F.size("lines") > 0).select("row_id", F.explode("lines").alias("line")).select("row_id", F.sha2("line", 256).alias("key")).join(line, "key")
     own = hits.groupBy("row_id").agg(F.min(F.struct((-F.col("score")).alias("score"), "licence")).alias("x")).select("row_id", F.col("x.licence").alias("own_licence"), (-F.col("x.score")).alias("score"))
     d = written(d.drop("lines").join(own, "row_id", "left"), spark, "licence-own")
-    votes = d.where("short and own_licence is not null and path is not null").groupBy("directory", "own_licence").agg(F.count("*").alias("n"))
-    held = votes.groupBy("directory").agg(F.min(F.struct((-F.col("n")).alias("n"), "own_licence")).alias("x")).select(F.col("directory").alias("up"), F.col("x.own_licence").alias("above"))
+    votes = d.where("(short or named) and own_licence is not null and path is not null").groupBy("directory", "named", "own_licence").agg(F.count("*").alias("n"))
+    held = votes.groupBy("directory").agg(F.min(F.struct((~F.col("named")).alias("unnamed"), (-F.col("n")).alias("n"), "own_licence")).alias("x")).select(F.col("directory").alias("up"), F.col("x.own_licence").alias("above"))
     dirs = d.where("path is not null").select("directory").distinct().select("directory", F.explode(_ancestors(F.col("directory"))).alias("a")).select("directory", "a.*")
     near = dirs.join(held, "up").groupBy("directory").agg(F.max(F.struct("depth", "above")).alias("x")).select("directory", F.col("x.above").alias("above"))
     d = d.join(near, "directory", "left").withColumn("above", F.when(F.col("path").isNotNull(), F.col("above")))

@@ -38,3 +38,37 @@ def test_inheritance_and_odd_rows(spark, odd_docs, no_docs):
                           (9, "a/b/c/d/own.py", "GPL-3.0", "inherited"), (10, "z/n.py", "None", "none")])
     assert L.scan(spark, odd_docs, F.col("source")).count() == odd_docs.count()
     assert L.scan(spark, no_docs, F.col("source")).count() == 0
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_full_licence_files_by_name(spark):
+    assert len(MIT_TEXT.split()) > L.FILE_WORDS
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    files = [(1, "a/LICENSE", MIT_TEXT), (2, "a/b/x.py", "code"), (3, "a/one.py", gpl), (4, "a/two.py", gpl), (5, "a/y.py", "code"), (6, "c/LICENCE.txt", MIT_TEXT), (7, "c/z.py", "code"),
+             (8, "d/long.py", MIT_TEXT), (9, "d/z.py", "code"), (10, "e/MIT-COPYING", MIT_TEXT), (11, "e/z.py", "code"), (12, "f/noticeboard.py", MIT_TEXT), (13, "f/z.py", "code"), (14, "f/license_scan.py", MIT_TEXT)]
+    got = {r.doc_id: (r.licence, r.origin) for r in L.scan(spark, spark.createDataFrame(files, "doc_id long, path string, text string"), F.col("path")).collect()}
+    assert all(got[i] == ("MIT", "inherited") for i in (2, 5, 7, 11)) and got[3] == ("GPL-3.0", "own")
+    assert all(got[i] == (None, "none") for i in (9, 13)) and all(got[i] == ("MIT", "own") for i in (1, 6, 8, 10, 12, 14))
