@@ -72,3 +72,35 @@ def test_full_licence_files_by_name(spark):
     got = {r.doc_id: (r.licence, r.origin) for r in L.scan(spark, spark.createDataFrame(files, "doc_id long, path string, text string"), F.col("path")).collect()}
     assert all(got[i] == ("MIT", "inherited") for i in (2, 5, 7, 11)) and got[3] == ("GPL-3.0", "own")
     assert all(got[i] == (None, "none") for i in (9, 13)) and all(got[i] == ("MIT", "own") for i in (1, 6, 8, 10, 12, 14))
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+THIRD = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+OTHERS = [
+    ("MIT", MIT_TEXT), ("BSD-2-Clause", BSD), ("BSD-3-Clause", BSD + THIRD),
+    ("GPL-2.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.\n"),
+    ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE\n  Version 2.1, February 1999\n"), ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\n  Version 3, 19 November 2007\n"), ("Apache-2.0", "Apache License\n   Version 2.0, January 2004\n http://www.apache.org/licenses/\n"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n"), ("CC-BY-SA-4.0", "This text is licensed under CC BY-SA 4.0."),
+    ("MIT", "// SPDX-License-Identifier: MIT"), ("EPL-2.0", "# SPDX-License-Identifier: EPL-2.0\nx = 1"), ("MIT OR Apache-2.0", "/* SPDX-License-Identifier: MIT OR Apache-2.0 */"),
+    ("GPL-2.0-only WITH Linux-syscall-note", "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */"),
+]
+
+
+def test_notices_and_texts_of_common_licences(spark):
+    docs = spark.createDataFrame([(i, f"d{i}/x.c", t) for i, (_, t) in enumerate(OTHERS)], "doc_id long, path string, text string")
+    got = {r.doc_id: r.own_licence for r in L.scan(spark, docs, F.col("path")).collect()}
+    assert [got[i] for i in range(len(OTHERS))] == [x for x, _ in OTHERS]
