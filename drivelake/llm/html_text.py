@@ -37,10 +37,12 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
 _words = lambda s: frozenset(s.split())
 #: Element names of HTML by their role.
 _VOID = _words("area base br col embed hr img input link meta param source track wbr")
-_RAW = _words("script style textarea title noscript template iframe svg math object xmp noembed noframes")
+_RAW = _words("script style textarea title noscript template iframe svg object xmp noembed noframes")
+_ENDLESS = _words("script style textarea title")  # without an end tag these take the rest of the page
+_IN_HEAD = _words("base link meta noscript script style template title")
 _BLOCK = _words("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
-                "li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption")
-_OUT = _words("head nav aside form footer button select option label menu dialog fieldset canvas audio video")
+                "li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption xmp")
+_OUT = _words("head nav aside form footer button select option label menu dialog fieldset canvas audio video annotation annotation-xml")
 _HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 _ENDS = {"li": _words("li"), "dt": _words("dt dd"), "dd": _words("dt dd"), "tr": _words("tr td th"), "td": _words("td th"), "th": _words("td th"), "option": _words("option")}
 _SCOPE = {"li": _words("ul ol menu"), "dt": _words("dl"), "dd": _words("dl"), "tr": _words("table tbody thead tfoot"), "td": _words("tr"), "th": _words("tr"), "option": _words("select")}
@@ -62,6 +64,8 @@ class Page:
             m = at(html, pos)
             text = html[pos: m.start()] if m else html[pos:]
             if text:
+                if self.tag[stack[-1]] == "head" and text.strip():
+                    stack.pop()
                 self.parts[stack[-1]].append(unescape(text) if "&" in text else text)
             if not m:
                 break
@@ -76,9 +80,17 @@ class Page:
                         del stack[i:]
                         break
                 continue
+            if name not in _IN_HEAD and name not in ("html", "head"):
+                self._close(stack, ("head",), ())
+            if name in ("svg", "math") and (m[3] or m[6] or "").endswith("/"):
+                continue
             if name in _RAW:
-                end = re.compile(f"</{name}[^>]*>", re.I).search(html, pos)
-                pos = end.end() if end else len(html)
+                end = re.compile(f"</{name}(?![^\\s/>])[^>]*>", re.I).search(html, pos)
+                if end and name == "xmp":
+                    self._close(stack, ("p",), _P_SCOPE)
+                    self.parts[self._open(name, m[3] or m[6] or "", stack[-1])].append(html[pos: end.start()])
+                if end or name in _ENDLESS:
+                    pos = end.end() if end else len(html)
                 continue
             if name in ("html", "body"):
                 continue

@@ -46,3 +46,16 @@ def test_odd_rows(spark):
     got = sorted((r.page_id or 0, r.n_chars, r.text[:4]) for r in html_text.main_texts(pages).collect())
     assert got == [(0, 0, ""), (1, 4, "deep"), (2, 39_999, "x\nx\n"), (2, 39_999, "x\nx\n")]
     assert html_text.main_texts(pages.limit(0)).count() == 0
+
+
+LEGAL = [
+    (f"<html><head><title>T</title><meta charset=utf-8><body><p>{P}</p>", P.strip()), (f"<head><title>T</title><p>{P}</p>", P.strip()), (f"<head><title>T</title>{P}", P.strip()),
+    (f"<article><p>{P}<svg width='1'/>{P}</p><math/><p>{P}</p></article>", f"{P}{P.strip()}\n{P.strip()}"), (f"<article><p>{P}</p><iframe src=x><p>{P}</p></article>", f"{P.strip()}\n{P.strip()}"),
+    (f"<article><p>{P}<math><mi>x</mi><mo>=</mo><mn>2</mn></math></p><xmp>a <b> &amp; c</xmp></article>", f"{P}x=2\na <b> &amp; c"),
+    (f"<article><p>{P}</p><script>if (a) '<p>no</p>'", P.strip()), (f"<article><p>{P}</p><svg><text>no</text></svg></article>", P.strip()),
+]
+
+
+@pytest.mark.parametrize("page, text", LEGAL)
+def test_legal_pages_without_end_tags(page, text):
+    assert html_text.extract(page) == text
