@@ -10,8 +10,10 @@ centre's neighbours on that path that reach the threshold belong to the text,
 and so does the whole article element around it, where a page marks one.
 
 Left out beforehand: scripts, styles, forms, menus, page headers and footers,
-sidebars, hidden parts, and parts whose class, id or role names an advert,
-notice, menu or reader comments. A text is its blocks in page order, joined by
+sidebars, hidden parts, and parts whose class, id or role is as a whole the name of
+an advert, notice, menu or reader comments. Ids of headings and paragraphs do not
+count, and of a section within the article only where half of it is links, unless
+they name reader comments. A text is its blocks in page order, joined by
 a line feed; white space within a block becomes one space, as does a br.
 
 Rows: a null html is the empty page, which has the empty text; a page without
@@ -47,11 +49,15 @@ _HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 _ENDS = {"li": _words("li"), "dt": _words("dt dd"), "dd": _words("dt dd"), "tr": _words("tr td th"), "td": _words("td th"), "th": _words("td th"), "option": _words("option")}
 _SCOPE = {"li": _words("ul ol menu"), "dt": _words("dl"), "dd": _words("dl"), "tr": _words("table tbody thead tfoot"), "td": _words("tr"), "th": _words("tr"), "option": _words("select")}
 _P_SCOPE = _words("article aside body div td th li section main table blockquote header footer form figure dd button")
-#: Words in class, id or role that mark a part as no text of the article.
-_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|"
-                    r"subscribe|subscription|signup|login|sidebar|side-?bar|side|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|site-?header|page-?header|site-?footer|"
-                    r"page-?footer|footer|copyright|comments?|comment-?list|commentlist|replies|reply|respond|disqus|related|recommended|recommendations|share|sharing|social|widgets?|tags|toc|"
-                    r"complementary|contentinfo|search|skip-?link|disclaimer)(?:$|[\s_-])", re.I)
+#: Names in class, id or role that mark a part as no text of the article: whole ones, made of these words and nothing else.
+_WORD = (r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|"
+         r"subscribe|subscription|signup|login|sidebar|side-?bar|side|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|site-?header|page-?header|site-?footer|"
+         r"page-?footer|footer|copyright|comments?|comment-?list|commentlist|replies|reply|respond|disqus|related|recommended|recommendations|share|sharing|social|widgets?|tags|toc|"
+         r"complementary|contentinfo|search|skip-?link|disclaimer")
+_PLACE = r"site|page|main|top|bottom|left|right|box|bar|list|links?|buttons?|icons?|wrapper|wrap|container|section|block|area|form|items?|posts?|articles?|stories|media|slot|inner|outer|[0-9]+"
+_NAMES = re.compile(rf"(?:(?:{_PLACE})[_-])*(?:{_WORD})(?:[_-](?:{_WORD}|{_PLACE}))*", re.I)
+_ANSWERS = re.compile(rf"(?:comments?|commentlist|replies|respond|disqus)(?:[_-](?:{_PLACE}))*", re.I)
+_names = lambda v, of=_NAMES: any(map(of.fullmatch, v.split()))
 
 
 class Page:
@@ -59,6 +65,7 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.parts, self.out = ["body"], [-1], [[]], [False]
+        self.doubtful: list[int] = []
         stack, pos, at = [0], 0, _TAG.search
         while True:
             m = at(html, pos)
@@ -101,6 +108,9 @@ class Page:
             node = self._open(name, m[3] or m[6] or "", stack[-1])
             if name not in _VOID:
                 stack.append(node)
+        for node in self.doubtful:  # menus and the like are mostly links
+            chars, links = self._links(node)
+            self.out[node] |= 2 * links >= chars
 
     def _close(self, stack: list[int], names, scope) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -120,11 +130,30 @@ class Page:
         if attrs and not out:
             for k, a, b, c in _ATTR.findall(attrs):
                 k, v = k.lower(), a or b or c
-                out |= (k in ("class", "id", "role") and name not in ("article", "main", "body") and bool(_NAMES.search(v)) or k == "hidden"
+                named = k in ("class", "id", "role") and name not in ("article", "main", "body") and _names(v)
+                if named and k == "id" and (name in _HEADINGS or name == "p"):
+                    named = False  # made from the words of the text
+                elif named and k == "id" and name == "section" and not _names(v, _ANSWERS) and self._within(parent, ("article", "main")):
+                    self.doubtful.append(node)
+                    named = False
+                out |= (named or k == "hidden"
                         or k == "aria-hidden" and v.lower() == "true" or k == "style" and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v, re.I)))
         self.out.append(out)
         return node
 
+    def _links(self, root: int) -> tuple[int, int]:
+        """Characters of text below a node, and those of links."""
+        chars, links, todo = 0, 0, [(root, False)]
+        while todo:
+            node, link = todo.pop()
+            for part in self.parts[node]:
+                if isinstance(part, str):
+                    n = len(" ".join(part.split()))
+                    chars, links = chars + n, links + n * link
+                elif not self.out[part]:
+                    todo.append((part, link or self.tag[part] == "a"))
+        return chars, links
+
     def _within(self, node: int, names) -> bool:
         while node > 0:
             if self.tag[node] in names:

@@ -59,3 +59,17 @@ LEGAL = [
 @pytest.mark.parametrize("page, text", LEGAL)
 def test_legal_pages_without_end_tags(page, text):
     assert html_text.extract(page) == text
+
+
+SLUGS = ["side-effects", "related-work", "search-algorithm", "share-prices", "social-history"]
+MENU = "<a href=a>One</a> <a href=b>Two</a>"
+
+
+@pytest.mark.parametrize("slug", [*SLUGS, "search", "tags"])
+def test_ids_made_from_headings_stay(slug):
+    assert html_text.extract(f"<article><p>{P}</p><section id={slug}><h2 id={slug}>T</h2><p id={slug}>{P}</p></section></article>") == f"{P.strip()}\nT\n{P.strip()}"
+
+
+@pytest.mark.parametrize("part", [f"<section id=related>{MENU}</section>", f"<section id=comments><p>{P}</p></section>", f"<div class='x share-buttons'>{P}</div>", f"<div id=sidebar>{P}</div>"])
+def test_names_of_boilerplate_go(part):
+    assert html_text.extract(f"<article><p>{P}</p>{part}<p class=related-work>{P}</p></article>") == "\n".join([P.strip()] * 2)
