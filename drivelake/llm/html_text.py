@@ -7,7 +7,8 @@ where nLC = C - LC and b stands for the body. A node's density sum adds the
 densities of its children. The node with the largest sum is the centre of the
 text. The threshold is the smallest density on its path to the body; the
 centre's neighbours on that path that reach the threshold belong to the text,
-and so does the whole article element around it, where a page marks one.
+and so does the whole outermost article element around the centre (main where
+there is none); neighbours of it join by the same threshold.
 
 Left out beforehand: scripts, styles, forms, menus, page headers and footers,
 sidebars, hidden parts, and parts whose class, id or role is as a whole the name of
@@ -195,16 +196,13 @@ class Page:
         centre = max(range(len(sums)), key=lambda i: (sums[i], -i) if self._seen(i) else (-math.inf, 0))
         if sums[centre] <= 0:
             centre = 0
-        node = centre
-        while node > 0:
-            if self.tag[node] in ("article", "main"):
-                return [node]
-            node = self.parent[node]
         path = [centre]
         while path[-1] > 0:
             path.append(self.parent[path[-1]])
         least = min(density[i] for i in path)
-        roots = {centre}
+        marked = [k for k, i in enumerate(path) if self.tag[i] == "article"] or [k for k, i in enumerate(path) if self.tag[i] == "main"] or [0]
+        path = path[marked[-1]:]  # the outermost article (or main part) around the centre belongs to the text as a whole
+        roots = {path[0]}
         for up, below in zip(path[1:], path):
             for i in self.parts[up]:
                 if isinstance(i, int) and i != below and not self.out[i] and (density[i] >= least or self.tag[i] in _HEADINGS and i < below):

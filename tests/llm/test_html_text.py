@@ -73,3 +73,18 @@ def test_ids_made_from_headings_stay(slug):
 @pytest.mark.parametrize("part", [f"<section id=related>{MENU}</section>", f"<section id=comments><p>{P}</p></section>", f"<div class='x share-buttons'>{P}</div>", f"<div id=sidebar>{P}</div>"])
 def test_names_of_boilerplate_go(part):
     assert html_text.extract(f"<article><p>{P}</p>{part}<p class=related-work>{P}</p></article>") == "\n".join([P.strip()] * 2)
+
+
+ONE, TWO = f"<h1>T</h1><p>{P*3}</p><p>{P*3}</p>", f"<p>{P*2}</p><p>{P*2}</p>"
+LONG = [(P * 3).strip()] * 2
+SHORT = [(P * 2).strip()] * 2
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div><article>{ONE}</article><article>{TWO}</article></div>", ["T", *LONG, *SHORT]),
+    (f"<main><article>{ONE}</article><article>{TWO}</article></main>", ["T", *LONG, *SHORT]),
+    (f"<article>{TWO}<article><div>{ONE}</div></article>{TWO}</article><nav><a href=x>Home</a></nav>", [*SHORT, "T", *LONG, *SHORT]),
+    (f"<main><article>{ONE}</article><div>{'<a href=x>More of this</a> ' * 9}</div></main>", ["T", *LONG]),
+])
+def test_threshold_chooses_around_articles(page, text):
+    assert html_text.extract(page) == "\n".join(text)
