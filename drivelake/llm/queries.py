@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivelake.llm import filter_audit, html_text, license_scan, merkle, ngram_join, packing, pair_bpe, quality_rules, sanitise, secret_scan, token_file, top_products
+from drivelake.llm import chosen_path, filter_audit, html_text, license_scan, merkle, ngram_join, packing, pair_bpe, quality_rules, sanitise, secret_scan, token_file, top_products
 from drivelake.llm.common import shared_path, table
 
 
@@ -59,6 +59,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.join(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sanitise": op8_sanitise,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_chosen_path": op11_chosen_path,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -96,6 +101,12 @@ reach as (select doc_id, doc_id as r from sets union select reach.doc_id, y from
 select reach.doc_id, any_value(len(s))::bigint as n_shingles, min(r) as component_id from reach join sets on sets.doc_id = reach.doc_id group by reach.doc_id
 """
 
+#: The same with two words and 80 of 100; a document is kept if it has its component's id.
+_OP11_SQL = f"""
+select *, doc_id is not distinct from component_id as kept from ({
+    _OP6_SQL.replace("len(w) < 4", "len(w) < 2").replace("len(w) - 2)", "len(w))").replace("i + 3", "i + 1").replace(">= 85 *", ">= 80 *")})
+"""
+
 _OP4_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings
            where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
@@ -158,4 +169,4 @@ select l.doc_id, l.leaf, p.subroot, summit.root, sha256(u.proof) as proof_sha256
 from leaves l join places p on p.tree = l.tree join upper_climb u on u.tree = l.tree and u.start = l.pos join summit on u.lvl = summit.depth
 """
 
-ORACLE: dict[str, str] = {"op4_top_products": _OP4_SQL, "op6_ngram_join": _OP6_SQL, "op12_filter_audit": _OP12_SQL, "op13_merkle_manifest": _OP13_SQL}
+ORACLE: dict[str, str] = {"op4_top_products": _OP4_SQL, "op6_ngram_join": _OP6_SQL, "op11_chosen_path": _OP11_SQL, "op12_filter_audit": _OP12_SQL, "op13_merkle_manifest": _OP13_SQL}
