@@ -74,6 +74,27 @@ def strict_date_sql(ref: str, fmt: str = DATE_FORMAT) -> str:
     return f"CASE WHEN {shape} THEN try_cast({ref} AS DATE) END"
 
 
+def strict_timestamp_sql(ref: str, fmt: str = DATE_FORMAT) -> str:
+    """text to timestamp with a fixed pattern, NULL when unparsable."""
+    return f"try_to_timestamp({ref}, {sql_literal(fmt)})"
+
+
+def parse_sql(rule: str, ref: str, datatype: str) -> str:
+    """The value of source text ``ref`` under a parse rule of the schema."""
+    if rule == "text":
+        return lenient_cast_sql(blank_to_null_sql(ref), datatype)
+    if rule == "date":
+        return strict_date_sql(ref)
+    if rule == "timestamp":
+        return strict_timestamp_sql(ref)
+    return lenient_cast_sql(ref, datatype)
+
+
+def unparsable_sql(rule: str, ref: str, datatype: str) -> str:
+    """``ref`` gives no value under the rule: it is blank, or its value is NULL (never NULL itself)."""
+    return is_blank_sql(ref) if rule == "text" else f"({is_blank_sql(ref)} OR ({parse_sql(rule, ref, datatype)}) IS NULL)"
+
+
 def blank_to_null_sql(ref: str) -> str:
     return f"CASE WHEN length(trim({ref})) > 0 THEN trim({ref}) END"
 

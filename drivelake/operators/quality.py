@@ -14,7 +14,7 @@ import re
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivelake.functions.metrics import fixed6, null_rate
@@ -104,6 +104,45 @@ def schema_check(columns: Sequence[tuple[str, str]], fields: Sequence[Field]) ->
     return missing, unexpected, mismatched
 
 
+def canonical_relation(spark: SparkSession, fields: Sequence[Field]) -> DataFrame:
+    """(ord, column_name, expected): the declared fields as rows."""
+    rows = [(i, f.name, f.type_name) for i, f in enumerate(fields)]
+    return spark.createDataFrame(rows, "ord int, column_name string, expected string")
+
+
+def column_relation(df: DataFrame) -> DataFrame:
+    """(place, column_name, actual): the columns of a frame as rows; the frame is planned, not run."""
+    rows = [(i, f.name, normalize_type(f.dataType.simpleString())) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "place int, column_name string, actual string")
+
+
+def schema_findings(canonical: DataFrame, actual: DataFrame) -> DataFrame:
+    """A full outer join of both by name, one row per column that differs:
+    (finding, at, column_name, expected, actual), where finding is ``missing``,
+    ``unexpected`` or ``mismatch`` and at is the order of its text."""
+    permitted = sorted(OPERATIONAL_COLUMNS | DERIVED_COLUMNS)
+    finding = (F.when(F.col("place").isNull(), "missing")
+               .when(F.col("ord").isNull() & ~F.col("column_name").isin(permitted), "unexpected")
+               .when(F.col("expected") != F.col("actual"), "mismatch"))
+    both = canonical.join(actual, "column_name", "full_outer").withColumn("finding", finding).where("finding is not null")
+    return both.select("finding", F.coalesce("ord", "place").alias("at"), "column_name", "expected", "actual")
+
+
+def schema_compatibility(canonical: DataFrame, actual: DataFrame) -> DataFrame:
+    """The ``schema_compatibility`` row (check_name, result, details) of two relations of columns."""
+    text = F.when(F.col("finding") == "mismatch", F.concat("column_name", F.lit(": expected="), "expected", F.lit(", actual="), "actual")).otherwise(F.col("column_name"))
+    found = schema_findings(canonical, actual).select("finding", F.struct("at", F.concat(F.lit("'"), text, F.lit("'")).alias("text")).alias("x"))
+
+    def listed(kind: str) -> Column:
+        texts = F.transform(F.array_sort(F.collect_list(F.when(F.col("finding") == kind, F.col("x")))), lambda x: x["text"])
+        return F.concat(F.lit("["), F.array_join(texts, ", "), F.lit("]"))
+
+    d = found.agg(F.count("*").alias("n"), listed("missing").alias("missing"), listed("unexpected").alias("unexpected"), listed("mismatch").alias("mismatch"))
+    details = F.concat(F.lit("missing_canonical="), "missing", F.lit("; unexpected_columns="), "unexpected", F.lit("; type_mismatches="), "mismatch")
+    return d.select(F.lit("schema_compatibility").alias("check_name"), F.when(F.col("n") == 0, "PASS").otherwise("FAIL").alias("result"),
+                    F.when(F.col("n") == 0, SCHEMA_OK_TEXT).otherwise(details).alias("details"))
+
+
 def _metrics_row(silver: DataFrame, bronze: DataFrame | None, rules: Sequence[Rule],
                  by: Sequence[str] = ()) -> DataFrame:
     """Silver metrics + rule metrics + the Bronze count: one row per ``by``

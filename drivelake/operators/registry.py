@@ -139,8 +139,9 @@ def register(accepted: DataFrame, registry: DataFrame | None = None,
     ord_struct = F.struct(*[F.col(c) for c in order])
     firsts = accepted.groupBy("source_file").agg(F.min(ord_struct).alias("_first_ord"))
     if registry is not None:
-        known = registry.select("source_file").distinct().withColumn("_known", F.lit(True))
-        firsts = firsts.join(known, "source_file", "left")
+        # the paths of this batch filter the registry (a broadcast where they are small), so no registry row is shuffled for itself
+        known = registry.select("source_file").join(firsts.select("source_file"), "source_file", "left_semi")
+        firsts = firsts.join(known.distinct().withColumn("_known", F.lit(True)), "source_file", "left")
     else:
         firsts = firsts.withColumn("_known", F.lit(None).cast("boolean"))
     first = (accepted.join(firsts, "source_file", "left")

@@ -22,7 +22,7 @@ from drivelake.operators import silver as S
 from drivelake.operators.dedup import dedup_latest
 from drivelake.schema import BUSINESS_KEY, Field, drivestats_fields
 from drivelake.sinks.tables import create_or_append, overwrite_partitions, upsert, verify_written_by
-from drivelake.sources.raw import raw_drops
+from drivelake.sources.raw import Drops, find_layouts, headless_lines, read_layouts
 from drivelake.sources.tables import Table, read_table, require_rows, scope, spread, table_exists
 from drivelake.util import new_run_id, persisted
 
@@ -108,19 +108,47 @@ def latest_silver(accepted: DataFrame, fields: Sequence[Field], source_columns,
     return S.complete(stamped, fields)  # constant-NULL fields join after the shuffle
 
 
-def silver_rows(bronze: DataFrame, fields: Sequence[Field] | None = None, run_id: str = "run") -> DataFrame:
-    return silver_frames(bronze, fields or drivestats_fields(), run_id)[0]
+# ---------------------------------------------------------------- layer jobs
 
+#: Reason of lines whose file has no header; reasons of one kind share what stands before the colon.
+MISSING_HEADER = "missing_header_line:"
 
-# ---------------------------------------------------------------- layer jobs
 
-def run_bronze(spark: SparkSession, raw_paths, release_id, lake: Lakehouse, run_id: str) -> list[str]:
-    """Read raw CSV drops (drift-safe, one storage read), stamp, then
-    create / evolve / append Bronze.  ``release_id`` is a literal or a Column
-    (e.g. the folder of each file).  Returns the files ingested."""
-    with raw_drops(spark, raw_paths) as (raw, files):
-        B.write_bronze(spark, B.bronze_frame(raw, release_id, run_id), lake.bronze)
-    return files
+def quarantine(spark: SparkSession, rows: DataFrame, lake: Lakehouse) -> None:
+    """Append rejected rows, those of a (file, kind of reason) that the table does not hold yet.
+
+    Files are immutable once landed and an append commits whole, so a kind that
+    is there for a file is there for all its rows: a replayed run of a release
+    or of one file leaves every row once (Q8).
+    """
+    if table_exists(spark, lake.quarantine):
+        kind = F.split_part("rejection_reason", F.lit(":"), F.lit(1))
+        lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("rejection_reason", T.StringType())])
+        known = read_table(spark, lake.quarantine, lineage).select("source_file", kind.alias("_kind")).distinct()
+        rows = rows.withColumn("_kind", kind).join(known, ["source_file", "_kind"], "left_anti").select(*rows.columns)
+    create_or_append(spark, rows, lake.quarantine)
+
+
+def run_bronze(spark: SparkSession, raw_paths, release_id, lake: Lakehouse, run_id: str) -> Drops:
+    """Read raw CSV drops by layout (drift-safe), stamp, then create / evolve /
+    append Bronze.  ``release_id`` is a literal or a Column (e.g. the folder
+    of each file).  The lines of files without a header go to quarantine, and
+    no other file waits for them; a run without any other file fails."""
+    drops = find_layouts(spark, raw_paths)
+    if drops.layouts:
+        B.write_bronze(spark, B.bronze_frame(read_layouts(spark, drops), release_id, run_id), lake.bronze)
+    if drops.headless:
+        lines = B.stamp(headless_lines(spark, drops), release_id, run_id).drop("processing_run_id")
+        quarantine(spark, lines.withColumnRenamed("value", "raw_line").withColumns({
+            "rejection_reason": F.lit(f"{MISSING_HEADER}file"), "rejected_at": F.current_timestamp(),
+            "quarantine_processing_run_id": F.lit(run_id)}), lake)
+    if not drops.layouts:
+        raise ValueError(_headless_text(drops) if drops.headless else f"No CSV line found under {raw_paths}")
+    return drops
+
+
+def _headless_text(drops: Drops) -> str:
+    return f"CSV file(s) without a header line are in quarantine: {list(drops.headless[:10])}"
 
 
 def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
@@ -138,7 +166,7 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
     if missing:  # E6: quarantine the whole scope with one reason, then fail
         require_rows(bronze, f"No Bronze data found for release_id={release_id}")
         q = S.quarantine_schema(bronze, missing, run_id)
-        create_or_append(spark, q, lake.quarantine)
+        quarantine(spark, q, lake)
         raise ValueError(f"Required source columns missing: {missing}")
     # a single-file scope is one or two Parquet files: spread it before typing
     cand = S.candidate(spread(bronze) if source_file else bronze, fields, defer_missing=True)
@@ -151,26 +179,17 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
                              + (f", source_file={source_file}" if source_file else ""))
         accepted, rejected = S.split_valid(c)
         n_rejected = sum(r["rejected"] for r in stats)
-        if n_rejected and not _quarantined_before(spark, lake, source_file):
-            create_or_append(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake.quarantine)
+        if n_rejected:
+            quarantine(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake)
         touched = [(r["release_id"], r["snapshot_month"]) for r in stats if r["rows"] > r["rejected"]]
         if touched:
-            silver = latest_silver(accepted, fields, bronze.columns, run_id)
-            upsert(spark, silver, lake.silver, BUSINESS_KEY, touched,
-                   cluster_by=("release_id", "snapshot_month"))
+            # keep-latest (W1, order as in latest_silver) and upsert (K4) share one exchange on the key
+            varying = sorted(f.name for f in fields if f.name not in BUSINESS_KEY and S._source(bronze.columns, f.source_column) is not None)
+            upsert(spark, S.stamp_silver(accepted, run_id), lake.silver, BUSINESS_KEY, touched,
+                   cluster_by=("release_id", "snapshot_month"), order=("bronze_ingested_at", "source_file", *varying))
     return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched)}
 
 
-def _quarantined_before(spark: SparkSession, lake: Lakehouse, source_file: str | None) -> bool:
-    """A replayed single-file run must not append its rejects twice (Q8)."""
-    if source_file is None or not table_exists(spark, lake.quarantine):
-        return False
-    lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("rejection_reason", T.StringType())])
-    before = scope(read_table(spark, lake.quarantine, lineage), source_file=source_file)
-    # an earlier schema quarantine (E6) of the file says nothing about its row-level rejects
-    return not before.where(~F.col("rejection_reason").startswith(S.MISSING_REQUIRED_SOURCE)).isEmpty()
-
-
 def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
            fields: Sequence[Field] | None = None, source_file: str | None = None,
            raise_on_fail: bool = True):
@@ -242,10 +261,12 @@ def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse
                 run_id: str | None = None, fields: Sequence[Field] | None = None) -> str:
     """Backfill one release end to end; returns the DQ verdict."""
     run_id = run_id or new_run_id()
-    run_bronze(spark, raw_paths, release_id, lake, run_id)
+    drops = run_bronze(spark, raw_paths, release_id, lake, run_id)
     run_silver(spark, release_id, lake, run_id, fields)
     status = run_dq(spark, release_id, lake, run_id, fields)
     run_gold(spark, release_id, lake, run_id)
+    if drops.headless:  # all other files are published
+        raise ValueError(_headless_text(drops))
     return status
 
 
@@ -275,15 +296,15 @@ def run_backfill(spark: SparkSession, raw_paths, lake: Lakehouse, run_id: str |
         finally:
             clock[phase] = round(clock.get(phase, 0.0) + time.perf_counter() - t0, 3)
 
-    from urllib.parse import unquote
     run_id = run_id or new_run_id()
-    files = timed("bronze", run_bronze, spark, raw_paths, B.release_from_path(F.col("source_file")), lake, run_id)
+    drops = timed("bronze", run_bronze, spark, raw_paths, B.release_from_path(F.col("source_file")), lake, run_id)
     # release list from the file listing (driver metadata, one entry per file)
     pattern = re.compile(r"(?:release_id=)?([^/=]+)/[^/]+$")
-    releases = sorted({m.group(1) for f in files if (m := pattern.search(unquote(f)))})
+    headed = set(drops.files) - set(drops.headless)
+    releases = sorted({m.group(1) for f in headed if (m := pattern.search(f))})
     step = releases_per_job or max(len(releases), 1)
     verdicts: dict = {}
-    problems: list[str] = []
+    problems: list[str] = [_headless_text(drops)] if drops.headless else []
     for i in range(0, len(releases), step):
         chunk = releases[i:i + step]
         timed("silver", run_silver, spark, chunk, lake, run_id, fields)

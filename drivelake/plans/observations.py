@@ -25,6 +25,7 @@ from drivelake.sources.tables import spread
 
 LANDING_BUCKET = "drivestats-landing"
 RAW_PREFIX = "raw/drivestats/"
+FIRST_RECEIVED = 1706745600  # 2024-02-01T00:00:00Z, arrival of the first message
 INGEST_EPOCH = 1767225600  # 2026-01-01T00:00:00Z, base of synthetic ingestion times
 
 
@@ -109,6 +110,27 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_event_drops(spark: SparkSession, sf_dir: str, folder: str, days=None) -> None:
+    """The raw columns of ``events_bronze`` as daily CSV files, ``<folder>/day=<day>/release_id=<release>/*.csv``.
+
+    The layout drifts with the day of the month: as it stands; columns reversed
+    and re-cased; without ``smart_194_raw`` but with a ``note`` that holds
+    commas, quotes and a line break.  A failure of 5.9 is 1.9 here, as Gold takes
+    no release with other flags than 0 and 1.  ``days`` (a condition on the day
+    of the month) writes some of the days.
+    """
+    b = events_bronze(spark, sf_dir).replace("5.9", "1.9", "failure")
+    columns = [c for c in b.columns if c not in ("source_file", "release_id", "ingested_at", "processing_run_id")]
+    day = F.regexp_extract("source_file", r"([^/]*)\.csv$", 1)
+    b = b.select(*columns, "release_id", day.alias("day"), F.dayofmonth(day).alias("of_month")).where(F.lit(True) if days is None else days)
+    b = b.withColumn("note", F.concat(F.lit('slot "'), F.col("smart_9_raw"), F.lit('",\nrack 1')))
+    for drift, own in enumerate((columns, columns[::-1], [*(c for c in columns if c != "smart_194_raw"), "note"])):
+        rows = b.where(F.col("of_month") % 3 == drift)
+        named = [F.col(c).alias(c.upper() if drift == 1 else c) for c in own]
+        (rows.select(*named, "day", "release_id").repartition("day").write.mode("append").partitionBy("day", "release_id")
+         .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder))
+
+
 def pages_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue messages (``message_id, received_at, envelope``) from pages."""
     p = _t(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -137,7 +159,7 @@ def pages_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelope = F.to_json(F.struct(F.array(F.struct(body.alias("body"))).alias("Records")))
     return p.select(
         pid.alias("message_id"),
-        F.timestamp_seconds(F.lit(1706745600) + (pid % 500) * 60).alias("received_at"),
+        F.timestamp_seconds(F.lit(FIRST_RECEIVED) + (pid % 500) * 60).alias("received_at"),
         envelope.alias("envelope"),
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from drivelake.functions.casts import INTEGER_PART, NUMBER_TEXT
 from drivelake.plans.observations import INGEST_EPOCH, RAW_PREFIX
-from drivelake.schema import TRIMMED_FIELDS, Field, drivestats_fields
+from drivelake.schema import Field, drivestats_fields
 
 _SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
               "string": "VARCHAR", "date": "DATE", "double": "DOUBLE", "float": "FLOAT",
@@ -45,19 +45,26 @@ def is_blank(x: str) -> str:
     return f"({x} IS NULL OR {trim_sp(x)} = '')"
 
 
-def field_sql(f: Field, present: set[str]) -> str:
-    if f.source_column not in present:
-        return f"CAST(NULL AS {sql_type(f)}) AS {f.name}"
+def strict_timestamp(x: str) -> str:
+    return f"(CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN try_strptime({x}, '%Y-%m-%d') END)"
+
+
+def value_sql(f: Field) -> str:
+    """The field's value by its parse rule."""
     x = f.source_column
-    if f.name in TRIMMED_FIELDS:
+    if f.parse in ("date", "timestamp"):
+        return strict_date(x) if f.parse == "date" else strict_timestamp(x)
+    if f.parse == "text":
         x = blank_null(x)
-    if f.source_column == "date":
-        return f"{strict_date(x)} AS {f.name}"
     if f.type_name in ("int", "bigint", "smallint", "tinyint"):
-        return f"{lenient(x, sql_type(f))} AS {f.name}"
-    if f.type_name == "string":
-        return f"{x} AS {f.name}"
-    return f"try_cast({x} AS {sql_type(f)}) AS {f.name}"
+        return lenient(x, sql_type(f))
+    return x if f.type_name == "string" else f"try_cast({x} AS {sql_type(f)})"
+
+
+def field_sql(f: Field, present: set[str]) -> str:
+    if f.source_column not in present:
+        return f"CAST(NULL AS {sql_type(f)}) AS {f.name}"
+    return f"{value_sql(f)} AS {f.name}"
 
 
 def reason_sql(fields, present: set[str]) -> str:
@@ -66,12 +73,7 @@ def reason_sql(fields, present: set[str]) -> str:
         if f.nullable or f.source_column not in present:
             continue
         x = f.source_column
-        if f.name in TRIMMED_FIELDS:
-            cond = is_blank(x)
-        elif f.source_column == "date":
-            cond = f"({is_blank(x)} OR {strict_date(x)} IS NULL)"
-        else:
-            cond = f"({is_blank(x)} OR {lenient(x, sql_type(f))} IS NULL)"
+        cond = is_blank(x) if f.parse == "text" else f"({is_blank(x)} OR {value_sql(f)} IS NULL)"
         parts.append(f"CASE WHEN {cond} THEN 'invalid_required_field:{f.name}' END")
     if not parts:
         return "CAST(NULL AS VARCHAR)"
@@ -150,6 +152,15 @@ def events_bronze() -> str:
 FROM events"""
 
 
+def events_landed() -> str:
+    """``events_bronze`` as it is read from daily CSV files: an empty field is NULL, no failure is 5.9,
+    a third of the days have no smart_194_raw, and there is one ingestion time."""
+    blank = ", ".join(f"nullif({c}, '') AS {c}" for c in sorted(EVENTS_COLUMNS - {"smart_194_raw", "failure"}))
+    return f"""SELECT * REPLACE ({blank}, CASE failure WHEN '' THEN NULL WHEN '5.9' THEN '1.9' ELSE failure END AS failure,
+  CASE WHEN day(ingested_at) % 3 = 2 THEN NULL ELSE smart_194_raw END AS smart_194_raw,
+  TIMESTAMP '2026-01-01 00:00:00' AS ingested_at) FROM ({events_bronze()}) e"""
+
+
 def silver_sql(bronze_cte: str, present: set[str], run_id: str, order_rest: list[str]) -> str:
     """Accepted, stamped, keep-latest rows (all candidate columns)."""
     rest = "".join(f", {c} DESC NULLS LAST" for c in order_rest)

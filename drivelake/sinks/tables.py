@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drivelake.sources.tables import Table, read_table, table_exists
+from drivelake.sources.tables import Table, read_table, store_schema, stored_schema, table_exists, table_schema, with_string_parts
 
 
 def _writer(df: DataFrame, table: Table):
@@ -28,8 +28,21 @@ def _writer(df: DataFrame, table: Table):
 
 
 def create_table(df: DataFrame, table: Table) -> None:
-    """K1/K3: create a partitioned Parquet table from ``df``."""
-    _writer(df, table).mode("errorifexists").save(table.path)
+    """K1/K3: create a partitioned Parquet table from ``df`` and store its schema.
+
+    A schema that a crashed creation left behind is extended, as its files are not there.
+    """
+    spark = df.sparkSession
+    if table_exists(spark, table):
+        raise ValueError(f"Table {table.path} already exists")
+    if table.schema is None:
+        generation, known = stored_schema(spark, table)
+        wanted = with_string_parts(df.schema, table.partition_by)
+        schema = merged_schema(known, df, table.partition_by) if known else wanted
+        if schema != known:
+            store_schema(spark, table, schema, generation)
+        df = align(df, schema) if known else df
+    append(df, table)
 
 
 def append(df: DataFrame, table: Table) -> None:
@@ -92,17 +105,38 @@ def merged_schema(existing: T.StructType, df: DataFrame, partition_by: Sequence[
 
 
 def append_merging(spark: SparkSession, df: DataFrame, table: Table) -> T.StructType:
-    """Append with additive schema evolution; returns the new schema."""
-    existing = read_table(spark, table).schema
+    """Append with additive schema evolution; returns the new schema.
+
+    New columns are stored as the table's next generation before the rows are
+    written, so a reader always knows the columns of every committed file.
+    """
+    existing = table.schema or table_schema(spark, table)
     schema = merged_schema(existing, df, table.partition_by)
+    if table.schema is None:
+        generation, known = stored_schema(spark, table)
+        if schema != known:
+            store_schema(spark, table, schema, generation)
     append(align(df, schema), table)
     return schema
 
 
-def merge_frames(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """K4/J1 core: old rows without a new twin on ``keys``, plus every new row
-    (MERGE ... WHEN MATCHED UPDATE ALL WHEN NOT MATCHED INSERT ALL)."""
-    return existing.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """The first row of each key; Catalyst puts a partial top-1 before the exchange on the key."""
+    newest = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
+
+
+def newest_generation(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """K4/J1 in one pass: per key the row of the newest generation, a new one
+    before an existing one; rows of one generation follow ``order`` descending.
+
+    One exchange on the key.  A partial top-1 stands before it, so a task sends
+    one row a key, and both generations go through it together (no anti-join,
+    no second pass over ``new``).  With ``order``, ``new`` may hold several rows
+    of a key (W1 is done in the same exchange); without it, one.
+    """
+    both = existing.withColumn("_generation", F.lit(0)).unionByName(new.withColumn("_generation", F.lit(1)))
+    return first_per_key(both, keys, [F.desc("_generation"), *[F.desc_nulls_last(c) for c in order]]).drop("_generation")
 
 
 def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -113,7 +147,7 @@ def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols: Sequ
 
 
 def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
-           touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None) -> None:
+           touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = ()) -> None:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
     an unmatched row is inserted.
 
@@ -136,7 +170,9 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
         return frame.hint("rebalance", *cluster_by) if cluster_by else frame
 
     if not table_exists(spark, table):
-        create_table(clustered(df), table)
+        first = first_per_key(df, keys, [F.desc_nulls_last(c) for c in order]) if order else df
+        # constant columns of a declared layout join after the exchange on the key
+        create_table(clustered(align(first, table.schema) if table.schema else first), table)
         return
     parts = list(table.partition_by)
     # The touched partition list is bounded by the number of partitions, not rows.
@@ -145,6 +181,8 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     if not touched:
         return
     schema = merged_schema(read_table(spark, table).schema, df, parts)
+    if table.schema is None and schema != stored_schema(spark, table)[1]:
+        store_schema(spark, table, schema, stored_schema(spark, table)[0])
     existing = read_table(spark, table, schema)
     cond = None
     for values in touched:
@@ -154,24 +192,12 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
             term = t if term is None else term & t
         cond = term if cond is None else cond | term
     existing = existing.filter(cond)
-    overwrite_partitions(clustered(merge_frames(existing, align(df, schema), keys)), table)
-
-
-def verify_written(spark: SparkSession, table: Table, expected: int, **scope_values) -> int:
-    """K8: rows of the written scope must equal the rows computed."""
-    df = read_table(spark, table)
-    for k, v in scope_values.items():
-        df = df.filter(F.col(k) == F.lit(v))
-    got = df.count()
-    if got != expected:
-        raise RuntimeError(f"Read-back check failed for {table.path} {scope_values}: "
-                           f"expected {expected} rows, found {got}")
-    return got
+    overwrite_partitions(clustered(newest_generation(existing, align(df, schema), keys, order)), table)
 
 
 def verify_written_by(spark: SparkSession, table: Table, expected: dict, column: str = "release_id") -> None:
-    """K8 for several scopes at once: one grouped count over the written
-    partitions, compared with the rows computed per scope."""
+    """K8: one grouped count over the written partitions of several scopes,
+    compared with the rows computed per scope."""
     df = read_table(spark, table).filter(F.col(column).isin([str(k) for k in expected]))
     got = {r[0]: r[1] for r in df.groupBy(column).count().collect()}
     bad = {k: (n, got.get(str(k), 0)) for k, n in expected.items() if got.get(str(k), 0) != n}

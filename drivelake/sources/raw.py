@@ -2,22 +2,29 @@
 
 Daily CSV files drift: columns get added, reordered or re-cased over the
 years.  A single multi-file CSV read takes one header for every file and maps
-the others *by position*.  Here a file's header is its first line, whatever it
-holds, and every other line is data, whatever it holds:
-
-* ``file_headers``: one distributed text job finds the first line of each file;
-  the driver gets the distinct headers only.
-* ``parse_lines``: one more pass gives each line its file's header by a join
-  (broadcast where the headers are small, by Spark's own size check), parses it
-  by position and takes each output column from the place its header names.
-
-Nothing of the text is cached.  A file without a column of another file has
-NULL there; a run whose files all lack ``date`` reaches the schema quarantine.
+the others *by position*.  Here files with one header line are one *layout*:
+
+* ``find_layouts``: one distributed text job finds the header line of each
+  file (its first line that is not blank) and whether a quoted field of it may
+  run over a line break; the driver gets a row per file, as many as it lists.
+* ``read_layouts``: each layout is a CSV scan of its own with its own columns,
+  in which Spark's reader takes off the header at the start of every file; the
+  scans are united by name.  So a header is never data, however the files are
+  split, and nothing of the text is cached, joined or shuffled.  Files whose
+  records may span lines are read whole, all others in splits.
+
+A file without a column of another file has NULL there; a run whose files all
+lack ``date`` reaches the schema quarantine.  A first line that holds a date is
+data: such a file has no header.  Its rows are never read under guessed names:
+the reader names the file, and a backfill quarantines its lines.
 """
 
 from __future__ import annotations
 
 import contextlib
+import re
+from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,42 +73,122 @@ def text_lines(spark: SparkSession, paths) -> DataFrame:
                     F.col("_metadata.file_block_start").alias("block_start")))
 
 
-def _placed(lines: DataFrame, file_col: str) -> DataFrame:
-    """(file, value, at): at orders the lines of a file; a block's lines keep their order within their task."""
-    block = F.col("block_start") if "block_start" in lines.columns else F.lit(0).cast("long")
-    return lines.select(F.col(file_col), F.col("value"), F.struct(block.alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+@dataclass(frozen=True)
+class Layout:
+    """Files with one header line; ``multiline`` where records may hold line breaks."""
+    columns: tuple[str, ...]
+    multiline: bool
+    files: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Drops:
+    """CSV files by layout, and those that have no layout: without a header, or without any line."""
+    layouts: tuple[Layout, ...]
+    headless: tuple[str, ...]
+    empty: tuple[str, ...]
+
+    @property
+    def files(self) -> list[str]:
+        return sorted([*(f for x in self.layouts for f in x.files), *self.headless, *self.empty])
 
 
 def file_headers(lines: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """(file, header, header_at): the first line of each file, a byte order mark taken off."""
-    firsts = _placed(lines, file_col).groupBy(file_col).agg(F.min_by("value", "at").alias("header"), F.min("at").alias("header_at"))
+    """(file, header, open_quotes, blanks): the first line of each file that is not blank, a byte order
+    mark taken off, whether any line has an odd number of quotes, escaped ones aside, and whether a
+    line of blanks stands before the header.
+
+    Only within this one scan are the lines of a file compared: a block's lines keep their order within their task.
+    """
+    lines = lines.withColumn("line", F.monotonically_increasing_id())  # of every line, so not within a condition
+    at = F.struct("block_start", "line")
+    quotes = F.length(F.regexp_replace(F.regexp_replace("value", r"\\.", ""), '[^"]', ""))
+    text = F.when(F.trim("value") != "", F.col("value"))
+    placed = lines.select(file_col, text.alias("text"), F.when(text.isNotNull(), at).alias("at"), (quotes % 2 == 1).alias("odd"),
+                          F.when((F.length("value") > 0) & text.isNull(), at).alias("blank_at"))
+    firsts = placed.groupBy(file_col).agg(F.min_by("text", "at").alias("header"), F.max("odd").alias("open_quotes"),
+                                          F.coalesce(F.min("blank_at") < F.min("at"), F.lit(False)).alias("blanks"))
     return firsts.withColumn("header", F.regexp_replace("header", "^\ufeff", ""))
 
 
+def find_layouts(spark: SparkSession, paths) -> Drops:
+    """The layouts of every ``*.csv`` file under ``paths`` (recursively), from one job over their lines."""
+    lines = text_lines(spark, paths)
+    found = file_headers(lines).collect()  # a row per listed file
+    held = {re.sub("^file:/+", "file:/", r["source_file"]) for r in found}
+    headed, headless, empty = {}, [], [f for f in map(decoded, lines.inputFiles()) if f not in held]
+    for r in found:
+        if r["header"] is None:
+            empty.append(r["source_file"])
+        elif re.search(DATA_FIELD, r["header"]) or re.sub(r"\\.", "", r["header"]).count('"') % 2:  # no whole header in this line
+            headless.append(r["source_file"])
+        elif r["blanks"] and r["open_quotes"]:  # read whole, a line of blanks would pass for its header
+            headless.append(r["source_file"])
+        else:
+            headed.setdefault((r["header"], r["open_quotes"]), []).append(r["source_file"])
+    layouts = [Layout(tuple(_dedupe_names([c.lower() for c in header_columns(h)])), multi, tuple(sorted(files)))
+               for (h, multi), files in sorted(headed.items())]
+    return Drops(tuple(layouts), tuple(sorted(headless)), tuple(sorted(empty)))
+
+
+def decoded(uri: str) -> str:
+    """One listed path as the ``_metadata`` of its rows has it, decoded."""
+    from urllib.parse import unquote
+    return unquote(re.sub("^file:/+", "file:/", uri))
+
+
+def literal_path(path: str) -> str:
+    """A path for a reader that would take these characters for a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def read_layouts(spark: SparkSession, drops: Drops) -> DataFrame:
+    """All-string rows of the files of all layouts, united by column name, plus ``source_file``."""
+    if not drops.layouts:
+        return spark.createDataFrame([], "source_file string")
+
+    def scan(layout: Layout) -> DataFrame:
+        reader = spark.read.schema(string_schema(layout.columns)).options(header=True, multiLine=layout.multiline)
+        own = [F.col(f"`{c}`") for c in layout.columns if c != "source_file"]
+        return reader.csv([literal_path(f) for f in layout.files]).select(*own, decode_path(F.col("_metadata.file_path")).alias("source_file"))
+
+    names = list(dict.fromkeys(c for x in drops.layouts for c in x.columns if c != "source_file"))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(scan, drops.layouts))
+    return united.select(*[F.col(f"`{c}`") for c in names], "source_file")
+
+
+def headless_lines(spark: SparkSession, drops: Drops) -> DataFrame:
+    """(value, source_file): the lines of files without a header, for quarantine."""
+    return text_lines(spark, [literal_path(f) for f in drops.headless]).where(F.trim("value") != "").select("value", "source_file")
+
+
+def _headers_needed(drops: Drops) -> Drops:
+    if drops.headless:
+        raise ValueError(f"CSV file(s) without a header line: {list(drops.headless[:10])}")
+    return drops
+
+
 def read_raw(spark: SparkSession, paths, lineage: bool = True) -> DataFrame:
     """Every CSV under ``paths`` as strings, drift-safe, with ``source_file``.
 
     Column names are lower-cased (Q17: Spark resolves names case-insensitively,
     so ``Model`` and ``model`` are one column).
     """
-    out = parse_lines(text_lines(spark, paths))
-    if out is None:
+    drops = _headers_needed(find_layouts(spark, paths))
+    if not drops.layouts:
         raise ValueError(f"No CSV line found under {paths}")
+    out = read_layouts(spark, drops)
     return out if lineage else out.drop("source_file")
 
 
 @contextlib.contextmanager
 def raw_drops(spark: SparkSession, paths):
     """Yields ``(rows, files)`` - the drift-safe all-string rows of every
-    CSV under ``paths`` (plus ``source_file``), and the list of files read
-    (from the listing).  Only the headers (a line per file) are kept meanwhile."""
-    from drivelake.util import persisted
-    lines = text_lines(spark, paths)
-    with persisted(file_headers(lines)) as heads:
-        parsed = parse_lines(lines, heads=heads)
-        if parsed is None:
-            raise ValueError(f"No CSV line found under {paths}")
-        yield parsed, lines.inputFiles()
+    CSV under ``paths`` (plus ``source_file``), and the list of files read."""
+    drops = _headers_needed(find_layouts(spark, paths))
+    if not drops.layouts:
+        raise ValueError(f"No CSV line found under {paths}")
+    yield read_layouts(spark, drops), drops.files
 
 
 def check_single_file(path: str, prefix: str) -> None:
@@ -119,37 +206,3 @@ def with_source_file(df: DataFrame, path: str | None = None) -> DataFrame:
     if path is None:
         return df.withColumn("source_file", decode_path(F.col("_metadata.file_path")))
     return df.withColumn("source_file", F.lit(path))
-
-
-def parse_lines(lines: DataFrame, file_col: str = "source_file", heads: DataFrame | None = None) -> DataFrame | None:
-    """Parse text lines of CSV files, each by the first line of its file.
-
-    ``lines`` has a row per text line: value, the file, and block_start where a
-    file may have several blocks.  Returns all-string columns plus ``file_col``;
-    None if there is no line.  A first line that holds a date is data: such a
-    file has no header, which is an error that names it.
-    """
-    heads = file_headers(lines, file_col) if heads is None else heads
-    headless = heads.where(F.col("header").rlike(DATA_FIELD)).select(file_col).limit(10).collect()
-    if headless:
-        raise ValueError(f"CSV file(s) without a header line: {sorted(r[0] for r in headless)}")
-    headers = sorted(r[0] for r in heads.select("header").distinct().collect())  # distinct layouts, not files
-    if not headers:
-        return None
-    layouts = {h: _dedupe_names([c.lower() for c in header_columns(h)]) for h in headers}
-    names = list(dict.fromkeys(c for cols in layouts.values() for c in cols))
-    width = max(len(cols) for cols in layouts.values())
-    data = (_placed(lines, file_col).join(heads, file_col).where((F.col("at") != F.col("header_at")) & (F.length("value") > 0))
-            .select(F.from_csv("value", ", ".join(f"_{i} STRING" for i in range(width))).alias("r"), "header", file_col))
-
-    def column(name: str):
-        places: dict[int, list[str]] = {}
-        for h, cols in layouts.items():
-            if name in cols:
-                places.setdefault(cols.index(name), []).append(h)
-        if len(places) == 1 and len(next(iter(places.values()))) == len(layouts):
-            return F.col("r")[f"_{next(iter(places))}"].alias(name)
-        found = [F.when(F.col("header").isin(hs), F.col("r")[f"_{i}"]) for i, hs in places.items()]
-        return F.coalesce(*found).alias(name)
-
-    return data.select(*[column(c) for c in names], F.col(file_col))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +41,10 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(value)
     return value
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new folder name under the shared folder; a ``local`` session without the setting gets a temporary one."""
+    local = spark.sparkContext.master.split("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None)
+    folder = checkpoint_dir(spark, tempfile.mkdtemp(prefix="drivelake-") if local else None)
+    return f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from drivelake.plans.written import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -38,8 +39,9 @@ def test_entry_runs(spark):
     assert "annualized_failure_rate_pct" in df.columns
 
 
-def test_oracle_covers_all_but_metadata_queries():
-    assert set(queries()) - set(oracle_sql()) == {"dq_schema_check"}
+def test_oracle_covers_all_queries():
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
 
 
 SPARK_T = {"string": "str", "bigint": "i64", "int": "i32", "double": "f64", "boolean": "bool", "date": "date",
@@ -48,14 +50,14 @@ DUCK_T = {"VARCHAR": "str", "BIGINT": "i64", "INTEGER": "i32", "DOUBLE": "f64",
           "TIMESTAMP": "ts", "VARCHAR[]": "list<str>"}
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     s = _norm(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     d = _norm([x[0] for x in res.description], res.fetchall())
     assert s[0] == d[0]
     assert s[1] == d[1]
-    rel = con.sql(oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     duck_types = {c: DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     assert {c: SPARK_T.get(t, t) for c, t in df.dtypes} == duck_types

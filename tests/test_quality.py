@@ -96,3 +96,14 @@ def test_verdict_is_monotone(spark, results, extra):
     after = Q.verdict(df.union(spark.createDataFrame([(extra,)], "result string"))).collect()[0][0]
     assert rank[after] >= rank[before]
     assert before == max(results, key=rank.get)
+
+
+def test_schema_relation_says_what_the_metadata_check_says(spark):
+    """The row of the relations equals that of ``evaluate`` on the same frame."""
+    s = _silver(spark, _clean())
+    drifted = s.drop("capacity_bytes", "smart_1_raw").withColumn("failure_flag", F.col("failure_flag").cast("bigint")).withColumn("extra", F.lit(1)).withColumn("b", F.lit(1))
+    for df in (s, drifted):
+        want = [tuple(r) for r in Q.evaluate(df, None, FIELDS, "run", "R").where("check_name = 'schema_compatibility'").select("check_name", "result", "details").collect()]
+        assert [tuple(r) for r in Q.schema_compatibility(Q.canonical_relation(spark, FIELDS), Q.column_relation(df)).collect()] == want
+    found = Q.schema_findings(Q.canonical_relation(spark, FIELDS), Q.column_relation(drifted)).select("finding", "column_name").collect()
+    assert sorted(map(tuple, found)) == [("mismatch", "failure_flag"), ("missing", "capacity_bytes"), ("missing", "smart_1_raw"), ("unexpected", "b"), ("unexpected", "extra")]

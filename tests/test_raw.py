@@ -1,7 +1,7 @@
 """Drifting CSV headers are read by name, not by position."""
 import os
 
-from drivelake.sources.raw import check_single_file, raw_drops, read_raw
+from drivelake.sources.raw import check_single_file, find_layouts, raw_drops, read_raw
 
 import pytest
 
@@ -78,3 +78,52 @@ def test_an_empty_release_is_named_and_the_others_are_published(spark, scratch):
     with pytest.raises(ValueError, match="2024"):
         run_backfill(spark, f"{scratch}/e", lake)
     assert [r[0] for r in spark.read.parquet(lake.gold_release.path).select("release_id").collect()] in (["2023"], [2023])
+
+
+def test_a_header_is_no_data_however_files_are_split(spark, scratch):
+    """The split size changes between planning and execution."""
+    rows = [(f"2013-04-{d:02d}", f"S{i}", f"M{i % 3}") for d in range(1, 5) for i in range(300)]
+    for d in range(1, 5):
+        head = "date,serial_number,model" if d % 2 else "model,serial_number,date"
+        own = [r if d % 2 else r[::-1] for r in rows if r[0].endswith(f"{d:02d}")]
+        _write(f"{scratch}/s/2013-04-{d:02d}.csv", head + "\n" + "".join(",".join(r) + "\n" for r in own))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for at_plan, at_run in (("1k", "128m"), ("128m", "700")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", at_plan)
+            with raw_drops(spark, f"{scratch}/s") as (df, files):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", at_run)
+                got = sorted(tuple(r) for r in df.select("date", "serial_number", "model").collect())
+            assert len(files) == 4 and got == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_line_breaks_within_quotes_and_blank_first_lines(spark, scratch):
+    _write(f"{scratch}/b/2013-04-10.csv", '\n\ndate,serial_number,note\n2013-04-10,S1,"a \\"b\\",\nc"\n2013-04-10,S2,plain\n')
+    _write(f"{scratch}/b/[x] {{y}}*.csv", " \n\ndate,serial_number,note\n2013-04-11,S3,\n")
+    _write(f"{scratch}/b/nothing.csv", "")
+    drops = find_layouts(spark, f"{scratch}/b")
+    assert [(x.columns, x.multiline, len(x.files)) for x in drops.layouts] == [
+        (("date", "serial_number", "note"), False, 1), (("date", "serial_number", "note"), True, 1)]
+    assert len(drops.empty) == 1 and len(drops.files) == 3 and not drops.headless
+    got = sorted(tuple(str(x) for x in r) for r in read_raw(spark, f"{scratch}/b").select("date", "serial_number", "note").collect())
+    assert got == [("2013-04-10", "S1", 'a "b",\nc'), ("2013-04-10", "S2", "plain"), ("2013-04-11", "S3", "None")]
+    _write(f"{scratch}/b/blanks.csv", ' \ndate,serial_number,note\n2013-04-12,S4,"a\nb"\n')  # Spark would take the line of blanks for the header
+    assert [f.rsplit("/", 1)[1] for f in find_layouts(spark, f"{scratch}/b").headless] == ["blanks.csv"]
+
+
+def test_a_file_without_a_header_is_quarantined_and_the_others_are_published(spark, scratch):
+    from drivelake.plans.backfill import Lakehouse, run_backfill
+    head = "date,serial_number,model,capacity_bytes,failure\n"
+    _write(f"{scratch}/n/2023/2023-01-01.csv", head + "2023-01-01,S1,M1,100,0\n")
+    _write(f"{scratch}/n/2023/2023-01-02.csv", "2023-01-02,S1,M1,100,0\n2023-01-02,S2,M1,100,1\n")
+    _write(f"{scratch}/n/2023/2023-01-03.csv", 'date,"serial\nnumber",model\n2023-01-03,S1,M1\n')
+    lake = Lakehouse(f"{scratch}/lake3")
+    for _ in range(2):  # a second run leaves the lines of the files once
+        with pytest.raises(ValueError, match="2023-01-02.csv"):
+            run_backfill(spark, f"{scratch}/n", lake)
+    q = spark.read.schema("raw_line string, release_id string, rejection_reason string").parquet(lake.quarantine.path).collect()
+    assert sorted(r.raw_line for r in q) == sorted(["2023-01-02,S1,M1,100,0", "2023-01-02,S2,M1,100,1", 'date,"serial', 'number",model', "2023-01-03,S1,M1"])
+    assert {(r.release_id, r.rejection_reason) for r in q} == {("2023", "missing_header_line:file")}
+    assert [r[0] for r in spark.read.parquet(lake.gold_release.path).select("total_drive_days").collect()] == [1]

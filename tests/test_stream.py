@@ -1,8 +1,11 @@
 """File-at-a-time streaming equals the batch backfill; replays converge."""
 import os
 
+import pytest
+
 from drivelake.plans.backfill import Lakehouse, run_release
 from drivelake.sources.tables import read_table
+from drivelake.streaming import incremental
 from drivelake.streaming.incremental import run_incremental, run_log_table
 from drivelake.operators.registry import status_rollup
 
@@ -84,3 +87,64 @@ def test_missing_required_column_quarantines_scope_and_fails(spark, scratch):
         run_silver(spark, "2024_Q1", lake, "run")
     q = read_table(spark, lake.quarantine).collect()
     assert len(q) == 2 and {r["rejection_reason"] for r in q} == {"missing_required_source_column:drive_model"}
+
+
+@pytest.mark.parametrize("stage", ["BRONZE", "SILVER", "DQ", "GOLD"])
+def test_a_failed_file_is_resumed_at_its_stage(spark, scratch, monkeypatch, stage):
+    """After the failure and the resume, the tables are those of a run without a failure."""
+    land = f"{scratch}/land"
+    _day(f"{land}/2024_Q1", "2024-01-01", [("A", "M1", 0), ("", "M1", 0), ("B", "M2", 1)])
+    file = f"file:{land}/2024_Q1/2024-01-01.csv"
+    lake, calm = Lakehouse(f"{scratch}/lake"), Lakehouse(f"{scratch}/calm")
+    calls = []
+
+    def counted(name, job, fail):
+        def run(*args, **kw):
+            calls.append(name)
+            if fail:
+                raise RuntimeError(f"lost at {name}")
+            return job(*args, **kw)
+        return run
+
+    jobs = {"BRONZE": "run_bronze", "SILVER": "run_silver", "DQ": "run_dq", "GOLD": "run_gold"}
+    real = {name: getattr(incremental, job) for name, job in jobs.items()}
+    for name, job in jobs.items():
+        monkeypatch.setattr(incremental, job, counted(name, real[name], name == stage))
+    with pytest.raises(RuntimeError, match="lost"):
+        incremental.process_files(spark, [file], lake, "2024_Q1", land)
+    for name, job in jobs.items():
+        monkeypatch.setattr(incremental, job, counted(name, real[name], False))
+    calls.clear()
+    assert incremental.resume_failed(spark, lake, land) == [file]
+    assert calls == list(jobs)[list(jobs).index(stage):]  # nothing before it ran again
+    assert incremental.resume_failed(spark, lake, land) == []
+    incremental.process_files(spark, [file], calm, "2024_Q1", land)
+    assert _gold(spark, lake) == _gold(spark, calm) == [("2024_Q1", "M1", 1, 0), ("2024_Q1", "M2", 1, 1)]
+    for table in ("bronze", "silver", "quarantine", "dq", "gold_release"):
+        assert read_table(spark, getattr(lake, table)).count() == read_table(spark, getattr(calm, table)).count()
+    state = status_rollup(read_table(spark, run_log_table(lake))).collect()[0]
+    assert (state["status"], state["failure_count"], state["resume_count"], state["last_failed_stage"]) == (
+        "SUCCESS", 1, 0 if stage == "BRONZE" else 1, stage)
+
+
+def test_the_file_that_fails_is_named_and_those_before_it_are_published(spark, scratch):
+    land = f"{scratch}/land"
+    _day(f"{land}/2024_Q1", "2024-01-01", [("A", "M1", 0)])
+    _day(f"{land}/2024_Q1", "2024-01-03", [("A", "M1", 1)])
+    with open(f"{land}/2024_Q1/2024-01-02.csv", "w") as fh:
+        fh.write("2024-01-02,A,M1,100,0\n")  # no header
+    lake = Lakehouse(f"{scratch}/lake")
+    q = run_incremental(spark, land, lake, f"{scratch}/ckpt", max_files=10)
+    with pytest.raises(Exception, match="without a header"):
+        q.awaitTermination(300)
+    assert _gold(spark, lake) == [("2024_Q1", "M1", 1, 0)]
+    st = {r["source_file"].rsplit("/", 1)[-1]: r["status"]
+          for r in status_rollup(read_table(spark, run_log_table(lake))).collect()}
+    assert st["2024-01-01.csv"] == "SUCCESS" and st["2024-01-02.csv"] == "FAILED" and st["2024-01-03.csv"] == "PENDING"
+
+
+def test_a_file_outside_the_landing_folder_is_refused(spark, scratch):
+    _day(f"{scratch}/elsewhere/2024_Q1", "2024-01-01", [("A", "M1", 0)])
+    lake = Lakehouse(f"{scratch}/lake")
+    with pytest.raises(ValueError, match="must start with"):
+        incremental.process_files(spark, [f"file://{scratch}/elsewhere/2024_Q1/2024-01-01.csv"], lake, "2024_Q1", f"{scratch}/land")

@@ -1,10 +1,9 @@
 """Path-backed tables, upsert and partition overwrite."""
-import datetime as dt
-
+import pytest
 from pyspark.sql import functions as F
 
-from drivelake.sinks.tables import align, append_merging, create_table, evolve, overwrite_partitions, upsert
-from drivelake.sources.tables import Table, read_table, table_exists
+from drivelake.sinks.tables import align, append_merging, create_table, evolve, newest_generation, overwrite_partitions, upsert
+from drivelake.sources.tables import Table, read_table, store_schema, stored_schema, table_exists
 
 DDL = "release_id string, snapshot_month string, k string, v int"
 KEYS = ["release_id", "k"]
@@ -52,3 +51,60 @@ def test_evolve_align_and_append_merging(spark, scratch):
     aligned = align(spark.createDataFrame([(5, "q")], "v long, extra string"),
                     spark.createDataFrame([], "v int, w string").schema)
     assert aligned.dtypes == [("v", "int"), ("w", "string")] and aligned.collect()[0]["w"] is None
+
+
+def test_stored_schema_spares_the_footers(spark, scratch):
+    t = Table(f"{scratch}/evolving", ("release_id",))
+    create_table(spark.createDataFrame([("1", "2013")], "a string, release_id string"), t)
+    append_merging(spark, spark.createDataFrame([("2", "x", "2014")], "A string, b string, release_id string"), t)
+    append_merging(spark, spark.createDataFrame([("y", 3, "2015")], "b string, c int, release_id string"), t)
+    append_merging(spark, spark.createDataFrame([("4", "2016")], "a string, release_id string"), t)
+    assert stored_schema(spark, t)[0] == 3  # the last append added nothing
+    df = read_table(spark, t)
+    assert df.dtypes == [("a", "string"), ("b", "string"), ("c", "int"), ("release_id", "string")]
+    assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(map(str, [
+        ("1", None, None, "2013"), ("2", "x", None, "2014"), (None, "y", 3, "2015"), ("4", None, None, "2016")]))
+    # a broken data file breaks a footer merge, but not the schema of a read or an append
+    with open(f"{scratch}/evolving/release_id=2013/part-broken.snappy.parquet", "wb") as fh:
+        fh.write(b"no footer")
+    assert read_table(spark, t).columns == ["a", "b", "c", "release_id"]
+    append_merging(spark, spark.createDataFrame([("5", "2016")], "a string, release_id string"), t)
+    assert read_table(spark, t).where("release_id = '2016'").count() == 2
+
+
+def test_a_generation_is_stored_by_one_writer(spark, scratch):
+    t = Table(f"{scratch}/raced", ())
+    create_table(spark.createDataFrame([("1",)], "a string"), t)
+    schema = read_table(spark, t).schema
+    assert store_schema(spark, t, schema, 1) == 2
+    with pytest.raises(RuntimeError, match="another writer"):
+        store_schema(spark, t, schema, 1)
+    with pytest.raises(ValueError, match="exists"):
+        create_table(spark.createDataFrame([("2",)], "a string"), t)
+
+
+def test_a_creation_that_crashed_before_its_rows_is_taken_up(spark, scratch):
+    t = Table(f"{scratch}/crashed", ())
+    store_schema(spark, t, spark.createDataFrame([], "a string, lost int").schema, 0)
+    assert not table_exists(spark, t)
+    create_table(spark.createDataFrame([("1", "x")], "a string, b string"), t)
+    assert [tuple(r) for r in read_table(spark, t).collect()] == [("1", None, "x")]
+
+
+def test_upsert_is_one_exchange_on_the_key(spark):
+    old = spark.createDataFrame([("2013", "a", 1), ("2013", "b", 1)], "release_id string, k string, v int").repartition(3)
+    new = spark.createDataFrame([("2013", "b", 2), ("2013", "c", 5), ("2013", "c", 7)], "release_id string, k string, v int").repartition(3)
+    df = newest_generation(old, new, KEYS, ["v"])
+    assert sorted(tuple(r) for r in df.collect()) == [("2013", "a", 1), ("2013", "b", 2), ("2013", "c", 7)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert plan.count("Exchange hashpartitioning(release_id") == 1 and "Join" not in plan and "WindowGroupLimit" in plan
+
+
+def test_upsert_keeps_the_newest_of_a_batch(spark, scratch):
+    t = Table(f"{scratch}/ordered", ("release_id", "snapshot_month"))
+    rows = [("2013", "2013-01", "a", 1), ("2013", "2013-01", "a", 3), ("2013", "2013-01", "b", 1)]
+    upsert(spark, spark.createDataFrame(rows, DDL), t, KEYS, order=["v"])
+    assert _rows(read_table(spark, t)) == [("2013", "2013-01", "a", 3), ("2013", "2013-01", "b", 1)]
+    upsert(spark, spark.createDataFrame([("2013", "2013-01", "a", 2), ("2013", "2013-01", "a", 0)], DDL), t, KEYS, order=["v"])
+    assert _rows(read_table(spark, t)) == [("2013", "2013-01", "a", 2), ("2013", "2013-01", "b", 1)]
