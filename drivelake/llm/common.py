@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,6 +36,13 @@ def written(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark's cleaner removes them once nothing on the driver refers to
+    them any more, so its garbage is collected here instead of whenever its heap is full. For jobs of many rounds."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Two columns, (id as long, text); null text is the empty text. Other columns, of any name, are left out."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),

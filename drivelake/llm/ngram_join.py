@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from drivelake.llm.common import slices, texts_of, written
+from drivelake.llm.common import released, slices, texts_of, written
 
 #: Bytes of text in a block of columns, on average; rows of a column in a tile.
 BLOCK_BYTES, TILE = 8_000_000, 256
@@ -393,6 +393,7 @@ def class_components(spark: SparkSession, rows: DataFrame, num: int, den: int) -
         near = near.select(F.least("x.print", "y.print").alias("a"), F.greatest("x.print", "y.print").alias("b")).distinct()
         found = written(_linked(written(near, spark, "join-near"), rows, num, den), spark, "join-links")
         root = _merged(spark, root, found)
+        released(spark)
 
     own = _rooted(spots, root)
     own = written(own, spark, "join-own")
@@ -414,7 +415,9 @@ def join(spark: SparkSession, docs: DataFrame, *, width: int = 4, num: int = 85,
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
     sets = written(document_sets(docs, width, num, den, blocks), spark, "join-sets")
+    released(spark)
     rows = written(class_rows(sets, num, den, blocks), spark, "join-rows")
+    released(spark)
     root = class_components(spark, rows, num, den)
     classes = sets.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("low"))
     named = classes.join(root, classes.print == root.node, "left").withColumn("root", F.coalesce("root", "print")).select("print", "low", "root")
