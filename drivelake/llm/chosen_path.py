@@ -16,9 +16,10 @@ at the bound with a probability of 4e-6 to 4e-4 (``missed``), one of similarity
 2. Within a tile all pairs are compared by their tokens; each class proposes one
    partner. Proposals are confirmed on the full sets and make components.
 3. Then all pairs of classes of different components that agree in enough tokens
-   are confirmed, in the tiles of a large node also across tiles, for classes outside the
-   component that holds most of the node. So a group of near copies does not
-   make all its pairs, and no pair between components is left out.
+   are confirmed. Large nodes in which the same component holds most classes are one
+   hub; it is cut in tiles, the classes outside that component visit all of them, and
+   the full sets are compared there, so that only links leave a tile. So a group of
+   near copies does not make all its pairs, and no link between components is left out.
 
 ``MARGIN`` is how far below the bound the share of equal tokens may lie: four
 deviations, so 3e-5 of the pairs at the bound are not looked at in one tile.
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivelake.llm.common import slices, texts_of, written
+from drivelake.llm.common import released, slices, texts_of, written
 from drivelake.llm.ngram_join import components, shingle_sets
 
 #: Trees; minwise tokens of a class; depth of the first nodes and of the last.
@@ -49,8 +50,8 @@ TREES, TOKENS, START, DEEP = 12, 96, 3, 6
 SMALL = 64
 #: Deviations of the share of equal tokens below the bound.
 MARGIN = 4.0
-#: Rows of nodes that one step compares.
-STEP_ROWS = 40_000
+#: Rows of nodes that one step compares; classes that visit a tile of a hub at once, and rows with full sets that one step holds.
+STEP_ROWS, GUESTS, SET_ROWS = 40_000, 1024, 2048
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, TOKENS, np.uint64) | np.uint64(1)
 _U = np.uint64
 
@@ -158,88 +159,142 @@ def tiles(spark: SparkSession, classes: DataFrame, bound: float) -> DataFrame:
         rows = _nodes(more.join(classes.select("class", "tokens"), "class").select("class", "tokens", "node"), bound)
 
 
-def _proposed(node: np.ndarray, tile: np.ndarray, n: np.ndarray, held: np.ndarray, root: np.ndarray, guest: np.ndarray, least: float, bound: float,
-              all_pairs: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows, sorted by node and tile, that agree in ``least`` of the tokens at least and have sizes that allow a link.
-
-    One partner a row: the first of its tile that agrees as the bound asks, else its best. With all_pairs every pair of different roots.
-    """
-    rows, own, other, share = len(node), [], [], []
-    for k in range(1, rows):
-        same = np.flatnonzero((node[k:] == node[:-k]) & (tile[k:] == tile[:-k]))
-        if not len(same):
+def _agreeing(tile: np.ndarray, n: np.ndarray, held: np.ndarray, root: np.ndarray, guest: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, equal tokens): pairs of rows, sorted by tile, of different roots, whose sizes allow a link and whose tokens agree as often as one may."""
+    bound = num / den
+    least = bound * TOKENS - MARGIN * (TOKENS * bound * (1 - bound)) ** 0.5
+    out = [(np.zeros(0, np.int64),) * 3]
+    for k in range(1, len(tile)):
+        a = np.flatnonzero(tile[k:] == tile[:-k])
+        if not len(a):
             break
-        a, b = same, same + k
-        ok = (root[a] != root[b]) & ~(guest[a] & guest[b]) & (np.minimum(n[a], n[b]) >= bound * np.maximum(n[a], n[b]) - 1e-9)
+        b = a + k
+        ok = (root[a] != root[b]) & ~(guest[a] & guest[b]) & (den * np.minimum(n[a], n[b]) >= num * np.maximum(n[a], n[b]))
         a, b = a[ok], b[ok]
         equal = (held[a] == held[b]).sum(axis=1)
         ok = equal >= least
-        own.append(b[ok])
-        other.append(a[ok])
-        share.append(equal[ok])
-    if not own:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b, e = np.concatenate(own), np.concatenate(other), np.concatenate(share)
-    if all_pairs:
-        return a, b
-    x, y, e = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([e, e])
-    sure = (e >= bound * TOKENS) & (y < x)
+        out.append((a[ok], b[ok], equal[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _one_each(a: np.ndarray, b: np.ndarray, equal: np.ndarray, enough: float) -> tuple[np.ndarray, np.ndarray]:
+    """One partner a row: the first of its tile that agrees as the bound asks, else its best."""
+    x, y, e = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([equal, equal])
+    sure = (e >= enough) & (y < x)
     order = np.lexsort((y, np.where(sure, 0, -e), ~sure, x))
     x, y = x[order], y[order]
-    head = np.concatenate([[True], x[1:] != x[:-1]])
+    head = np.diff(x, prepend=-1) != 0
     return x[head], y[head]
 
 
-def pairs(spark: SparkSession, spots: DataFrame, classes: DataFrame, bound: float, all_pairs: bool) -> DataFrame:
-    """Distinct (a, b), prints with a < b, to confirm; spots (node, tile, class, guest), classes (class, n, print, tokens, root)."""
-    least = bound * TOKENS - MARGIN * (TOKENS * bound * (1 - bound)) ** 0.5
-    steps = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-spots.count() // STEP_ROWS))
-    d = spots.join(classes.select("class", "n", "print", "tokens", "root"), "class")
-    d = d.withColumn("step", F.pmod(F.xxhash64("node", "tile"), F.lit(steps)))
+def _steps(spark: SparkSession, rows: DataFrame, per_step: int) -> DataFrame:
+    """Adds step: tiles dealt over as many steps as their rows need; rows is a written table."""
+    steps = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // per_step))
+    return rows.withColumn("step", F.pmod(F.xxhash64("node", "tile"), F.lit(steps)))
+
 
+def _sorted_tiles(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """The rows by tile and print, the number of each row's tile, and of its root."""
+    table = table.sort_by([("node", "ascending"), ("tile", "ascending"), ("print", "ascending")]).combine_chunks()
+    number = lambda c: table.column(c).combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+    node, tile = number("node"), table.column("tile").to_numpy()
+    new = (np.diff(node, prepend=-1) != 0) | (np.diff(tile, prepend=-1) != 0)
+    return table, np.cumsum(new), number("root")
+
+
+def proposed(spark: SparkSession, spots: DataFrame, classes: DataFrame, num: int, den: int, all_pairs: bool) -> DataFrame:
+    """Distinct (a, b), prints with a < b, to confirm: one partner for each class of a tile, or all pairs of different roots.
+
+    spots (node, tile, class), written; classes (class, n, print, tokens, root).
+    """
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("node", "ascending"), ("tile", "ascending"), ("print", "ascending")]).combine_chunks()
-        col = lambda c: table.column(c).to_numpy()
-        label = lambda c: table.column(c).combine_chunks().dictionary_encode().indices.to_numpy()
-        a, b = _proposed(col("node"), col("tile"), col("n"), _matrix(table.column("tokens")), label("root"), col("guest"), least, bound, all_pairs)
+        table, tile, root = _sorted_tiles(table)
+        a, b, equal = _agreeing(tile, table.column("n").to_numpy(), _matrix(table.column("tokens")), root, np.zeros(len(tile), bool), num, den)
+        if not all_pairs:
+            a, b = _one_each(a, b, equal, num / den * TOKENS)
         names = table.column("print")
         return pa.table({"a": names.take(pa.array(np.minimum(a, b))), "b": names.take(pa.array(np.maximum(a, b)))})
 
-    found = d.select("step", "node", "tile", "n", "print", "tokens", "root", "guest").groupBy("step").applyInArrow(compare, "a binary, b binary")
+    d = _steps(spark, spots, STEP_ROWS).join(classes, "class").select("step", "node", "tile", "n", "print", "tokens", "root")
+    found = d.groupBy("step").applyInArrow(compare, "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(print, hashes) of the classes whose first document is in wanted (doc_id, print): only those documents' texts move."""
+def _linking(a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which pairs of rows have sets (sorted) that link."""
+    out = np.zeros(len(a), bool)
+    order = np.argsort(b, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(b[order])) + 1) if len(a) else ():
+        own, others = sets[b[at[0]]], [sets[i] for i in a[at]]
+        sizes = np.array([len(s) for s in others])
+        values = np.concatenate(others)
+        spot = np.minimum(np.searchsorted(own, values), len(own) - 1)
+        over = np.add.reduceat(own[spot] == values, np.cumsum(sizes) - sizes)
+        out[at] = den * over >= num * (sizes + len(own) - over)
+    return out
+
+
+def linked_in_hubs(spark: SparkSession, wide: DataFrame, classes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of all pairs of different roots that link, among the classes of large nodes; wide (node, class), classes (class, n, print, tokens, root)."""
+    own = wide.join(classes.select("class", "print", "root"), "class")
+    most = own.groupBy("node", "root").agg(F.count("*").alias("held")).groupBy("node").agg(
+        F.max(F.struct("held", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1").select("node", F.col("m.root").alias("hub"))
+    rows = written(own.join(most, "node").select(F.col("hub").alias("node"), "print", "root").distinct(), spark, "path-hubs")
+    sizes = rows.groupBy("node").agg(F.ceil(F.count("*") / SMALL).alias("tiles"), F.greatest(F.ceil(F.count_if(F.col("root") != F.col("node")) / GUESTS), F.lit(1)).alias("blocks"))
+    rows = rows.join(sizes, "node").withColumns({"tile": F.pmod(F.xxhash64("print"), "tiles"), "block": F.pmod(F.hash("print"), "blocks")})
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    guests = rows.where("root <> node").select("node", "print", "root", "tile", "block", "blocks", each("tiles").alias("to")).where("tile <> to")
+    guests = guests.select("node", (F.col("to") * F.col("blocks") + F.col("block")).alias("tile"), "print", "root", F.lit(True).alias("guest"))
+    hosts = rows.select("node", "print", "root", "tile", "blocks", each("blocks").alias("block"))  # a tile stands once for each block of guests
+    hosts = hosts.select("node", (F.col("tile") * F.col("blocks") + F.col("block")).alias("tile"), "print", "root", F.lit(False).alias("guest"))
+    rows = hosts.union(guests)
+    rows = written(rows, spark, "path-hub-tiles")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table, tile, root = _sorted_tiles(table)
+        a, b, _ = _agreeing(tile, table.column("n").to_numpy(), _matrix(table.column("tokens")), root, table.column("guest").to_numpy(), num, den)
+        held = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        ok = _linking(a, b, held, num, den)
+        names = table.column("print")
+        return pa.table({"a": names.take(pa.array(a[ok])), "b": names.take(pa.array(b[ok]))})
+
+    d = _steps(spark, rows, SET_ROWS).join(classes.select("print", "n", "tokens"), "print").join(sets, "print")
+    d = d.select("step", "node", "tile", "n", "print", "tokens", "root", "guest", "hashes")
+    return d.groupBy("step").applyInArrow(compare, "a binary, b binary").distinct()
+
+
+def _key(c: str):
+    return F.coalesce(F.col(c), F.lit(-(1 << 63)))
+
+
+def full_sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(print, hashes) of the classes in wanted (low, print), made anew from the texts of their first documents."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in slices(batch, chars=2_000_000):
                 sets = shingle_sets([x.as_buffer().to_pybytes() for x in rows.column(1)], width)
-                yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                                                  pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["print", "hashes"])
+                raw = [s.tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in raw], pa.binary()), pa.array(raw, pa.binary())], ["print", "hashes"])
 
+    wanted = written(wanted.select(_key("low").alias("key"), "print"), spark, "path-wanted")
     texts = texts_of(docs).withColumn("key", _key("doc_id"))
-    ids = wanted.select(F.col("key")).distinct()
-    made = texts.join(ids, "key", "left_semi").select("doc_id", "text").mapInArrow(make, "print binary, hashes array<long>")
+    made = texts.join(wanted.select("key").distinct(), "key", "left_semi").select("doc_id", "text").mapInArrow(make, "print binary, hashes binary")
     # an id may stand for several texts, and only one of equal sets is needed
-    return made.join(wanted.select("print"), "print", "left_semi").dropDuplicates(["print"])
-
-
-def _key(c: str):
-    return F.coalesce(F.col(c), F.lit(-(1 << 63)))
+    return written(made.join(wanted.select("print"), "print", "left_semi").dropDuplicates(["print"]), spark, "path-sets")
 
 
-def confirmed(spark: SparkSession, found: DataFrame, docs: DataFrame, classes: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def confirmed(spark: SparkSession, found: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets link."""
-    found = written(found, spark, "path-pairs")
-    ends = found.select(F.col("a").alias("print")).union(found.select("b")).distinct()
-    wanted = written(classes.join(ends, "print", "left_semi").select(_key("low").alias("key"), "print"), spark, "path-wanted")
-    sets = written(full_sets(docs, wanted, width), spark, "path-sets")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            over = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in pairs]
+            yield batch.select(["a", "b"]).filter(pa.array([den * o >= num * (len(x) + len(y) - o) for o, (x, y) in zip(over, pairs)], pa.bool_()))
+
     left = sets.select(F.col("print").alias("a"), F.col("hashes").alias("ah"))
     right = sets.select(F.col("print").alias("b"), F.col("hashes").alias("bh"))
-    both = found.join(left, "a").join(right, "b")
-    over = F.size(F.array_intersect("ah", "bh")).cast("long")
-    return written(both.where(den * over >= num * (F.size("ah") + F.size("bh") - over)).select("a", "b"), spark, "path-links")
+    both = found.join(left, "a").join(right, "b").select("a", "b", "ah", "bh")
+    return written(both.mapInArrow(check, "a binary, b binary"), spark, "path-links")
 
 
 def _rooted(classes: DataFrame, root: DataFrame) -> DataFrame:
@@ -254,18 +309,20 @@ def join(spark: SparkSession, docs: DataFrame, *, width: int = 2, num: int = 80,
     classes = written(classes.select(F.xxhash64("print").alias("class"), "print", "low", "x.n", "x.tokens", F.col("print").alias("root")), spark, "path-classes")
     ends = tiles(spark, classes, bound)
     spots = ends.withColumn("tiles", F.ceil(F.col("c") / SMALL)).withColumn("tile", F.pmod(F.xxhash64("node", "class"), "tiles"))
-    spots = written(spots.withColumn("guest", F.lit(False)), spark, "path-spots")
-
-    links = confirmed(spark, pairs(spark, spots, classes, bound, False), docs, classes, width, num, den)
-    root = written(components(spark, links, "path-comp"), spark, "path-roots")
+    spots = written(spots, spark, "path-spots")
+    released(spark)
+    near = written(proposed(spark, spots, classes, num, den, False), spark, "path-pairs")
+    wide = spots.where("tiles > 1").select("node", "class")
+    some = near.select(F.col("a").alias("print")).union(near.select("b")).union(wide.join(classes, "class").select("print")).distinct()
+    sets = full_sets(spark, docs, classes.join(some, "print", "left_semi"), width)
+    released(spark)
+    root = written(components(spark, confirmed(spark, near, sets, num, den), "path-comp"), spark, "path-roots")
     grouped = written(_rooted(classes, root), spark, "path-grouped")
-    # in nodes of several tiles, classes outside the component that holds most of the node visit the other tiles
-    wide = spots.where("tiles > 1").join(grouped.select("class", "root"), "class")
-    most = wide.groupBy("node", "root").agg(F.count("*").alias("held")).groupBy("node").agg(F.max(F.struct("held", "root")).alias("m")).select("node", F.col("m.root").alias("major"))
-    away = wide.join(most, "node").where("root <> major")
-    guests = away.select("node", "class", "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("to")).where("tile <> to")
-    every = spots.select("node", "tile", "class", "guest").union(guests.select("node", F.col("to").alias("tile"), "class", F.lit(True)))
-    late = confirmed(spark, pairs(spark, every, grouped, bound, True), docs, classes, width, num, den)
+    released(spark)
+    small = written(spots.where("tiles = 1"), spark, "path-small")
+    late = confirmed(spark, written(proposed(spark, small, grouped, num, den, True), spark, "path-pairs"), sets, num, den)
+    late = written(late.union(linked_in_hubs(spark, wide, grouped, sets, num, den)), spark, "path-late")
+    released(spark)
     if not late.isEmpty():
         root = written(components(spark, root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late), "path-comp"), spark, "path-roots")
 

@@ -35,6 +35,7 @@ def test_nodes_that_never_get_small(spark, monkeypatch):
     """Tiles of a few classes at the last depth: large groups meet across tiles."""
     monkeypatch.setattr(C, "SMALL", 3)
     monkeypatch.setattr(C, "DEEP", 4)
+    monkeypatch.setattr(C, "GUESTS", 5)
     rng = random.Random(5)
     rows = []
     for g in range(3):
@@ -46,6 +47,24 @@ def test_nodes_that_never_get_small(spark, monkeypatch):
     assert len({r[2] for r in want(rows)}) == 4
 
 
+def test_hubs_find_the_links_of_all_their_classes(spark, monkeypatch):
+    """Every pair of one large node, with the roots as they stand at the start, against the full sets."""
+    monkeypatch.setattr(C, "SMALL", 4)
+    monkeypatch.setattr(C, "GUESTS", 6)
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 300)}" for _ in range(60)]
+    edited = lambda k: [f"own{k}{i}" if rng.random() < 0.06 else w for i, w in enumerate(base)]
+    rows = list(enumerate(" ".join(edited(k)) for k in range(60)))
+    classes = C.signed(spark.createDataFrame(rows, "doc_id long, text string"), 2).where("n > 0").dropDuplicates(["print"])
+    classes = classes.selectExpr("xxhash64(print) as class", "doc_id as low", "print", "n", "tokens", "print as root")
+    sets = C.full_sets(spark, spark.createDataFrame(rows, "doc_id long, text string"), classes, 2)
+    wide = classes.selectExpr("7L as node", "class").union(classes.selectExpr("8L", "class"))
+    found = {(bytes(r.a), bytes(r.b)) for r in C.linked_in_hubs(spark, wide, classes, sets, 80, 100).collect()}
+    held = {bytes(r.print): set(np.frombuffer(r.hashes, np.uint64).tolist()) for r in sets.collect()}
+    want_pairs = {(a, b) for a in held for b in held if a < b and 100 * len(held[a] & held[b]) >= 80 * len(held[a] | held[b])}
+    assert {tuple(sorted(p)) for p in found} == want_pairs and len(want_pairs) > 50
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert got(C.join(spark, odd_docs)) == want(rows)
