@@ -40,17 +40,24 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPACES), "")
 
 
-def _without(text: Column, pattern: str) -> Column:
-    """Number of characters that the pattern takes away."""
+def _without(text: str, pattern: str) -> Column:
+    """Number of characters that the pattern takes away from a column."""
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
 def common_words(docs: DataFrame, count: int = COMMON, least: int = LEAST) -> DataFrame:
-    """(ref, common): the most frequent words (lower case) of each language with that many rows."""
+    """(ref, common, pattern): the most frequent words (lower case) of each language with that many rows, and a pattern that finds them as whole words."""
     rows = docs.where("lang is not null").select("lang", F.explode(_words(F.lower("text"))).alias("word")).groupBy("lang", "word").count()
     best = rows.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("at") <= count)
     many = docs.groupBy("lang").count().where(F.col("count") >= least).select("lang")
-    return best.join(many, "lang", "left_semi").groupBy(F.col("lang").alias("ref")).agg(F.collect_list("word").alias("common"))
+    best = best.join(many, "lang", "left_semi")
+    plain = lambda c: F.regexp_replace(c, "([^\\p{L}\\p{N}])", "\\\\$1")
+    # words of one first letter are one branch, so a word is held against few
+    branches = best.groupBy("lang", F.substring("word", 1, 1).alias("head")).agg(F.collect_list("word").alias("words"), F.collect_list(F.expr("substring(word, 2)")).alias("rest"))
+    branches = branches.select("lang", "words", F.concat(plain(F.col("head")), F.lit("(?:"), F.array_join(F.transform("rest", plain), "|"), F.lit(")")).alias("branch"))
+    ends = F.lit("(?<![^ \\t-\\r])(?:"), F.lit(")(?![^ \\t-\\r])")
+    return branches.groupBy(F.col("lang").alias("ref")).agg(F.flatten(F.collect_list("words")).alias("common"),
+                                                            F.concat(ends[0], F.array_join(F.collect_list("branch"), "|"), ends[1]).alias("pattern"))
 
 
 def features(docs: DataFrame, common: DataFrame) -> DataFrame:
@@ -59,13 +66,19 @@ def features(docs: DataFrame, common: DataFrame) -> DataFrame:
     d = docs.join(F.broadcast(common), F.col("lang") == F.col("ref"), "left")  # a row of common words a language
     d = d.withColumns({"w": _words(text), "lines": F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))})
     n = F.size("w")
-    shifted = F.arrays_zip(*[F.slice("w", i, F.greatest(n - 2, F.lit(0))).alias(c) for i, c in ((1, "a"), (2, "b"), (3, "c"))])
+    windows = F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2)))
+    # classes but the first are counted in what the first leaves, which is little of most texts
+    d = d.withColumn("left", F.regexp_replace(text, "[a-z]+", ""))
     d = d.withColumns({
         "n_words": n.cast("long"), "word_chars": F.length(F.array_join("w", "")).cast("long"),
-        "n_symbols": _without(text, "[#*$%&|<>]+"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "windows": F.sort_array(F.transform(shifted, lambda x, i: F.struct(F.xxhash64(x["a"], x["b"], x["c"]).alias("h"), i.alias("i")))),
-        "hits": F.coalesce(F.sort_array(F.filter(F.transform("w", F.lower), lambda x: F.array_contains("common", x))), F.array().cast("array<string>")),
-        "lower": _without(text, "[a-z]+"), "upper": _without(text, "[A-Z]+"), "digit": _without(text, "[0-9]+"), "other_letter": _without(text, "[^\\x00-\\x7F]+")})
+        "n_symbols": _without("left", "[#*$%&|<>]+"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+        "hashes": F.slice(windows, 1, F.greatest(n - 2, F.lit(0))),
+        "hits": F.coalesce(F.sort_array(F.regexp_extract_all(F.lower("text"), F.col("pattern"), F.lit(0))), F.array().cast("array<string>")),
+        "lower": (F.length(text) - F.length("left")).cast("long"), "upper": _without("left", "[A-Z]+"), "digit": _without("left", "[0-9]+"), "other_letter": _without("left", "[^\\x00-\\x7F]+")})
+    # only a text with equal windows needs their order
+    placed = F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    none = F.array().cast("array<struct<h:bigint,i:int>>")
+    d = d.withColumn("windows", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), placed).otherwise(none))
     twice = F.filter("windows", lambda x, i: (F.get("windows", i - 1)["h"] == x["h"]) | (F.get("windows", i + 1)["h"] == x["h"]))
     d = d.withColumns({"at": F.sort_array(F.transform(twice, lambda x: x["i"])), "hit": F.array_distinct("hits")})
     gaps = F.zip_with(F.slice("at", 1, F.size("at") - 1), F.slice("at", 2, F.size("at") - 1), lambda a, b: F.least(b - a, F.lit(3)))
@@ -77,7 +90,7 @@ def features(docs: DataFrame, common: DataFrame) -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return d.withColumns({"base_failed": failed, "words": counts,
                           "classes": F.array(*[F.col(c) for c in CLASSES[:4]], space, F.col("n_symbols"), rest.cast("long"))}
-                         ).drop("w", "lines", "windows", "hits", "hit", "at", "starts", "ref", "common", *CLASSES[:4])
+                         ).drop("w", "lines", "left", "hashes", "windows", "pattern", "hits", "hit", "at", "starts", "ref", "common", *CLASSES[:4])
 
 
 def references(found: DataFrame, common: DataFrame, least: int = LEAST) -> DataFrame:
