@@ -1,21 +1,30 @@
 """Personal data, and the terms that give it away: information-theoretic sanitisation.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers found in the texts. For every word that in some text is near an entity
-e (``WINDOW`` code points on either side) the corpus tells how strongly it reveals e: with N
-documents, df(t) of them holding the word, df(e) the entity and df(t, e) both,
-at any distance,
+numbers found in the texts. For every word of the texts that hold an entity e the
+corpus tells how strongly it reveals e: with N documents, df(t) of them holding
+the word, df(e) the entity and df(t, e) both, at any distance,
 
     PMI(t; e) = log2(N df(t, e) / (df(t) df(e)))   of   IC(e) = log2(N / df(e)).
 
-A word with PMI >= ``DISCLOSED`` * IC discloses it; in the texts that
-hold the entity it is a span of kind "term" at all its places. Counts are of distinct texts, so copies add
-nothing. A small df(t, e) says more than it should, so PMI is taken of its
-held-out value: ``ONCE`` for one text, df - ``DISCOUNT`` from two on. For a word
-and an entity of one text the share is then 1 - log2(1 / ``ONCE``) / log2(N), and
-corpora of under 212 texts are too small to tell. Sanitised text has entities generalised to their kind, such
+A word with PMI >= ``DISCLOSED`` * IC for any entity discloses it, and is a span
+of kind "term" at all its places in all texts, those without the entity
+included. Counts are of distinct texts, so copies add nothing. A small df(t, e)
+says more than it should, so PMI is taken of its held-out value: ``ONCE`` for
+one text, df - ``DISCOUNT`` from two on. For a word and an entity of one text the
+share is then 1 - log2(1 / ``ONCE``) / log2(N), and corpora of under 212 texts
+are too small to tell. Sanitised text has entities generalised to their kind, such
 words generalised to [NAME] if capitalised and removed otherwise.
 
+PMI depends on the counts alone, so words of the same texts are one class, and
+entities likewise (the texts as a count and an exclusive or of their hashes):
+pairs are made of the classes of a text, not of its words and entities. As
+df(t, e) <= df(e), a word of more than df(e) ** D * N ** (1 - D) texts, D being
+``DISCLOSED``, cannot disclose e and makes no pair.
+
+Texts that may hold a disclosing word are found by a bitmap of ``BITS`` bits, a
+table of at most ``BITS`` / 64 rows, before the exact join, so only they move.
+
 DataFrame operations only. Counts cover all distinct texts.
 
 Rows: a null text is the empty text; a null doc_id stays null; repeated rows
@@ -28,11 +37,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drivelake.llm.common import written
-from drivelake.llm.spans import SPAN, joined, places, span
+from drivelake.llm.common import released, written
+from drivelake.llm.spans import SPAN, joined, places
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, DISCLOSED, LETTERS = 80, 0.85, 3
+DISCLOSED, LETTERS = 0.85, 3
+#: Bits of the bitmaps by which rows are chosen before a join.
+BITS = 1 << 23
 #: What is expected in fresh text of a pair counted once (held-out value of Church and Gale, 1991), and how much less than its count of one counted more often.
 ONCE, DISCOUNT = 0.448, 0.75
 #: The patterns of the base. Possessive, as nothing they pass over could match in part; a run of
@@ -87,62 +98,81 @@ def with_spans(docs: DataFrame) -> DataFrame:
     return d.withColumn("base", F.sort_array(F.concat(*found))).drop(*cut, *hits)
 
 
-def _near(found: DataFrame) -> DataFrame:
-    """(kind, entity, term): words near entities, outside all base spans."""
-    d = found.where(F.size("base") > 0).select("text", "base", F.explode("base").alias("e"))
-    low = F.greatest(F.col("e.start") - WINDOW, F.lit(0))
-    sides = F.array(F.struct(low.alias("at"), F.substring("text", low + 1, F.col("e.start") - low).alias("part")),
-                    F.struct(F.col("e.end").alias("at"), F.substring("text", F.col("e.end") + 1, F.lit(WINDOW)).alias("part")))
-    d = d.select("base", F.length("text").alias("size"), "e", F.explode(sides).alias("s")).select("base", "size", "e", "s.at", "s.part")
-    d = d.withColumns({"cut": F.split("part", _WORD, -1), "hit": F.regexp_extract_all("part", F.lit(_WORD), F.lit(0))})
-    d = d.withColumn("t", F.explode(places(F.col("cut"), F.col("hit"), len(KINDS), "term", None, F.col("at"))))
-    inner = (F.col("at") == 0) | (F.col("t.start") > F.col("at")) | (F.col("at") == F.col("e.end"))  # a word cut by the window's edge is none
-    whole = inner & ((F.col("t.end") < F.col("at") + F.length("part")) | (F.col("t.end") == F.col("size")) | (F.col("t.end") == F.col("e.start")))
-    free = ~F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (F.col("t.start") < b["end"]))
-    return d.where(whole & free).select(F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"), F.lower("t.value").alias("term"))
-
-
-def _pairs(found: DataFrame) -> DataFrame:
-    """(row_id, kind, entity, term): the distinct entities of a text by its distinct words."""
-    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), F.lower))
-    entities = F.array_distinct(F.transform("base", lambda e: F.struct(e["kind"].alias("kind"), F.lower(e["value"]).alias("entity"))))
-    d = found.where(F.size("base") > 0).select("row_id", words.alias("words"), F.explode(entities).alias("e"))
-    return d.select("row_id", "e.kind", "e.entity", F.explode("words").alias("term"))
-
-
-def disclosing(texts: DataFrame, found: DataFrame, near: DataFrame) -> DataFrame:
-    """(kind, entity, term, pmi, ic) of the words that disclose an entity; near has the pairs to judge."""
-    n = texts.select(F.sha2("text", 256).alias("text_id")).distinct().count()
-    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= LETTERS))
-    df_word = texts.distinct().select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def _distinct_words(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: F.length(w) >= LETTERS))
+
+
+def _place(key: Column) -> Column:
+    return F.xxhash64(key).bitwiseAND(BITS - 1)
+
+
+def bitmap(keys: DataFrame, column: str) -> DataFrame:
+    """(slot, mask): bit k of the mask of slot i is set where a key hashes to 64 i + k."""
+    d = keys.select(_place(F.col(column)).alias("h"))
+    return d.groupBy(F.shiftright("h", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("mask"))
+
+
+def _maybe(rows: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """The rows whose key may be in the bitmap; it has BITS / 64 rows at most, whatever the data, so it is broadcast."""
+    d = rows.withColumn("h", _place(F.col(column))).withColumn("slot", F.shiftright("h", 6)).join(F.broadcast(bits), "slot")
+    return d.where(F.expr("(mask & shiftleft(1L, cast(h & 63 as int))) <> 0")).drop("h", "slot", "mask")
+
+
+def disclosing(spark: SparkSession, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, df, inside): the words that disclose some entity, how many texts hold them, and how many of these hold any entity.
+
+    texts (text) are all texts; found (text_id, text, base) the rows with their base spans.
+    """
+    n = float(max(found.select("text_id").distinct().count(), 1))
+    df_word = texts.distinct().select(F.explode(_distinct_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     once = found.where(F.size("base") > 0).dropDuplicates(["text_id"])
-    both = _pairs(once).groupBy("kind", "entity", "term").agg(F.count("*").alias("both")).join(near, ["kind", "entity", "term"], "left_semi")
-    entities = once.select("text_id", F.explode("base").alias("e")).select("text_id", F.col("e.kind").alias("kind"), F.lower("e.value").alias("entity"))
-    df_entity = entities.distinct().groupBy("kind", "entity").agg(F.count("*").alias("held"))
-    d = both.join(df_entity, ["kind", "entity"]).join(df_word, "term")
-    # a word of a text is among the words of the lower-cased text; greatest() guards odd case mappings
+    mark = F.xxhash64("text_id")
+    own = F.transform("base", lambda e: F.struct(e["kind"].alias("kind"), F.lower(e["value"]).alias("entity")))
+    entities = once.select("text_id", F.explode(F.array_distinct(own)).alias("e"))
+    classes = entities.groupBy("e").agg(F.count("*").alias("held"), F.bit_xor(mark).alias("ex"))
+    classes = written(entities.join(classes, "e").select("text_id", "held", "ex").distinct(), spark, "pii-entities")
+
+    words = written(once.select("text_id", F.explode(_distinct_words(F.col("text"))).alias("term")), spark, "pii-words")
+    counts = words.groupBy("term").agg(F.count("*").alias("inside"), F.bit_xor(mark).alias("wx")).join(df_word, "term")
+    # a word of a text is among the words of the distinct texts; greatest() guards odd case mappings
+    counts = written(counts.withColumn("df", F.greatest("df", "inside")), spark, "pii-counts")
+    released(spark)
+    most = classes.groupBy("text_id").agg(F.max("held").alias("most"))
+    rare = words.join(counts, "term").join(most, "text_id").where(F.col("df") <= F.pow("most", F.lit(DISCLOSED)) * n ** (1 - DISCLOSED) * (1 + 1e-9))
+    rare = rare.select("text_id", "df", "inside", "wx").distinct()
+    both = rare.join(classes, "text_id").groupBy("held", "ex", "df", "inside", "wx").agg(F.count("*").alias("both"))
     expected = F.when(F.col("both") == 1, F.lit(ONCE)).otherwise(F.col("both") - DISCOUNT)
-    pmi = F.log2(F.lit(float(max(n, 1))) * expected / (F.greatest("df", "both") * F.col("held")))
-    ic = F.log2(F.lit(float(max(n, 1))) / F.col("held"))
-    return d.select("kind", "entity", "term", pmi.alias("pmi"), ic.alias("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= DISCLOSED * F.col("ic")))
+    pmi = F.log2(n * expected / (F.col("df") * F.col("held")))
+    ic = F.log2(n / F.col("held"))
+    told = both.where((ic > 0) & (pmi >= DISCLOSED * ic)).select("df", "inside", "wx").distinct()
+    return counts.join(told, ["df", "inside", "wx"], "left_semi").select("term", "df", "inside")
+
+
+def marked(spark: SparkSession, texts: DataFrame, told: DataFrame) -> DataFrame:
+    """(text_id, all): the places of disclosing words in each distinct text that holds any; texts (text_id, text)."""
+    words = texts.select("text_id", F.explode(_distinct_words(F.col("text"))).alias("term"))
+    hits = _maybe(words, "term", bitmap(told, "term")).join(told.select("term"), "term", "left_semi")
+    hits = written(hits.groupBy("text_id").agg(F.collect_set("term").alias("told")), spark, "pii-hits")
+    some = _maybe(texts, "text_id", bitmap(hits, "text_id")).join(hits, "text_id").dropDuplicates(["text_id"])
+    here = places(F.split("text", _WORD, -1), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), len(KINDS), "term", lambda w: F.array_contains("told", F.lower(w)))
+    return some.select("text_id", here.alias("all"))
 
 
 def find(spark: SparkSession, docs: DataFrame, carry: bool = False) -> DataFrame:
     """Per document: doc_id, base (spans), terms (spans); with carry also row, all columns as they came."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
-    found = with_spans(own).withColumn("row_id", F.monotonically_increasing_id())
-    keep = F.when(F.size("base") > 0, F.col("text"))  # only these texts are read again
-    found = written(found.withColumns({"text": keep, "text_id": F.sha2(keep, 256)}), spark, "pii")
-    near = written(_near(found).distinct(), spark, "pii-near")
-    told = written(disclosing(own.select("text"), found, near), spark, "pii-terms")
-    hit = _pairs(found).join(told.select("kind", "entity", "term"), ["kind", "entity", "term"]).groupBy("row_id").agg(F.collect_set("term").alias("told"))
-    d = found.where(F.size("base") > 0).select("row_id", "base", "text").join(hit, "row_id")
-    told_here = places(F.split("text", _WORD, -1), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), len(KINDS), "term", lambda w: F.array_contains("told", F.lower(w)))
+    text_id = F.unhex(F.sha2("text", 256)).alias("text_id")
+    found = with_spans(own).select("*", text_id)
+    keep = F.when(F.size("base") > 0, F.col("text"))  # only these texts are read again from here
+    found = written(found.withColumn("text", keep), spark, "pii")
+    told = written(disclosing(spark, own.select("text"), found), spark, "pii-terms")
+    released(spark)
+    terms = written(marked(spark, own.select(text_id, "text"), told), spark, "pii-spans")
+    released(spark)
+    d = found.drop("text").join(terms, "text_id", "left").drop("text_id")
     free = F.filter("all", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    terms = written(d.select("row_id", "base", told_here.alias("all")).select("row_id", free.alias("terms")), spark, "pii-spans")
-    none = F.array().cast(f"array<{SPAN}>")
-    return found.drop("text", "text_id").join(terms, "row_id", "left").withColumn("terms", F.coalesce("terms", none)).drop("row_id")
+    return d.withColumn("terms", F.coalesce(free, F.array().cast(f"array<{SPAN}>"))).drop("all")
 
 
 def _of_kind(kind: str):
