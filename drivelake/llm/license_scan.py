@@ -7,11 +7,10 @@ one such line more. An SPDX-License-Identifier line names its licence itself (th
 whole expression). Otherwise a file's own licence is the template with the
 largest cosine to one of its lines, from ``LEAST`` on. A file named as
 licence files are (``_NAMED``), of any length, that has a licence is its
-directory's licence file; in a directory without one, a file of ``FILE_WORDS``
-words at most is (the most frequent licence, then the first by name, where there
-are several). A file
-without an own licence takes that of the nearest ancestor directory that has
-one, found by joining the directories' ancestors to the licence files.
+directory's licence file (the most frequent licence, then the first by name,
+where there are several). A file without an own licence takes that of the nearest
+ancestor directory that has a licence file, found by joining the directories'
+ancestors to the licence files.
 
 DataFrame operations only. Templates are a fixed short list, so their vectors
 are the only thing broadcast.
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from drivelake.llm.common import written
 
-LEAST, FILE_WORDS = 0.5, 120
+LEAST = 0.5
 #: Notices by which files name their licence, by SPDX identifier.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -117,8 +116,7 @@ def scan(spark: SparkSession, files: DataFrame, path: Column, text_col: str = "t
     lines = F.when(F.col("text").rlike(_SPEAKS), F.concat(spoken, titles))
     spdx = F.when(F.col("text").contains("SPDX-License-Identifier"), F.nullif(F.regexp_extract("text", _SPDX, 1), F.lit("")))
     d = d.withColumns({"spdx": spdx, "two": F.col("text").rlike(r"(?i)redistributions\s+in\s+binary\s+form\s+must") & ~F.col("text").rlike(_THIRD)})
-    short = F.size(F.split(F.trim("text"), "[ \\t-\\r]+", FILE_WORDS + 2)) <= FILE_WORDS
-    d = d.select("doc_id", "path", "spdx", "two", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), short.alias("short"), F.coalesce(F.col("path").rlike(_NAMED), F.lit(False)).alias("named"),
+    d = d.select("doc_id", "path", "spdx", "two", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("directory"), F.coalesce(F.col("path").rlike(_NAMED), F.lit(False)).alias("named"),
                  F.coalesce(F.array_distinct(lines), F.array().cast("array<string>")).alias("lines"), F.monotonically_increasing_id().alias("row_id"))
     d = written(d, spark, "licence-files")
     line = own_licences(spark, d)
@@ -128,8 +126,8 @@ def scan(spark: SparkSession, files: DataFrame, path: Column, text_col: str = "t
     clauses = F.when((F.col("own_licence") == "BSD-3-Clause") & F.col("two"), "BSD-2-Clause").otherwise(F.col("own_licence"))
     d = d.withColumns({"own_licence": F.coalesce("spdx", clauses), "score": F.when(F.col("spdx").isNotNull(), F.lit(1.0)).otherwise(F.col("score"))})
     d = written(d.drop("spdx", "two"), spark, "licence-own")
-    votes = d.where("(short or named) and own_licence is not null and path is not null").groupBy("directory", "named", "own_licence").agg(F.count("*").alias("n"))
-    held = votes.groupBy("directory").agg(F.min(F.struct((~F.col("named")).alias("unnamed"), (-F.col("n")).alias("n"), "own_licence")).alias("x")).select(F.col("directory").alias("up"), F.col("x.own_licence").alias("above"))
+    votes = d.where("named and own_licence is not null").groupBy("directory", "own_licence").agg(F.count("*").alias("n"))
+    held = votes.groupBy("directory").agg(F.min(F.struct((-F.col("n")).alias("n"), "own_licence")).alias("x")).select(F.col("directory").alias("up"), F.col("x.own_licence").alias("above"))
     dirs = d.where("path is not null").select("directory").distinct().select("directory", F.explode(_ancestors(F.col("directory"))).alias("a")).select("directory", "a.*")
     near = dirs.join(held, "up").groupBy("directory").agg(F.max(F.struct("depth", "above")).alias("x")).select("directory", F.col("x.above").alias("above"))
     d = d.join(near, "directory", "left").withColumn("above", F.when(F.col("path").isNotNull(), F.col("above")))

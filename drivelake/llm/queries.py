@@ -40,10 +40,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as files source/thousands/tens/doc_id.txt."""
-    part = lambda n: F.floor(F.col("doc_id") / n).cast("string")
-    path = F.concat(F.concat_ws("/", "source", part(1000), part(10), F.col("doc_id").cast("string")), F.lit(".txt"))
-    return license_scan.scan(spark, table(spark, sf_dir, "documents"), path)
+    """documents as files source/thousands/tens/doc_id.txt; every tenth is its directory's LICENSE, every thousandth that of the directory above."""
+    row, part = F.col("doc_id"), lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    name = F.when(row % 10 == 0, "LICENSE").otherwise(F.concat(row.cast("string"), F.lit(".txt")))
+    path = F.concat_ws("/", F.lit("source"), part(1000), F.when(row % 1000 != 0, part(10)), name)
+    return license_scan.scan(spark, table(spark, sf_dir, "documents"), F.when(row.isNotNull(), path))
 
 
 def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
