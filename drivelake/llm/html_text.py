@@ -13,8 +13,9 @@ there is none); neighbours of it join by the same threshold.
 Left out beforehand: scripts, styles, forms, menus, page headers and footers,
 sidebars, hidden parts, and parts whose class, id or role is as a whole the name of
 an advert, notice, menu or reader comments. Ids of headings and paragraphs do not
-count, and of a section within the article only where half of it is links, unless
-they name reader comments. A text is its blocks in page order, joined by
+count. Within the article, ids of sections (unless they name reader comments), names
+such as search, related or tags, and labels, dialogs and field sets outside a form
+count only where half of the part is links. A text is its blocks in page order, joined by
 a line feed; white space within a block becomes one space, as does a br.
 
 Rows: a null html is the empty page, which has the empty text; a page without
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -46,6 +48,7 @@ _IN_HEAD = _words("base link meta noscript script style template title")
 _BLOCK = _words("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
                 "li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption xmp")
 _OUT = _words("head nav aside form footer button select option label menu dialog fieldset canvas audio video annotation annotation-xml")
+_PERHAPS = _words("label dialog fieldset")  # outside a form in the article, their share of links decides
 _HEADINGS = _words("h1 h2 h3 h4 h5 h6")
 _ENDS = {"li": _words("li"), "dt": _words("dt dd"), "dd": _words("dt dd"), "tr": _words("tr td th"), "td": _words("td th"), "th": _words("td th"), "option": _words("option")}
 _SCOPE = {"li": _words("ul ol menu"), "dt": _words("dl"), "dd": _words("dl"), "tr": _words("table tbody thead tfoot"), "td": _words("tr"), "th": _words("tr"), "option": _words("select")}
@@ -55,9 +58,12 @@ _WORD = (r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?
          r"subscribe|subscription|signup|login|sidebar|side-?bar|side|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|masthead|topbar|site-?header|page-?header|site-?footer|"
          r"page-?footer|footer|copyright|comments?|comment-?list|commentlist|replies|reply|respond|disqus|related|recommended|recommendations|share|sharing|social|widgets?|tags|toc|"
          r"complementary|contentinfo|search|skip-?link|disclaimer")
+#: Of these, names that a part of the article can have too: there the share of links decides.
+_DOUBTFUL = r"side|search|related|recommended|recommendations|tags|toc"
 _PLACE = r"site|page|main|top|bottom|left|right|box|bar|list|links?|buttons?|icons?|wrapper|wrap|container|section|block|area|form|items?|posts?|articles?|stories|media|slot|inner|outer|[0-9]+"
 _NAMES = re.compile(rf"(?:(?:{_PLACE})[_-])*(?:{_WORD})(?:[_-](?:{_WORD}|{_PLACE}))*", re.I)
 _ANSWERS = re.compile(rf"(?:comments?|commentlist|replies|respond|disqus)(?:[_-](?:{_PLACE}))*", re.I)
+_MAYBE = re.compile(rf"(?:(?:{_PLACE})[_-])*(?:{_DOUBTFUL})(?:[_-](?:{_PLACE}))*", re.I)
 _names = lambda v, of=_NAMES: any(map(of.fullmatch, v.split()))
 
 
@@ -66,14 +72,17 @@ class Page:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.parts, self.out = ["body"], [-1], [[]], [False]
+        self.inner, self.in_form = [False], [False]  # within an article or main part, within a form
         self.doubtful: list[int] = []
+        self.open: Counter[str] = Counter()  # by element name, so that no walk looks for what is not there
+        self.endless: set[str] = set()
         stack, pos, at = [0], 0, _TAG.search
         while True:
             m = at(html, pos)
             text = html[pos: m.start()] if m else html[pos:]
             if text:
                 if self.tag[stack[-1]] == "head" and text.strip():
-                    stack.pop()
+                    self._cut(stack, len(stack) - 1)
                 self.parts[stack[-1]].append(unescape(text) if "&" in text else text)
             if not m:
                 break
@@ -83,17 +92,20 @@ class Page:
                 continue
             name, closing = name.lower(), m[1] or m[4]
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] == name:
-                        del stack[i:]
-                        break
+                if self.open[name]:
+                    i = len(stack) - 1
+                    while self.tag[stack[i]] != name:
+                        i -= 1
+                    self._cut(stack, i)
                 continue
             if name not in _IN_HEAD and name not in ("html", "head"):
                 self._close(stack, ("head",), ())
             if name in ("svg", "math") and (m[3] or m[6] or "").endswith("/"):
                 continue
             if name in _RAW:
-                end = re.compile(f"</{name}(?![^\\s/>])[^>]*>", re.I).search(html, pos)
+                end = None if name in self.endless else re.compile(f"</{name}(?![^\\s/>])[^>]*>", re.I).search(html, pos)
+                if not end:
+                    self.endless.add(name)  # nor will a later one have an end
                 if end and name == "xmp":
                     self._close(stack, ("p",), _P_SCOPE)
                     self.parts[self._open(name, m[3] or m[6] or "", stack[-1])].append(html[pos: end.start()])
@@ -109,15 +121,24 @@ class Page:
             node = self._open(name, m[3] or m[6] or "", stack[-1])
             if name not in _VOID:
                 stack.append(node)
-        for node in self.doubtful:  # menus and the like are mostly links
-            chars, links = self._links(node)
-            self.out[node] |= 2 * links >= chars
+                self.open[name] += 1
+        self._settle()
+
+    def _cut(self, stack: list[int], at: int) -> None:
+        for node in stack[at:]:
+            self.open[self.tag[node]] -= 1
+        del stack[at:]
 
     def _close(self, stack: list[int], names, scope) -> None:
+        """Close the open elements of these names, up to the next of the scope."""
+        left = sum(self.open[name] for name in names)
         for i in range(len(stack) - 1, 0, -1):
+            if not left:
+                return
             tag = self.tag[stack[i]]
             if tag in names:
-                del stack[i:]
+                self._cut(stack, i)
+                left = sum(self.open[name] for name in names)
             elif tag in scope:
                 return
 
@@ -127,14 +148,19 @@ class Page:
         self.parent.append(parent)
         self.parts.append([])
         self.parts[parent].append(node)
-        out = name in _OUT or name == "header" and not self._within(parent, ("article", "main"))
+        self.inner.append(self.inner[parent] or name in ("article", "main"))
+        self.in_form.append(self.in_form[parent] or name == "form")
+        perhaps = name in _PERHAPS and self.inner[parent] and not self.in_form[parent]
+        if perhaps:
+            self.doubtful.append(node)
+        out = name in _OUT and not perhaps or name == "header" and not self.inner[parent]
         if attrs and not out:
             for k, a, b, c in _ATTR.findall(attrs):
                 k, v = k.lower(), a or b or c
                 named = k in ("class", "id", "role") and name not in ("article", "main", "body") and _names(v)
                 if named and k == "id" and (name in _HEADINGS or name == "p"):
                     named = False  # made from the words of the text
-                elif named and k == "id" and name == "section" and not _names(v, _ANSWERS) and self._within(parent, ("article", "main")):
+                elif named and self.inner[parent] and (k == "id" and name == "section" and not _names(v, _ANSWERS) or all(map(_MAYBE.fullmatch, filter(_NAMES.fullmatch, v.split())))):
                     self.doubtful.append(node)
                     named = False
                 out |= (named or k == "hidden"
@@ -142,25 +168,20 @@ class Page:
         self.out.append(out)
         return node
 
-    def _links(self, root: int) -> tuple[int, int]:
-        """Characters of text below a node, and those of links."""
-        chars, links, todo = 0, 0, [(root, False)]
-        while todo:
-            node, link = todo.pop()
-            for part in self.parts[node]:
-                if isinstance(part, str):
-                    n = len(" ".join(part.split()))
-                    chars, links = chars + n, links + n * link
-                elif not self.out[part]:
-                    todo.append((part, link or self.tag[part] == "a"))
-        return chars, links
-
-    def _within(self, node: int, names) -> bool:
-        while node > 0:
-            if self.tag[node] in names:
-                return True
-            node = self.parent[node]
-        return False
+    def _settle(self) -> None:
+        """Doubtful parts go where half of their characters are links, as in menus and the like; inner parts are settled first."""
+        if not self.doubtful:
+            return
+        n, doubtful = len(self.tag), set(self.doubtful)
+        chars, links = [0] * n, [0] * n
+        for i in range(n - 1, 0, -1):  # children come after their parents
+            chars[i] += sum(len(" ".join(p.split())) for p in self.parts[i] if isinstance(p, str))
+            if self.tag[i] == "a":
+                links[i] = chars[i]
+            self.out[i] |= i in doubtful and 2 * links[i] >= chars[i]
+            if not self.out[i]:
+                chars[self.parent[i]] += chars[i]
+                links[self.parent[i]] += links[i]
 
     def densities(self) -> tuple[list[float], list[float]]:
         """Composite density and density sum of every node."""
@@ -193,7 +214,10 @@ class Page:
     def chosen(self) -> list[int]:
         """Roots of the subtrees that make the text, in page order."""
         density, sums = self.densities()
-        centre = max(range(len(sums)), key=lambda i: (sums[i], -i) if self._seen(i) else (-math.inf, 0))
+        seen = [True]
+        for i in range(1, len(sums)):
+            seen.append(seen[self.parent[i]] and not self.out[i])
+        centre = max(range(len(sums)), key=lambda i: (sums[i], -i) if seen[i] else (-math.inf, 0))
         if sums[centre] <= 0:
             centre = 0
         path = [centre]
@@ -209,13 +233,6 @@ class Page:
                     roots.add(i)
         return sorted(roots)
 
-    def _seen(self, node: int) -> bool:
-        while node > 0:
-            if self.out[node]:
-                return False
-            node = self.parent[node]
-        return True
-
     def text(self) -> str:
         blocks: list[str] = []
         line: list[str] = []

@@ -1,5 +1,6 @@
 import html as H
 import re
+import time
 
 import pytest
 
@@ -88,3 +89,23 @@ SHORT = [(P * 2).strip()] * 2
 ])
 def test_threshold_chooses_around_articles(page, text):
     assert html_text.extract(page) == "\n".join(text)
+
+
+@pytest.mark.parametrize("part", [f"<div class=search>{P}</div>", f"<p class=tags>{P}</p>", f"<section class='related'>{P}</section>", f"<div class=side>{P}</div>",
+                                  f"<fieldset>{P}</fieldset>", f"<dialog>{P}</dialog>", f"<p><label>{P}</label></p>"])
+def test_parts_of_the_article_that_are_no_links_stay(part):
+    assert html_text.extract(f"<article><p>{P}</p>{part}</article>") == "\n".join([P.strip()] * 2)
+
+
+@pytest.mark.parametrize("part", [f"<div class=related>{MENU}</div>", f"<ul class='tags'><li>{MENU}</ul>", f"<form><label>{P}</label></form>", f"<form><fieldset>{P}</fieldset></form>",
+                                  f"<div class='notice'>{P}</div>", f"<div class='related comments'>{P}</div>", f"<dialog>{MENU}</dialog>"])
+def test_links_notices_and_forms_within_the_article_go(part):
+    assert html_text.extract(f"<article><p>{P}</p>{part}</article>") == P.strip()
+
+
+@pytest.mark.parametrize("page", ["<b>" * 60_000 + "x", "<div>" * 60_000 + "x", "<p>x</b></i></q>" * 20_000, "<article>" + "<section id=search>" * 30_000 + "x", "<svg>x" * 30_000,
+                                  "<header>" * 30_000 + "<main>x</main>", "<li>" * 30_000, "<span><p>" * 20_000])
+def test_time_is_linear_in_the_page(page):
+    began = time.process_time()
+    html_text.extract(page)
+    assert time.process_time() - began < 10
