@@ -99,23 +99,29 @@ def _search(q_row, q_id, q, bound, c_row, c_id, c, rotation, k):
     return out
 
 
+def by_length(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Adds block: the place of a vector by descending length among those of its dimension, ``BLOCK`` to a block.
+
+    Places come from a range sort and the counts of its sorted pieces, so neither the plan nor the driver
+    holds anything for each block.
+    """
+    order = [F.col("dim"), F.desc("norm"), F.col("row")]
+    d = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    d = written(d, spark, "top-sorted").withColumn("piece", F.shiftright("at", 33))  # the upper bits are the number of the sorted piece
+    pieces = d.groupBy("dim", "piece").agg(F.min("at").alias("first"), F.count("*").alias("c"))
+    before = W.partitionBy("dim").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    pieces = pieces.select("dim", "piece", "first", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("at") - F.col("first")
+    return d.join(pieces, ["dim", "piece"]).withColumn("block", F.floor(place / BLOCK).cast("int")).drop("piece", "at", "first", "before")
+
+
 def top_products(spark: SparkSession, vectors: DataFrame, *, k: int = 5, every: int = 50, scale: float = 256.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): queries are the rows whose id is divisible by ``every``."""
     rows = written(usable(vectors, id_col, vec_col, scale).withColumn("row", F.monotonically_increasing_id()), spark, "top-vectors")
     rotation = spark.sparkContext.broadcast(rotations(rows))  # dim * dim numbers
-    sizes = {r.dim: r["count"] for r in rows.groupBy("dim").count().collect()}
-    if not sizes:
+    if rows.isEmpty():
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    blocks = max(1, -(-max(sizes.values()) // BLOCK))
-    # blocks of descending length: bounds of norm from quantiles, the same for all dimensions
-    cuts = rows.select(F.percentile_approx("norm", F.array(*[F.lit(1 - i / blocks) for i in range(1, blocks)]), 100 * blocks).alias("c")).first()[0] if blocks > 1 else []
-    cuts = sorted(cuts, reverse=True)
-    bands: dict[float, list[int]] = {}
-    for i, c in enumerate(cuts):
-        bands.setdefault(c, []).append(i)
-    low = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>"), lambda c: F.col("norm") < c))
-    ties = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>"), lambda c: F.col("norm") == c))
-    blocked = rows.withColumn("block", low + F.pmod(F.xxhash64("row"), ties + 1).cast("int"))  # a length that fills several blocks is dealt over them
+    blocked = by_length(spark, rows)
 
     def packed(df, key):
         def run(table):
