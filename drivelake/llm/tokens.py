@@ -9,7 +9,8 @@ encoded once.
 New pieces of Latin characters are encoded together, with a mark after each, by
 tiktoken's core over the ranks of the same vocabulary file, which is several
 times as fast on single words; pieces with other characters, with white space at
-an end or with a special token go to the tokenizers library itself. Where the file is no byte-level BPE with ids in order of its
+an end or with a special token go to the tokenizers library itself. Where the
+file is no byte-level BPE with ids in order of its
 merges, all pieces do. Tests hold both ways against the library.
 """
 
@@ -21,6 +22,8 @@ from array import array
 from itertools import compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that a worker keeps.
 MEMO = 800_000
@@ -115,27 +118,38 @@ class Encoder:
             stop = (ends * size).tolist()
             memo.update(zip(own, [raw[a:b] for a, b in zip([0, *(e + size for e in stop)], stop)]))
 
+    def _ragged(self, values: list[bytes], which: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The values with these numbers, one after the other, and the end of each in bytes."""
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
+        ids, starts, n = np.frombuffer(b"".join(values), self.dtype), np.cumsum(sizes) - sizes, sizes[which]
+        ends = np.cumsum(n)
+        spots = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[which] - (ends - n), n)
+        return ids[spots].tobytes(), ends * self.dtype.itemsize
+
+    def _encode_words(self, texts: list[str]) -> list[bytes]:
+        """Texts whose pieces are what stands between single spaces: each distinct piece of all of them is looked up once."""
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds, pieces = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
+        which, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
+        self._learn(self.inner, set(distinct), " ")
+        values = list(map(self.inner.__getitem__, distinct))
+        first, own = np.unique(which[bounds[:-1]], return_inverse=True)  # the first piece of a text has no space before it
+        heads = [distinct[i] for i in first.tolist()]
+        self._learn(self.plain, set(heads), "")
+        which[bounds[:-1]] = len(values) + own
+        raw, ends = self._ragged(values + list(map(self.plain.__getitem__, heads)), which)
+        stop = ends[bounds[1:] - 1].tolist()
+        return [raw[a:b] for a, b in zip([0, *stop], stop)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string of ids per text."""
-        cut = []
-        inner: set[str] = set()
-        plain: set[str] = set()
-        for text in texts:
-            if text[:1].isspace() or text[-1:].isspace() or _SPACES.search(text):
-                pieces = _PIECES.findall(text)
-                plain.update(pieces)
-                cut.append((None, pieces))
-            elif text:
-                pieces = text.split(" ")
-                plain.add(pieces[0])
-                inner.update(pieces[1:])
-                cut.append((pieces[0], pieces[1:]))
-            else:
-                cut.append((None, []))
-        self._learn(self.plain, plain, "")
-        self._learn(self.inner, inner, " ")
-        return [b"".join(map(self.plain.__getitem__, pieces)) if first is None
-                else self.plain[first] + b"".join(map(self.inner.__getitem__, pieces)) for first, pieces in cut]
+        odd = [not t or t[0].isspace() or t[-1].isspace() or bool(_SPACES.search(t)) for t in texts]
+        words = [t for t, x in zip(texts, odd) if not x]
+        words = iter(self._encode_words(words) if words else ())
+        cut = [_PIECES.findall(t) for t, x in zip(texts, odd) if x]
+        self._learn(self.plain, set().union(*cut), "")
+        rest = (b"".join(map(self.plain.__getitem__, pieces)) for pieces in cut)
+        return [next(rest) if x else next(words) for x in odd]
 
 
 def encoder(path: str) -> Encoder:
