@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -39,8 +40,10 @@ def written(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
 def released(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished jobs: Spark's cleaner removes them once nothing on the driver refers to
     them any more, so its garbage is collected here instead of whenever its heap is full. For jobs of many rounds."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round lets go of refers to the shuffles
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
