@@ -133,7 +133,7 @@ SIGHTINGS = fields_from_mapping([
     {"name": "seen_on", "source_column": "date", "datatype": "date"},
     {"name": "drive_serial_number", "source_column": "serial_number", "datatype": "string", "nullable": False},
     {"name": "hours", "source_column": "smart_9_raw", "datatype": "Long"},
-    {"name": "level", "source_column": "smart_1_normalized", "datatype": "short", "nullable": False}])
+    {"name": "level", "source_column": "smart_1_normalized", "datatype": "Integer", "nullable": False}])
 
 
 @query("parse_rules", "WITH b AS (" + X.events_bronze() + ")\nSELECT * EXCLUDE (ingested_at) FROM ("
