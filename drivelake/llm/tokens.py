@@ -33,7 +33,9 @@ TOGETHER = 20_000
 _MARK = "\x0b"
 _ODD_START = re.compile(r"\x0b(?:\s|$)")
 _WORDS = re.compile(r"[^\s](?:[^\x0b]*[^\s])?")
-_SPACES = re.compile(r"\s ")
+#: Texts that are empty, begin or end with white space, or have white space before a space (in the syntax of Arrow's patterns).
+_ANY = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SPACES = rf"\A\z|\A{_ANY}|{_ANY} |{_ANY}\z"
 _PIECES = re.compile(r"\s*\S+|\s+")
 _LOADED: dict[str, "Encoder"] = {}
 
@@ -90,12 +92,19 @@ class Encoder:
         self.inner: dict[str, bytes] = {}  # pieces after a single space, without it
         self.plain: dict[str, bytes] = {}  # any other piece
 
-    def _learn(self, memo: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        new = list(pieces - memo.keys())
+    def _found(self, memo: dict[str, bytes], pieces: list[str], lead: str) -> list[bytes]:
+        """The ids of distinct pieces, from the memo or learnt."""
+        found = list(map(memo.get, pieces))
+        new = [p for p, x in zip(pieces, found) if x is None]
+        if not new:
+            return found
         if len(memo) + len(new) > MEMO:  # what these texts use stays
-            held = {p: memo[p] for p in pieces if p in memo}
             memo.clear()
-            memo.update(held)
+            memo.update((p, x) for p, x in zip(pieces, found) if x is not None)
+        self._learn(memo, new, lead)
+        return [memo[p] if x is None else x for p, x in zip(pieces, found)]
+
+    def _learn(self, memo: dict[str, bytes], new: list[str], lead: str) -> None:
         if self.fast:
             joined = _MARK + _MARK.join(new)
             if _ODD_START.search(joined) or joined.count(_MARK) > len(new) or any(t in joined for t in self.added):  # not only words
@@ -131,24 +140,23 @@ class Encoder:
         parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         bounds, pieces = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
         which, distinct = pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist()
-        self._learn(self.inner, set(distinct), " ")
-        values = list(map(self.inner.__getitem__, distinct))
+        values = self._found(self.inner, distinct, " ")
         first, own = np.unique(which[bounds[:-1]], return_inverse=True)  # the first piece of a text has no space before it
-        heads = [distinct[i] for i in first.tolist()]
-        self._learn(self.plain, set(heads), "")
+        heads = self._found(self.plain, [distinct[i] for i in first.tolist()], "")
         which[bounds[:-1]] = len(values) + own
-        raw, ends = self._ragged(values + list(map(self.plain.__getitem__, heads)), which)
+        raw, ends = self._ragged(values + heads, which)
         stop = ends[bounds[1:] - 1].tolist()
         return [raw[a:b] for a, b in zip([0, *stop], stop)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """One byte string of ids per text."""
-        odd = [not t or t[0].isspace() or t[-1].isspace() or bool(_SPACES.search(t)) for t in texts]
+        odd = pc.match_substring_regex(pa.array(texts, pa.large_string()), _SPACES).to_pylist()
         words = [t for t, x in zip(texts, odd) if not x]
         words = iter(self._encode_words(words) if words else ())
         cut = [_PIECES.findall(t) for t, x in zip(texts, odd) if x]
-        self._learn(self.plain, set().union(*cut), "")
-        rest = (b"".join(map(self.plain.__getitem__, pieces)) for pieces in cut)
+        distinct = list(set().union(*cut))
+        ids = dict(zip(distinct, self._found(self.plain, distinct, "")))
+        rest = (b"".join(map(ids.__getitem__, pieces)) for pieces in cut)
         return [next(rest) if x else next(words) for x in odd]
 
 
