@@ -164,6 +164,20 @@ def _metrics_row(silver: DataFrame, bronze: DataFrame | None, rules: Sequence[Ru
     return folded.fillna(0, subset=counts + ["distinct_business_keys", "bronze_rows"])
 
 
+def scope_measures(in_scope: Column, rules: Sequence[str] = DEFAULT_RULES) -> dict[str, Column]:
+    """The metrics of ``evaluate`` as aggregates without a distinct count, for a frame that holds every business
+    key once, such as the rows of an upsert: there the distinct keys are the rows without a NULL in the key."""
+    whole_key = in_scope
+    for k in BUSINESS_KEY:
+        whole_key = whole_key & F.col(k).isNotNull()
+    out = {"total_rows": F.count_if(in_scope), "distinct_business_keys": F.count_if(whole_key)}
+    out.update({f"null_{c}": F.count_if(in_scope & F.col(c).isNull()) for c in NULL_RATE_COLUMNS})
+    for i, r in enumerate(map(parse_rule, rules)):
+        if r.kind == "Completeness":
+            out[f"_nonnull_{i}"] = F.count_if(in_scope & F.col(r.column).isNotNull())
+    return {n: F.coalesce(c, F.lit(0)).cast("long") for n, c in out.items()}
+
+
 def _struct(order: int, name: str, result: Column, details: Column, gate: Column) -> Column:
     return F.struct(F.lit(order).alias("check_order"), F.lit(name).alias("check_name"),
                     result.alias("result"), details.alias("details"), gate.alias("_gate"))
@@ -171,9 +185,12 @@ def _struct(order: int, name: str, result: Column, details: Column, gate: Column
 
 def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field],
              run_id: str, release_id: str | None, rules: Sequence[str] = DEFAULT_RULES,
-             by_release: bool = False) -> DataFrame:
+             by_release: bool = False, measured: dict | None = None) -> DataFrame:
     """The check rows of one scope (Silver and Bronze scoped alike).
 
+    With ``measured`` (``scope_measures`` taken while Silver was written, and
+    ``bronze_rows``) neither is scanned: of Silver only the columns are looked at.
+
     Columns: ``check_order`` plus the six result columns.  D2-D6 only appear
     when the scope has rows.  With ``by_release`` the scope is a set of
     releases and every release gets its own check rows from the same single
@@ -183,7 +200,10 @@ def evaluate(silver: DataFrame, bronze: DataFrame | None, fields: Sequence[Field
     parsed = [parse_rule(r) for r in rules]
     present = set(silver.columns)
     by = ("release_id",) if by_release else ()
-    m = _metrics_row(silver, bronze, parsed, by)
+    if measured is None:
+        m = _metrics_row(silver, bronze, parsed, by)
+    else:
+        m = silver.sparkSession.createDataFrame([tuple(measured.values())], ", ".join(f"{n} long" for n in measured))
     release_text = (F.coalesce(F.col("release_id"), F.lit("None")) if by_release
                     else F.lit(str(release_id)))
     total = F.col("total_rows")

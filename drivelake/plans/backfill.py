@@ -155,6 +155,9 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
                fields: Sequence[Field] | None = None, source_file: str | None = None) -> dict:
     """Bronze scope -> quarantine (append) + Silver (upsert).
 
+    For one release (and one or several of its files) the result holds ``measured``:
+    the DQ metrics of the scope, taken while the partitions were written.
+
     One pass over the cached candidate answers every driver-side question at
     once - is the scope empty, are there rejects, which (release, month)
     partitions does the upsert touch - with a result bounded by the number of
@@ -182,19 +185,27 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         if n_rejected:
             quarantine(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake)
         touched = [(r["release_id"], r["snapshot_month"]) for r in stats if r["rows"] > r["rejected"]]
+        measured = None
         if touched:
+            one = not isinstance(release_id, (list, tuple, set, frozenset))
+            in_scope = F.col("release_id") == F.lit(str(release_id)) if one else F.lit(False)
+            if source_file is not None:
+                in_scope = in_scope & F.col("source_file").isin(source_file if isinstance(source_file, list) else [source_file])
             # keep-latest (W1, order as in latest_silver) and upsert (K4) share one exchange on the key
             varying = sorted(f.name for f in fields if f.name not in BUSINESS_KEY and S._source(bronze.columns, f.source_column) is not None)
-            upsert(spark, S.stamp_silver(accepted, run_id), lake.silver, BUSINESS_KEY, touched,
-                   cluster_by=("release_id", "snapshot_month"), order=("bronze_ingested_at", "source_file", *varying))
-    return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched)}
+            found = upsert(spark, S.stamp_silver(accepted, run_id), lake.silver, BUSINESS_KEY, touched,
+                           cluster_by=("release_id", "snapshot_month"), order=("bronze_ingested_at", "source_file", *varying),
+                           measure=Q.scope_measures(in_scope) if one else {})
+            measured = {**found, "bronze_rows": sum(r["rows"] for r in stats)} if one else None
+    return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched), "measured": measured}
 
 
 def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
            fields: Sequence[Field] | None = None, source_file: str | None = None,
-           raise_on_fail: bool = True):
+           raise_on_fail: bool = True, measured: dict | None = None):
     """DQ of one scope (returns its verdict) or of a list of releases (returns
-    ``{release: verdict}``, all releases checked by one grouped aggregation)."""
+    ``{release: verdict}``, all releases checked by one grouped aggregation).
+    With ``measured`` from the Silver job of the same scope no table is scanned."""
     fields = list(fields or drivestats_fields())
     many = isinstance(release_id, (list, tuple, set, frozenset))
     silver = scope(read_table(spark, lake.silver), release_id, source_file)
@@ -202,7 +213,7 @@ def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
     # no schema inference and no data columns (row counts come from footers).
     lineage = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("release_id", T.StringType())])
     bronze = scope(read_table(spark, lake.bronze, lineage), release_id, source_file)
-    results = Q.evaluate(silver, bronze, fields, run_id, None if many else release_id, by_release=many)
+    results = Q.evaluate(silver, bronze, fields, run_id, None if many else release_id, by_release=many, measured=measured)
     verdicts = Q.persist_results(spark, results, lake.dq, raise_on_fail)
     if many:
         return verdicts
@@ -262,8 +273,8 @@ def run_release(spark: SparkSession, raw_paths, release_id: str, lake: Lakehouse
     """Backfill one release end to end; returns the DQ verdict."""
     run_id = run_id or new_run_id()
     drops = run_bronze(spark, raw_paths, release_id, lake, run_id)
-    run_silver(spark, release_id, lake, run_id, fields)
-    status = run_dq(spark, release_id, lake, run_id, fields)
+    silver = run_silver(spark, release_id, lake, run_id, fields)
+    status = run_dq(spark, release_id, lake, run_id, fields, measured=silver["measured"])
     run_gold(spark, release_id, lake, run_id)
     if drops.headless:  # all other files are published
         raise ValueError(_headless_text(drops))

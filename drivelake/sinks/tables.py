@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,7 +147,8 @@ def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols: Sequ
 
 
 def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
-           touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = ()) -> None:
+           touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = (),
+           measure: dict[str, Column] | None = None) -> dict:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
     an unmatched row is inserted.
 
@@ -165,21 +166,40 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     a third of the rows) and merges tiny ones at run time - a few large files
     per partition instead of one small file per (task, partition), and no
     sampling job (a range exchange would recompute the dedup to sample it).
+
+    ``measure`` (aggregates by name) is taken of the rows of the touched partitions
+    while they are written, in the writing stage, where Spark counts every
+    partition once however often its task runs; the values are returned, and
+    the number of rows is read back (K8).
     """
+    seen = Observation()
+
     def clustered(frame: DataFrame) -> DataFrame:
-        return frame.hint("rebalance", *cluster_by) if cluster_by else frame
+        frame = frame.hint("rebalance", *cluster_by) if cluster_by else frame
+        if measure is None:
+            return frame
+        return frame.observe(seen, F.count(F.lit(1)).alias("_written"), *[c.alias(n) for n, c in measure.items()])
+
+    def measured(rows: DataFrame) -> dict:
+        if measure is None:
+            return {}
+        found = dict(seen.get)
+        expected, got = found.pop("_written"), rows.count()  # by the footers
+        if got != expected:
+            raise RuntimeError(f"Read-back check failed for {table.path}: expected {expected} rows, found {got}")
+        return found
 
     if not table_exists(spark, table):
         first = first_per_key(df, keys, [F.desc_nulls_last(c) for c in order]) if order else df
         # constant columns of a declared layout join after the exchange on the key
         create_table(clustered(align(first, table.schema) if table.schema else first), table)
-        return
+        return measured(read_table(spark, table))
     parts = list(table.partition_by)
     # The touched partition list is bounded by the number of partitions, not rows.
     if touched is None:
         touched = [tuple(r) for r in df.select(*parts).distinct().collect()]
     if not touched:
-        return
+        return {}
     schema = merged_schema(read_table(spark, table).schema, df, parts)
     if table.schema is None and schema != stored_schema(spark, table)[1]:
         store_schema(spark, table, schema, stored_schema(spark, table)[0])
@@ -193,6 +213,7 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
         cond = term if cond is None else cond | term
     existing = existing.filter(cond)
     overwrite_partitions(clustered(newest_generation(existing, align(df, schema), keys, order)), table)
+    return measured(read_table(spark, table, schema).filter(cond))
 
 
 def verify_written_by(spark: SparkSession, table: Table, expected: dict, column: str = "release_id") -> None:

@@ -103,7 +103,7 @@ def process_files(spark: SparkSession, files: Sequence[str], lake: Lakehouse, re
     scoped = files[0] if len(files) == 1 else files
     first = STAGES.index(start_at)
     _log(spark, lake, files, "RESUMED" if first else "PROCESSING", run_id, start_at if first else None)
-    stage, verdict = start_at, None
+    stage, verdict, measured = start_at, None, None
     try:
         for stage in STAGES[first:4 if gold else 3]:
             if stage == "BRONZE":
@@ -116,9 +116,9 @@ def process_files(spark: SparkSession, files: Sequence[str], lake: Lakehouse, re
                     if drops.headless or drops.empty:
                         raise ValueError(f"CSV file(s) without a header or without any line: {[*drops.headless, *drops.empty]}")
             elif stage == "SILVER":
-                run_silver(spark, release_id, lake, run_id, fields, source_file=scoped)
+                measured = run_silver(spark, release_id, lake, run_id, fields, source_file=scoped)["measured"]
             elif stage == "DQ":
-                verdict = run_dq(spark, release_id, lake, run_id, fields, source_file=scoped)
+                verdict = run_dq(spark, release_id, lake, run_id, fields, source_file=scoped, measured=measured)
             else:
                 run_gold(spark, release_id, lake, run_id)
     except Exception as exc:

@@ -107,3 +107,31 @@ def test_schema_relation_says_what_the_metadata_check_says(spark):
         assert [tuple(r) for r in Q.schema_compatibility(Q.canonical_relation(spark, FIELDS), Q.column_relation(df)).collect()] == want
     found = Q.schema_findings(Q.canonical_relation(spark, FIELDS), Q.column_relation(drifted)).select("finding", "column_name").collect()
     assert sorted(map(tuple, found)) == [("mismatch", "failure_flag"), ("missing", "capacity_bytes"), ("missing", "smart_1_raw"), ("unexpected", "b"), ("unexpected", "extra")]
+
+
+def test_metrics_of_the_write_give_the_rows_of_a_scan(spark, scratch):
+    """DQ of a release and of one of its files, from what the Silver job measured and from a scan of the tables."""
+    import os
+
+    from drivelake.plans.backfill import Lakehouse, run_bronze, run_dq, run_silver
+    from drivelake.sources.tables import read_table
+    head = "date,serial_number,model,capacity_bytes,failure\n"
+    os.makedirs(f"{scratch}/raw/2024_Q1")
+    for d, rows in (("01-30", ["S1,M1,1,0", "S2,M1,1,0", ",M1,1,0"]), ("02-01", ["S1,M2,x,1", "S1,M2,1,1", "S3,,1,0"])):
+        with open(f"{scratch}/raw/2024_Q1/2024-{d}.csv", "w") as fh:
+            fh.write(head + "".join(f"2024-{d},{r}\n" for r in rows))
+    lake = Lakehouse(f"{scratch}/lake")
+    run_bronze(spark, f"{scratch}/raw", "2024_Q1", lake, "run")
+    file = f"file:{scratch}/raw/2024_Q1/2024-02-01.csv"
+    for scoped in (None, file, [file], None):
+        run = f"run-{scoped is None}-{isinstance(scoped, list)}"
+        measured = run_silver(spark, "2024_Q1", lake, run, source_file=scoped)["measured"]
+        assert measured["total_rows"] == (3 if scoped is None else 1) and measured["bronze_rows"] == (6 if scoped is None else 3)
+        for name, m in (("m", measured), ("s", None)):
+            run_dq(spark, "2024_Q1", lake, f"{run}-{name}", source_file=scoped, measured=m)
+        rows = read_table(spark, lake.dq).select("run_id", "check_name", "result", "details").collect()
+        of = lambda name: sorted({tuple(r)[1:] for r in rows if r.run_id == f"{run}-{name}"})  # noqa: B023, E731
+        assert of("m") == of("s") and len(of("m")) == 14
+    silver = read_table(spark, lake.silver)
+    plan = Q.evaluate(silver, silver, FIELDS, "run", "2024_Q1", measured=measured)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
