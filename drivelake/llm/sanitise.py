@@ -151,7 +151,8 @@ def disclosing(spark: SparkSession, texts: DataFrame, found: DataFrame) -> DataF
 def marked(spark: SparkSession, texts: DataFrame, told: DataFrame) -> DataFrame:
     """(text_id, all): the places of disclosing words in each distinct text that holds any; texts (text_id, text)."""
     words = texts.select("text_id", F.explode(_distinct_words(F.col("text"))).alias("term"))
-    hits = _maybe(words, "term", bitmap(told, "term")).join(told.select("term"), "term", "left_semi")
+    # an inner join, as the optimizer would put a semi join before the bitmap; told has each term once
+    hits = _maybe(words, "term", bitmap(told, "term")).join(told.select("term"), "term")
     hits = written(hits.groupBy("text_id").agg(F.collect_set("term").alias("told")), spark, "pii-hits")
     some = _maybe(texts, "text_id", bitmap(hits, "text_id")).join(hits, "text_id").dropDuplicates(["text_id"])
     here = places(F.split("text", _WORD, -1), F.regexp_extract_all("text", F.lit(_WORD), F.lit(0)), len(KINDS), "term", lambda w: F.array_contains("told", F.lower(w)))
