@@ -12,7 +12,9 @@ at the bound with a probability of 4e-6 to 4e-4 (``missed``), one of similarity
 
 1. Paths of depth ``START`` are made with the tokens. Nodes with one class go,
    nodes of up to ``SMALL`` classes are compared exhaustively, larger ones branch
-   on, to depth ``DEEP`` at most. What is still larger there is cut in tiles.
+   on, to depth ``DEEP`` at most. What is still larger there is cut in tiles, and so is
+   a node that holds ``KEPT`` of its first node's classes two or more levels below it:
+   branching does not part near copies, it only makes more nodes of the same classes.
 2. Within a tile all pairs are compared by their tokens; each class proposes one
    partner. Proposals are confirmed on the full sets and make components.
 3. Then all pairs of classes of different components that agree in enough tokens
@@ -48,6 +50,8 @@ from drivelake.llm.ngram_join import components, shingle_sets
 TREES, TOKENS, START, DEEP = 12, 96, 3, 6
 #: Classes of a node that is compared at once, and of a tile.
 SMALL = 64
+#: Share of its first node's classes with which a large node does not branch on.
+KEPT = 0.75
 #: Deviations of the share of equal tokens below the bound.
 MARGIN = 4.0
 #: Rows of nodes that one step compares; classes that visit a tile of a hub at once, and rows with full sets that one step holds.
@@ -126,7 +130,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _nodes(rows: DataFrame, bound: float) -> DataFrame:
-    """(node, class) of the children: of the roots for rows (class, tokens), of its node for rows (class, tokens, node)."""
+    """(node, class) of the children: of the roots for rows (class, tokens); and top, of its node for rows (class, tokens, node, top)."""
     inner = "node" in rows.columns
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,24 +143,28 @@ def _nodes(rows: DataFrame, bound: float) -> DataFrame:
             else:
                 row, node = first_nodes(held, bound)
             at = batch.column(0).to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(at)], ["node", "class"])
+            made = [pa.array(node.view(np.int64)), pa.array(at), *([batch.column(3).take(pa.array(row))] if inner else [])]
+            yield pa.RecordBatch.from_arrays(made, ["node", "class", "top"][:len(made)])
 
-    return rows.mapInArrow(go, "node long, class long")
+    return rows.mapInArrow(go, "node long, class long" + (", top long" if inner else ""))
 
 
 def tiles(spark: SparkSession, classes: DataFrame, bound: float) -> DataFrame:
-    """(node, class, c): the nodes where the trees end, with the number c of their classes; more than SMALL only at depth DEEP."""
+    """(node, class, c): the nodes where the trees end, with the number c of their classes; more than SMALL only at depth DEEP or of KEPT classes."""
     ends, rows = None, _nodes(classes.select("class", "tokens"), bound)
     for depth in range(START, DEEP + 1):
         rows = written(rows, spark, "path-nodes")
         sizes = rows.groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
-        rows = written(rows.join(sizes, "node"), spark, "path-sizes")
-        done = rows if depth == DEEP else rows.where(F.col("c") <= SMALL)
+        rows = rows.join(sizes, "node")
+        rows = written(rows if depth > START else rows.withColumn("top", F.col("c")), spark, "path-sizes")  # classes of its first node
+        whole = F.lit(depth >= START + 2) & (F.col("c") >= KEPT * F.col("top"))
+        ended = F.lit(depth == DEEP) | (F.col("c") <= SMALL) | whole
+        done = rows.where(ended).drop("top")
         ends = done if ends is None else ends.unionByName(done)
-        more = rows.where(F.col("c") > SMALL)
+        more = rows.where(~ended)
         if depth == DEEP or more.isEmpty():
             return ends
-        rows = _nodes(more.join(classes.select("class", "tokens"), "class").select("class", "tokens", "node"), bound)
+        rows = _nodes(more.join(classes.select("class", "tokens"), "class").select("class", "tokens", "node", "top"), bound)
 
 
 def _agreeing(tile: np.ndarray, n: np.ndarray, held: np.ndarray, root: np.ndarray, guest: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

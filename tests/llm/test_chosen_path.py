@@ -94,3 +94,27 @@ def test_similarity_from_tokens():
     held = C.tokens([a, a[:800], a[:1], np.concatenate([a[:1], a[:800]])])
     share = (held[0] == held[1]).mean()
     assert abs(share - 0.8) < 0.15 and (held[1] == held[3]).all() and not (held[0] == held[2]).all()
+
+
+def test_near_copies_do_not_branch_to_the_last_depth(spark, monkeypatch):
+    """A group that branching does not part ends two levels below its first nodes, and links as before."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for k in range(90):
+        at = rng.randrange(400)
+        rows.append((k, " ".join([*base[:at], f"own{k}", *base[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    classes = C.signed(docs, 2).selectExpr("doc_id as class", "tokens").cache()
+    made = []
+    nodes = C._nodes
+    monkeypatch.setattr(C, "_nodes", lambda rows, bound: made.append(rows) or nodes(rows, bound))
+    ends = {tuple(r) for r in C.tiles(spark, classes, 0.8).select("node", "class").collect()}
+    branched = [rows.count() for rows in made[1:]]  # by level
+    assert 3 * sum(branched[2:]) < branched[1]
+    monkeypatch.setattr(C, "KEPT", 2.0)
+    made.clear()
+    C.tiles(spark, classes, 0.8)
+    assert 3 * made[3].count() > branched[1]
+    assert len({c for _, c in ends}) == len(rows)
+    assert got(C.join(spark, docs)) == want(rows)
