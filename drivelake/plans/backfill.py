@@ -184,14 +184,14 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         n_rejected = sum(r["rejected"] for r in stats)
         if n_rejected:
             quarantine(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake)
-        touched = [(r["release_id"], r["snapshot_month"]) for r in stats if r["rows"] > r["rejected"]]
+        touched = {(r["release_id"], r["snapshot_month"]): r["rows"] - r["rejected"] for r in stats if r["rows"] > r["rejected"]}
         measured = None
         if touched:
             one = not isinstance(release_id, (list, tuple, set, frozenset))
             in_scope = F.col("release_id") == F.lit(str(release_id)) if one else F.lit(False)
             if source_file is not None:
                 in_scope = in_scope & F.col("source_file").isin(source_file if isinstance(source_file, list) else [source_file])
-            # keep-latest (W1, order as in latest_silver) and upsert (K4) share one exchange on the key
+            # keep-latest (W1, order as in latest_silver), then upsert (K4)
             varying = sorted(f.name for f in fields if f.name not in BUSINESS_KEY and S._source(bronze.columns, f.source_column) is not None)
             found = upsert(spark, S.stamp_silver(accepted, run_id), lake.silver, BUSINESS_KEY, touched,
                            cluster_by=("release_id", "snapshot_month"), order=("bronze_ingested_at", "source_file", *varying),

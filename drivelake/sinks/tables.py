@@ -11,6 +11,7 @@ the same plan is safe and a retried task re-reads intact input.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -146,8 +147,48 @@ def replace_partitions(existing: DataFrame, new: DataFrame, partition_cols: Sequ
     return existing.join(touched, on=list(partition_cols), how="left_anti").unionByName(new)
 
 
+#: Rows that one task holds, sorts and writes at most: rows of a partition beyond it go to further tasks.
+TASK_ROWS = 150_000
+
+
+def by_partition(df: DataFrame, parts: Sequence[str]) -> dict[tuple, int]:
+    """Rows of each partition that ``df`` holds, as many entries as partitions; of a table these come from its footers."""
+    return {tuple(r[:-1]): r[-1] for r in df.groupBy(*parts).agg(F.count(F.lit(1))).collect()}
+
+
+def clustered_by_partition(df: DataFrame, parts: Sequence[str], keys: Sequence[str], rows: dict[tuple, int]) -> DataFrame:
+    """``df`` in tasks of some ``TASK_ROWS`` rows of one partition, rows of equal keys together; adds ``_bucket``.
+
+    ``rows`` bounds the rows of each partition, so the tasks grow in number
+    with the table and not in size.  Bytes would not bound them: rows that
+    compress well are many times larger in memory than in the exchange.
+    """
+    spark = df.sparkSession
+    buckets = {values: max(1, -(-n // TASK_ROWS)) for values, n in rows.items()}
+    if not any(n > 1 for n in buckets.values()):
+        return df.withColumn("_bucket", F.lit(0).cast("long")).repartition(max(1, len(buckets)), *parts, "_bucket")
+    names = [f"_p{i}" for i in range(len(parts))]
+    schema = T.StructType([T.StructField(n, df.schema[p].dataType) for n, p in zip(names, parts)] + [T.StructField("_buckets", T.LongType())])
+    counts = spark.createDataFrame([(*values, n) for values, n in buckets.items()], schema)
+    same = [F.col(n).eqNullSafe(F.col(p)) for n, p in zip(names, parts)]
+    placed = df.join(F.broadcast(counts), same, "left").withColumn(
+        "_bucket", F.pmod(F.xxhash64(*keys), F.coalesce("_buckets", F.lit(1).cast("long")))).drop(*names, "_buckets")
+    return placed.repartition(sum(buckets.values()), *parts, "_bucket")
+
+
+def held_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of the columns in which some row of ``df`` has a value; row groups without one are skipped by their stats."""
+    if not columns:
+        return []
+    some = df.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in columns]))
+    if some.isEmpty():
+        return []
+    found = some.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if found[c]]
+
+
 def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
-           touched: Sequence[tuple] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = (),
+           touched: Sequence[tuple] | dict[tuple, int] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = (),
            measure: dict[str, Column] | None = None) -> dict:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
     an unmatched row is inserted.
@@ -157,15 +198,16 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     partitions as ``old rows without a new twin`` + ``new rows`` is complete.
     Only the touched partitions are scanned (partition pruning from a literal
     list) and rewritten (dynamic overwrite).  ``df`` must be key-unique.
-    ``touched`` (the partition values of ``df``) can be passed when a cheaper
-    frame than ``df`` knows them, e.g. the cached pre-dedup rows.
+    ``touched`` (the partition values of ``df``, with their rows or more) can be
+    passed when a cheaper frame than ``df`` knows them, e.g. the cached pre-dedup
+    rows.
 
-    ``cluster_by`` (the partition columns) rebalances the rewritten rows
-    before the write: hash-clustered by partition so each partition is
-    written by one task, while AQE splits a skewed partition (a month holding
-    a third of the rows) and merges tiny ones at run time - a few large files
-    per partition instead of one small file per (task, partition), and no
-    sampling job (a range exchange would recompute the dedup to sample it).
+    ``cluster_by`` (the partition columns) puts the rows of a partition into
+    tasks of their own, as many as its rows need (``clustered_by_partition``):
+    a few large files per partition instead of one small file per (task,
+    partition), and no sampling job.  Existing rows go through that one exchange
+    only.  Columns without a value in the touched partitions join after the last
+    sort, so no task holds them.
 
     ``measure`` (aggregates by name) is taken of the rows of the touched partitions
     while they are written, in the writing stage, where Spark counts every
@@ -173,9 +215,10 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     the number of rows is read back (K8).
     """
     seen = Observation()
+    parts = list(table.partition_by)
+    by_order = [F.desc_nulls_last(c) for c in order]
 
-    def clustered(frame: DataFrame) -> DataFrame:
-        frame = frame.hint("rebalance", *cluster_by) if cluster_by else frame
+    def watched(frame: DataFrame) -> DataFrame:
         if measure is None:
             return frame
         return frame.observe(seen, F.count(F.lit(1)).alias("_written"), *[c.alias(n) for n, c in measure.items()])
@@ -189,15 +232,15 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
             raise RuntimeError(f"Read-back check failed for {table.path}: expected {expected} rows, found {got}")
         return found
 
+    # The touched partitions are bounded by the number of partitions, not rows.
+    if touched is None and (cluster_by or table_exists(spark, table)):
+        touched = by_partition(df, parts)
     if not table_exists(spark, table):
-        first = first_per_key(df, keys, [F.desc_nulls_last(c) for c in order]) if order else df
-        # constant columns of a declared layout join after the exchange on the key
-        create_table(clustered(align(first, table.schema) if table.schema else first), table)
+        rows = first_per_key(df, keys, by_order) if order else df
+        if cluster_by and touched:
+            rows = clustered_by_partition(rows, parts, keys, _counted(spark, df, parts, touched)).drop("_bucket").sortWithinPartitions(*parts)
+        create_table(watched(align(rows, table.schema) if table.schema else rows), table)
         return measured(read_table(spark, table))
-    parts = list(table.partition_by)
-    # The touched partition list is bounded by the number of partitions, not rows.
-    if touched is None:
-        touched = [tuple(r) for r in df.select(*parts).distinct().collect()]
     if not touched:
         return {}
     schema = merged_schema(read_table(spark, table).schema, df, parts)
@@ -212,10 +255,31 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
             term = t if term is None else term & t
         cond = term if cond is None else cond | term
     existing = existing.filter(cond)
-    overwrite_partitions(clustered(newest_generation(existing, align(df, schema), keys, order)), table)
+    given = {c.lower() for c in df.columns}
+    old = held_columns(existing, [c for c in schema.names if c.lower() not in given])
+    held = T.StructType([f for f in schema.fields if f.name.lower() in given or f.name in old])
+    new = align(df, held)
+    if cluster_by:
+        rows = dict(_counted(spark, df, parts, touched))
+        for values, n in by_partition(existing, parts).items():
+            rows[values] = rows.get(values, 0) + n
+        # a hot key of the new rows is cut to one row before the exchange of both generations
+        new = first_per_key(new, keys, by_order) if order else new
+        both = align(existing, held).withColumn("_generation", F.lit(0)).unionByName(new.withColumn("_generation", F.lit(1)))
+        both = clustered_by_partition(both, parts, keys, rows)
+        # sorted by partition first, as the writer wants it
+        latest = first_per_key(both, [*parts, "_bucket", *[k for k in keys if k not in parts]], [F.desc("_generation"), *by_order])
+        latest = latest.drop("_generation", "_bucket")
+    else:
+        latest = newest_generation(align(existing, held), new, keys, order)
+    overwrite_partitions(watched(align(latest, schema)), table)
     return measured(read_table(spark, table, schema).filter(cond))
 
 
+def _counted(spark: SparkSession, df: DataFrame, parts: Sequence[str], touched) -> dict[tuple, int]:
+    return touched if isinstance(touched, dict) else by_partition(df, parts)
+
+
 def verify_written_by(spark: SparkSession, table: Table, expected: dict, column: str = "release_id") -> None:
     """K8: one grouped count over the written partitions of several scopes,
     compared with the rows computed per scope."""
