@@ -20,9 +20,9 @@ def decode_key(c) -> Column:
 
 
 def decode_path(c) -> Column:
-    """Q4: one decoded form for file URIs ('%20' -> blank, '+' kept)."""
+    """Q4: one decoded form for file URIs ('%20' -> blank, '+' kept); a path without an escape is as it is."""
     c = _col(c)
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)).otherwise(c)
 
 
 def file_name(c) -> Column:

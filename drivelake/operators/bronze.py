@@ -30,8 +30,12 @@ def stamp(df: DataFrame, release_id, run_id: str, ingested_at=None) -> DataFrame
 
 def release_from_path(path: Column) -> Column:
     """The release is the folder holding the drop: ``.../<release_id>/<day>.csv``
-    (a ``release_id=<x>`` folder name also works)."""
-    return F.regexp_extract(path, r"(?:release_id=)?([^/=]+)/[^/]+$", 1)
+    (a ``release_id=<x>`` folder name also works); empty where there is none.
+
+    As ``(?:release_id=)?([^/=]+)/[^/]+$`` would find it, without a regex for each row."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    inside = path.contains("/") & (F.substring_index(path, "/", -1) != "")
+    return F.when(inside, F.substring_index(folder, "=", -1)).when(path.isNotNull(), "")
 
 
 def bronze_frame(raw: DataFrame, release_id, run_id: str, ingested_at=None) -> DataFrame:

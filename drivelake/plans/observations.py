@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from drivelake.sinks.tables import by_partition, clustered_by_partition
 from drivelake.sources.tables import spread
 
 LANDING_BUCKET = "drivestats-landing"
@@ -121,13 +122,16 @@ def write_event_drops(spark: SparkSession, sf_dir: str, folder: str, days=None)
     """
     b = events_bronze(spark, sf_dir).replace("5.9", "1.9", "failure")
     columns = [c for c in b.columns if c not in ("source_file", "release_id", "ingested_at", "processing_run_id")]
-    day = F.regexp_extract("source_file", r"([^/]*)\.csv$", 1)
-    b = b.select(*columns, "release_id", day.alias("day"), F.dayofmonth(day).alias("of_month")).where(F.lit(True) if days is None else days)
+    on = F.to_date("ingested_at")  # the event's day, as in its file's name
+    b = b.select(*columns, "release_id", F.date_format(on, "yyyy-MM-dd").alias("day"), F.dayofmonth(on).alias("of_month")).where(F.lit(True) if days is None else days)
+    rows_of = by_partition(b, ["of_month", "day"])  # an entry per day
     b = b.withColumn("note", F.concat(F.lit('slot "'), F.col("smart_9_raw"), F.lit('",\nrack 1')))
     for drift, own in enumerate((columns, columns[::-1], [*(c for c in columns if c != "smart_194_raw"), "note"])):
         rows = b.where(F.col("of_month") % 3 == drift)
         named = [F.col(c).alias(c.upper() if drift == 1 else c) for c in own]
-        (rows.select(*named, "day", "release_id").repartition("day").write.mode("append").partitionBy("day", "release_id")
+        held = {(day,): n for (of_month, day), n in rows_of.items() if of_month is not None and of_month % 3 == drift}
+        rows = clustered_by_partition(rows.select(*named, "day", "release_id"), ["day"], ["smart_9_raw"], held).drop("_bucket")  # a day of many rows is several files
+        (rows.write.mode("append").partitionBy("day", "release_id")
          .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder))
 
 

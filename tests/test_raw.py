@@ -127,3 +127,40 @@ def test_a_file_without_a_header_is_quarantined_and_the_others_are_published(spa
     assert sorted(r.raw_line for r in q) == sorted(["2023-01-02,S1,M1,100,0", "2023-01-02,S2,M1,100,1", 'date,"serial', 'number",model', "2023-01-03,S1,M1"])
     assert {(r.release_id, r.rejection_reason) for r in q} == {("2023", "missing_header_line:file")}
     assert [r[0] for r in spark.read.parquet(lake.gold_release.path).select("total_drive_days").collect()] == [1]
+
+
+def test_release_of_odd_paths_as_by_the_regex(spark):
+    """The plain text functions give what the regex gave, and decoding leaves paths without an escape."""
+    from pyspark.sql import functions as F
+
+    from drivelake.functions.paths import decode_path
+    from drivelake.operators.bronze import release_from_path
+    paths = ["a/R1/x.csv", "a/release_id=R1/x.csv", "a/b=c=d/x.csv", "R/x.csv", "x.csv", "/x.csv", "a//x.csv", "a/R/", "a/b=/x.csv", "=q/x", "", None,
+             "file:/t/release_id=Q 1/day=2.csv", "a/\n/x.csv", "a/b+c%20d/x%2Bz.csv", "a/100%/x.csv"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    old = F.regexp_extract("p", r"(?:release_id=)?([^/=]+)/[^/]+$", 1)
+    assert "regexp" not in df.select(release_from_path(F.col("p")))._jdf.queryExecution().optimizedPlan().toString()
+    for a, b in df.select(release_from_path(F.col("p")), old).collect():
+        assert a == b
+    plain = F.coalesce(F.try_url_decode(F.replace("p", F.lit("+"), F.lit("%2B"))), F.col("p"))
+    for a, b in df.select(decode_path("p"), plain).collect():
+        assert a == b
+
+
+def test_a_day_of_many_rows_is_several_files(spark, scratch, monkeypatch):
+    """Daily drops grow in number with their rows, and hold the same rows."""
+    import datetime as dt
+    import glob
+
+    from drivelake.plans import observations as O
+    from drivelake.sinks import tables
+    from drivelake.sources.raw import read_raw
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3), i % 5, "error" if i % 4 else "view") for i in range(300)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string").write.parquet(f"{scratch}/sf/events.parquet")
+    O.write_event_drops(spark, f"{scratch}/sf", f"{scratch}/few")
+    monkeypatch.setattr(tables, "TASK_ROWS", 20)
+    O.write_event_drops(spark, f"{scratch}/sf", f"{scratch}/many")
+    few, many = (glob.glob(f"{scratch}/{f}/**/*.csv", recursive=True) for f in ("few", "many"))
+    assert len(few) == 3 and len(many) >= 6
+    texts = lambda f: sorted(map(str, (tuple(r) for r in read_raw(spark, f"{scratch}/{f}").drop("source_file").collect())))
+    assert texts("few") == texts("many") and len(texts("few")) == 300

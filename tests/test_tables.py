@@ -108,3 +108,19 @@ def test_upsert_keeps_the_newest_of_a_batch(spark, scratch):
     assert _rows(read_table(spark, t)) == [("2013", "2013-01", "a", 3), ("2013", "2013-01", "b", 1)]
     upsert(spark, spark.createDataFrame([("2013", "2013-01", "a", 2), ("2013", "2013-01", "a", 0)], DDL), t, KEYS, order=["v"])
     assert _rows(read_table(spark, t)) == [("2013", "2013-01", "a", 2), ("2013", "2013-01", "b", 1)]
+
+
+def test_upsert_bounds_its_tasks_by_rows(spark, scratch, monkeypatch):
+    """A partition of many rows goes to several tasks, whatever its bytes, and columns without a value join at the end."""
+    from drivelake.sinks import tables
+    monkeypatch.setattr(tables, "TASK_ROWS", 50)
+    t = Table(f"{scratch}/wide", ("release_id", "snapshot_month"))
+    base = spark.range(400).selectExpr("'R' as release_id", "'2024-01' as snapshot_month", "cast(id as string) as k", "cast(id as int) as v",
+                                       "if(id = 7, 'old', null) as kept", "cast(null as int) as none")
+    for rows in (base, base.where("v >= 300").selectExpr("release_id", "snapshot_month", "k", "v + 1000 as v")):
+        upsert(spark, rows, t, KEYS, cluster_by=("release_id", "snapshot_month"))
+        found = read_table(spark, t)
+        assert found.select(F.count_distinct(F.input_file_name())).first()[0] >= 4
+        assert found.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 250
+    assert found.columns == ["k", "v", "kept", "none", "release_id", "snapshot_month"]
+    assert found.agg(F.count("*"), F.count("kept"), F.count("none"), F.sum("v")).first()[:] == (400, 1, 0, sum(range(400)) + 100 * 1000)
