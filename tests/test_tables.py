@@ -120,7 +120,7 @@ def test_upsert_bounds_its_tasks_by_rows(spark, scratch, monkeypatch):
     for rows in (base, base.where("v >= 300").selectExpr("release_id", "snapshot_month", "k", "v + 1000 as v")):
         upsert(spark, rows, t, KEYS, cluster_by=("release_id", "snapshot_month"))
         found = read_table(spark, t)
-        assert found.select(F.count_distinct(F.input_file_name())).first()[0] >= 4
-        assert found.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 250
+        files = [r["count"] for r in found.groupBy(F.input_file_name().alias("f")).count().collect()]
+        assert len(files) >= 3 and max(files) < 250
     assert found.columns == ["k", "v", "kept", "none", "release_id", "snapshot_month"]
     assert found.agg(F.count("*"), F.count("kept"), F.count("none"), F.sum("v")).first()[:] == (400, 1, 0, sum(range(400)) + 100 * 1000)
