@@ -35,27 +35,26 @@ def quote(name: str) -> str:
 
 
 def number_text_sql(t: str) -> str:
-    """``t`` matches NUMBER_TEXT, decided without a regex: removing the digits
-    leaves only an optional leading sign and at most one '.', and at least one
-    digit was removed."""
-    rest = f"translate({t}, '0123456789', '')"
-    return (f"(length({rest}) < length({t}) AND ({rest} IN ('', '.') OR "
-            f"({rest} IN ('+', '-', '+.', '-.') AND substr({t}, 1, 1) = substr({rest}, 1, 1))))")
+    """``t`` as a whole matches NUMBER_TEXT (``$`` would allow a line break after it)."""
+    return f"{t} RLIKE {sql_literal(NUMBER_TEXT[:-1] + chr(92) + 'z')}"
 
 
 def lenient_cast_sql(ref: str, datatype: str) -> str:
     """SQL text of ``lenient_cast`` over the SQL expression ``ref``.
 
-    Integral targets: shape test by ``translate`` (no regex on the hot path:
-    a drop has ~80 numeric text columns), integer part = text before the
-    first '.', then ``try_cast`` (overflow -> NULL)."""
+    Integral targets: a text that is just as its value is written has that
+    value (no regex on the hot path: a drop has ~80 numeric text columns).  Any
+    other: shape test, integer part = text before the first '.', then
+    ``try_cast`` (overflow -> NULL).  The text is short, as the JIT compiles no
+    long generated method."""
     name = normalize_type(datatype)
     if name == "string":
         return f"CAST({ref} AS STRING)"
     if name in _INTEGRAL:
         t = f"trim({ref})"
         whole = f"substring_index({t}, '.', 1)"
-        return (f"CASE WHEN {number_text_sql(t)} THEN try_cast("
+        value = f"try_cast({ref} AS {name.upper()})"
+        return (f"CASE WHEN CAST({value} AS STRING) = {ref} THEN {value} WHEN {number_text_sql(t)} THEN try_cast("
                 f"CASE WHEN {whole} IN ('', '+', '-') THEN '0' ELSE {whole} END AS {name.upper()}) END")
     if name == "date":
         return strict_date_sql(ref)
@@ -63,15 +62,14 @@ def lenient_cast_sql(ref: str, datatype: str) -> str:
 
 
 def strict_date_sql(ref: str, fmt: str = DATE_FORMAT) -> str:
-    """``yyyy-MM-dd`` exactly: a shape guard (4-2-2 digits, nothing else),
-    then the calendar check of a date cast (2013-02-30 -> NULL).  Same result
+    """``yyyy-MM-dd`` exactly: the text of 10 characters is just as its date is
+    written, a date of the calendar (2013-02-30 -> NULL).  Same result
     as ``try_to_date(s, 'yyyy-MM-dd')`` and about 3x cheaper per row."""
     if fmt != DATE_FORMAT:
         return f"try_to_date({ref}, {sql_literal(fmt)})"
-    # DATE_TEXT without a regex: 10 characters, digits except '-' at 5 and 8
-    shape = (f"length({ref}) = 10 AND translate({ref}, '0123456789', '') = '--' "
-             f"AND substr({ref}, 5, 1) = '-' AND substr({ref}, 8, 1) = '-'")
-    return f"CASE WHEN {shape} THEN try_cast({ref} AS DATE) END"
+    # only DATE_TEXT has 10 characters and is what its date gives as text
+    value = f"try_cast({ref} AS DATE)"
+    return f"CASE WHEN length({ref}) = 10 AND CAST({value} AS STRING) = {ref} THEN {value} END"
 
 
 def strict_timestamp_sql(ref: str, fmt: str = DATE_FORMAT) -> str:

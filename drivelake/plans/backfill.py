@@ -8,6 +8,7 @@ its layer; the only driver round trips are 1-row verdicts and partition lists.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -21,7 +22,7 @@ from drivelake.operators import quality as Q
 from drivelake.operators import silver as S
 from drivelake.operators.dedup import dedup_latest
 from drivelake.schema import BUSINESS_KEY, Field, drivestats_fields
-from drivelake.sinks.tables import create_or_append, overwrite_partitions, upsert, verify_written_by
+from drivelake.sinks.tables import TASK_ROWS, create_or_append, overwrite_partitions, upsert, verify_written_by
 from drivelake.sources.raw import Drops, find_layouts, headless_lines, read_layouts
 from drivelake.sources.tables import Table, read_table, require_rows, scope, spread, table_exists
 from drivelake.util import new_run_id, persisted
@@ -151,6 +152,15 @@ def _headless_text(drops: Drops) -> str:
     return f"CSV file(s) without a header line are in quarantine: {list(drops.headless[:10])}"
 
 
+#: Parts by key hash that the Silver job counts in each partition: a key of very many rows makes its part the larger one.
+KEY_CELLS = 16
+
+
+def has_hot_key(cells: Sequence[int]) -> bool:
+    """Whether some key of a partition has more rows than a task should hold, by the rows of the partition's ``KEY_CELLS`` cells."""
+    return max(cells) - (min(cells) if len(cells) == KEY_CELLS else 0) > TASK_ROWS
+
+
 def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: str,
                fields: Sequence[Field] | None = None, source_file: str | None = None) -> dict:
     """Bronze scope -> quarantine (append) + Silver (upsert).
@@ -158,10 +168,12 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
     For one release (and one or several of its files) the result holds ``measured``:
     the DQ metrics of the scope, taken while the partitions were written.
 
-    One pass over the cached candidate answers every driver-side question at
+    One pass over the required fields answers every driver-side question at
     once - is the scope empty, are there rejects, which (release, month)
-    partitions does the upsert touch - with a result bounded by the number of
-    partitions, not rows.
+    partitions does the upsert touch, is there a hot key - with a result bounded
+    by the number of partitions, not rows.  The typed rows of whole releases are
+    not cached: that would cost more than to type them again, and would need
+    room in proportion to the scope.
     """
     fields = list(fields or drivestats_fields())
     bronze = scope(read_table(spark, lake.bronze), release_id, source_file)
@@ -173,9 +185,10 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         raise ValueError(f"Required source columns missing: {missing}")
     # a single-file scope is one or two Parquet files: spread it before typing
     cand = S.candidate(spread(bronze) if source_file else bronze, fields, defer_missing=True)
-    with persisted(cand) as c:  # one Bronze scan feeds both branches
+    with persisted(cand) if source_file else nullcontext(cand) as c:
         bad = F.col("_rejection_reason").isNotNull()
-        stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))
+        stats = (c.groupBy("release_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"),
+                           F.pmod(F.xxhash64(*BUSINESS_KEY), F.lit(KEY_CELLS)).alias("cell"))
                  .agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("rejected")).collect())
         if not stats:  # S7: empty scope fails before any write
             raise ValueError(f"No Bronze data found for release_id={release_id}"
@@ -184,7 +197,11 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
         n_rejected = sum(r["rejected"] for r in stats)
         if n_rejected:
             quarantine(spark, S.complete(S.stamp_quarantine(rejected, run_id), fields), lake)
-        touched = {(r["release_id"], r["snapshot_month"]): r["rows"] - r["rejected"] for r in stats if r["rows"] > r["rejected"]}
+        cells: dict = {}
+        for r in stats:
+            if r["rows"] > r["rejected"]:
+                cells.setdefault((r["release_id"], r["snapshot_month"]), []).append(r["rows"] - r["rejected"])
+        touched = {values: sum(n) for values, n in cells.items()}
         measured = None
         if touched:
             one = not isinstance(release_id, (list, tuple, set, frozenset))
@@ -195,7 +212,7 @@ def run_silver(spark: SparkSession, release_id: str, lake: Lakehouse, run_id: st
             varying = sorted(f.name for f in fields if f.name not in BUSINESS_KEY and S._source(bronze.columns, f.source_column) is not None)
             found = upsert(spark, S.stamp_silver(accepted, run_id), lake.silver, BUSINESS_KEY, touched,
                            cluster_by=("release_id", "snapshot_month"), order=("bronze_ingested_at", "source_file", *varying),
-                           measure=Q.scope_measures(in_scope) if one else {})
+                           measure=Q.scope_measures(in_scope) if one else {}, hot_keys=any(map(has_hot_key, cells.values())))
             measured = {**found, "bronze_rows": sum(r["rows"] for r in stats)} if one else None
     return {"rows": sum(r["rows"] for r in stats), "rejected": n_rejected, "partitions": len(touched), "measured": measured}
 
@@ -223,14 +240,16 @@ def run_dq(spark: SparkSession, release_id, lake: Lakehouse, run_id: str,
 def run_gold(spark: SparkSession, release_id, lake: Lakehouse, run_id: str) -> tuple[int, int]:
     """Recompute Gold for whole releases (late files included, Z4).
 
-    Jobs: the cached 5-column Silver scope feeds one validation aggregate,
-    the two grains (cached, tiny), one conservation aggregate that also
-    yields the row counts, two partition overwrites, two grouped read-backs.
+    Jobs: the cached totals per drive, those per model and the cached days of
+    the 5-column Silver scope feed one validation aggregate, the two grains (cached, tiny),
+    one conservation aggregate that also yields the row counts, two partition
+    overwrites, two grouped read-backs.
     ``release_id`` may be a list: every release is computed in the same jobs.
     """
     silver = scope(read_table(spark, lake.silver), release_id).select(*G.GOLD_INPUT_COLUMNS)
-    with persisted(silver) as s:
-        report = G.gold_input_report(s).collect()  # one row per release, Silver totals included
+    by_drive = G.drive_totals(silver)
+    with persisted(by_drive, G.model_totals(by_drive), G.observed_days(silver)) as (drives, models, days):
+        report = G.gold_input_report(models).collect()  # one row per release, Silver totals included
         wanted = release_id if isinstance(release_id, (list, tuple, set, frozenset)) else [release_id]
         empty = sorted(set(map(str, wanted)) - {r["release_id"] for r in report})
         if empty:  # S7: a release without Silver rows fails before any write
@@ -244,7 +263,9 @@ def run_gold(spark: SparkSession, release_id, lake: Lakehouse, run_id: str) -> t
         good = [r for r in report if r["release_id"] not in bad]
         if not good:
             raise next(iter(bad.values()))
-        release, model = G.build_gold(s.where(F.col("release_id").isin([r["release_id"] for r in good])) if bad else s, run_id, validate=False)
+        if bad:
+            drives, models, days = (f.where(F.col("release_id").isin([r["release_id"] for r in good])) for f in (drives, models, days))
+        release, model = G.gold_of_totals(models, drives, days, run_id)
         totals = spark.createDataFrame(
             [(r["release_id"], r["total_rows"], r["silver_failures"]) for r in good],
             "release_id string, total_rows long, silver_failures long")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drivelake.sinks.tables import by_partition, clustered_by_partition
-from drivelake.sources.tables import spread
+from drivelake.sources.tables import spread_stored
 
 LANDING_BUCKET = "drivestats-landing"
 RAW_PREFIX = "raw/drivestats/"
@@ -40,8 +40,8 @@ def _raw_path(release: Column, day: Column) -> Column:
 
 def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped (all-string) observations from lineitem x part."""
-    li = spread(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                                     "l_returnflag", "l_shipdate"))
+    li = spread_stored(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
+                                                            "l_returnflag", "l_shipdate"), "l_orderkey", "l_linenumber")
     part = _t(spark, sf_dir, "part").select(F.col("p_partkey"), F.col("p_brand"))
     j = li.join(part, li.l_partkey == part.p_partkey, "left")
     day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
@@ -62,7 +62,7 @@ def lineitem_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped observations from events, with dirty text variants."""
-    e = spread(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
+    e = spread_stored(_t(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"), "event_id")
     eid, uid = F.col("event_id"), F.col("user_id")
     day = F.date_format(F.to_date("ts"), "yyyy-MM-dd")
     release = F.concat(F.year("ts").cast("string"), F.lit("_Q"), F.quarter("ts").cast("string"))

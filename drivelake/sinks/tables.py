@@ -166,7 +166,8 @@ def clustered_by_partition(df: DataFrame, parts: Sequence[str], keys: Sequence[s
     spark = df.sparkSession
     buckets = {values: max(1, -(-n // TASK_ROWS)) for values, n in rows.items()}
     if not any(n > 1 for n in buckets.values()):
-        return df.withColumn("_bucket", F.lit(0).cast("long")).repartition(max(1, len(buckets)), *parts, "_bucket")
+        # by the partition alone: a constant would stay in the exchange only, and a window by partition and bucket would ask for another one
+        return df.repartition(max(1, len(buckets)), *parts).withColumn("_bucket", F.lit(0).cast("long"))
     names = [f"_p{i}" for i in range(len(parts))]
     schema = T.StructType([T.StructField(n, df.schema[p].dataType) for n, p in zip(names, parts)] + [T.StructField("_buckets", T.LongType())])
     counts = spark.createDataFrame([(*values, n) for values, n in buckets.items()], schema)
@@ -189,7 +190,7 @@ def held_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str],
            touched: Sequence[tuple] | dict[tuple, int] | None = None, cluster_by: Sequence[str] | None = None, order: Sequence[str] = (),
-           measure: dict[str, Column] | None = None) -> dict:
+           measure: dict[str, Column] | None = None, hot_keys: bool = True) -> dict:
     """MERGE on ``keys`` - a matched row is replaced by the new one,
     an unmatched row is inserted.
 
@@ -209,6 +210,11 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     only.  Columns without a value in the touched partitions join after the last
     sort, so no task holds them.
 
+    With ``order``, ``df`` may hold a key in many rows; ``hot_keys=False`` says
+    that no key has more of them than one task holds.  The newest row is then
+    taken after that one exchange, in its sort; otherwise hot keys are cut to one
+    row a task before it, in an exchange of their own.
+
     ``measure`` (aggregates by name) is taken of the rows of the touched partitions
     while they are written, in the writing stage, where Spark counts every
     partition once however often its task runs; the values are returned, and
@@ -217,6 +223,7 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     seen = Observation()
     parts = list(table.partition_by)
     by_order = [F.desc_nulls_last(c) for c in order]
+    in_task = [*parts, "_bucket", *[k for k in keys if k not in parts]]  # by partition first, as the writer wants its rows sorted
 
     def watched(frame: DataFrame) -> DataFrame:
         if measure is None:
@@ -236,9 +243,11 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
     if touched is None and (cluster_by or table_exists(spark, table)):
         touched = by_partition(df, parts)
     if not table_exists(spark, table):
-        rows = first_per_key(df, keys, by_order) if order else df
+        late = bool(order and cluster_by and touched and not hot_keys)
+        rows = first_per_key(df, keys, by_order) if order and not late else df
         if cluster_by and touched:
-            rows = clustered_by_partition(rows, parts, keys, _counted(spark, df, parts, touched)).drop("_bucket").sortWithinPartitions(*parts)
+            rows = clustered_by_partition(rows, parts, keys, _counted(spark, df, parts, touched))
+            rows = first_per_key(rows, in_task, by_order).drop("_bucket") if late else rows.drop("_bucket").sortWithinPartitions(*parts)
         create_table(watched(align(rows, table.schema) if table.schema else rows), table)
         return measured(read_table(spark, table))
     if not touched:
@@ -264,11 +273,10 @@ def upsert(spark: SparkSession, df: DataFrame, table: Table, keys: Sequence[str]
         for values, n in by_partition(existing, parts).items():
             rows[values] = rows.get(values, 0) + n
         # a hot key of the new rows is cut to one row before the exchange of both generations
-        new = first_per_key(new, keys, by_order) if order else new
+        new = first_per_key(new, keys, by_order) if order and hot_keys else new
         both = align(existing, held).withColumn("_generation", F.lit(0)).unionByName(new.withColumn("_generation", F.lit(1)))
         both = clustered_by_partition(both, parts, keys, rows)
-        # sorted by partition first, as the writer wants it
-        latest = first_per_key(both, [*parts, "_bucket", *[k for k in keys if k not in parts]], [F.desc("_generation"), *by_order])
+        latest = first_per_key(both, in_task, [F.desc("_generation"), *by_order])
         latest = latest.drop("_generation", "_bucket")
     else:
         latest = newest_generation(align(existing, held), new, keys, order)

@@ -125,6 +125,18 @@ def scope(df: DataFrame, release_id=None, source_file=None) -> DataFrame:
     return df
 
 
+#: Rows of a stored table that one task takes at most when it is spread.
+SPREAD_ROWS = 300_000
+
+
+def spread_stored(df: DataFrame, *keys: str) -> DataFrame:
+    """``spread`` for columns of a stored table: tasks grow in number with its rows, which its footers tell, and not in size.
+
+    Dealt by ``keys`` that hardly repeat, which takes no sort of the rows, as dealing them in turn does.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS)), *keys)
+
+
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     """Round-robin the rows over ``target`` tasks, by default the cluster's parallelism.
 
